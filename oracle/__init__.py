@@ -1,0 +1,6 @@
+"""DuckDB oracle statements, one per registered query."""
+
+from .daily import SQL as _DAILY
+
+ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL.update(_DAILY)
