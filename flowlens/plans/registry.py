@@ -36,3 +36,55 @@ register("network_intelligence_final")(lambda i: daily.network_intelligence_fina
 register("flow_daily_summary")(lambda i: daily.flow_daily_summary(i.flows))
 register("flow_bi_rollup")(lambda i: daily.flow_bi_rollup(i.flows))
 register("profile_counts")(lambda i: daily.profile_counts(i.flows))
+
+# ---- DNS / unified ---------------------------------------------------------
+from ..operators.dns import dns_daily_summary as _dns_sum, primary_domain as _primary  # noqa: E402
+from ..sources.fixtures import FIXTURE_DAY  # noqa: E402
+from . import enrichment as en, reports as rp, unified as un  # noqa: E402
+
+register("dns_daily_summary")(lambda i: _dns_sum(i.dns))
+register("dns_primary_domain")(lambda i: _primary(_dns_sum(i.dns)))
+register("unified_daily")(lambda i: un.unified_daily(i.flows, i.dns))
+register("unified_asof")(lambda i: un.unified_asof(i.flows, i.dns))
+register("unified_asof_day")(lambda i: un.unified_asof(i.flows, i.dns, day=FIXTURE_DAY))
+
+# ---- joined logs family ----------------------------------------------------
+
+
+def _joined(i: Inputs) -> DataFrame:
+    return en.joined_logs(i.flows, i.dns, i.dims.ec2)
+
+
+def _dictionary_agg(i: Inputs) -> DataFrame:
+    j = _joined(i)
+    return en.asn_service_from_dictionary(j, en.ip_asn_dictionary(j, i.dims))
+
+
+register("joined_logs")(_joined)
+register("top_flows_enriched")(lambda i: en.top_flows_enriched(_joined(i), i.dims, day=FIXTURE_DAY))
+register("domain_traffic_summary")(lambda i: en.domain_traffic_summary(_joined(i), i.dims, day=FIXTURE_DAY))
+register("joined_preagg_enriched")(lambda i: en.joined_preagg_enriched(_joined(i), i.dims, day=FIXTURE_DAY))
+register("asn_service_rollup")(lambda i: en.asn_service_rollup(_joined(i), i.dims))
+register("ip_asn_dictionary")(lambda i: en.ip_asn_dictionary(_joined(i), i.dims))
+register("asn_service_from_dictionary")(_dictionary_agg)
+register("asn_service_pivot")(lambda i: en.asn_service_pivot(_dictionary_agg(i)))
+register("egress_domain_country")(lambda i: en.egress_domain_country(i.flows, i.dims, i.resolved))
+register("ip_metadata")(lambda i: en.ip_metadata_table(i.flows, i.dims))
+register("ip_metadata_by_service")(lambda i: en.ip_metadata_table(i.flows, i.dims, by_service=True))
+register("reverse_domain_labels")(
+    lambda i: en.reverse_domain_labels(daily.unique_destination(i.flows, i.dims.ec2), i.resolved)
+)
+
+# ---- dashboard reports (date filter = the fixture day) ---------------------
+REPORT_DATE = "-".join(FIXTURE_DAY)
+
+
+def _src(i: Inputs) -> DataFrame:
+    return rp.report_source(i.flows)
+
+
+register("report_traffic_by_hour")(lambda i: rp.report_traffic_by_hour(_src(i), date=REPORT_DATE))
+register("report_top_services")(lambda i: rp.report_top_services(_src(i), date=REPORT_DATE))
+register("report_flow_edges")(lambda i: rp.report_flow_edges(_src(i), date=REPORT_DATE))
+register("report_flow_nodes")(lambda i: rp.report_flow_nodes(rp.report_flow_edges(_src(i), date=REPORT_DATE)))
+register("report_rejected")(lambda i: rp.report_rejected(_src(i), date=REPORT_DATE))
