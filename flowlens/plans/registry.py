@@ -88,3 +88,13 @@ register("report_top_services")(lambda i: rp.report_top_services(_src(i), date=R
 register("report_flow_edges")(lambda i: rp.report_flow_edges(_src(i), date=REPORT_DATE))
 register("report_flow_nodes")(lambda i: rp.report_flow_nodes(rp.report_flow_edges(_src(i), date=REPORT_DATE)))
 register("report_rejected")(lambda i: rp.report_rejected(_src(i), date=REPORT_DATE))
+
+# ---- ETL: raw -> curated round trips, database copy, file profile ----------
+from . import etl  # noqa: E402
+
+QUERIES["ingest_flow_logs"] = lambda spark, sf_dir: etl.flow_roundtrip(load(spark, sf_dir) and spark, sf_dir)
+QUERIES["ingest_dns_logs"] = lambda spark, sf_dir: etl.dns_roundtrip(load(spark, sf_dir) and spark, sf_dir)
+register("publish_curated")(lambda i: etl.publish_curated(i.flows))
+QUERIES["profile_rows_per_file"] = lambda spark, sf_dir: daily.profile_rows_per_file(
+    load(spark, sf_dir) and spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet")
+)
