@@ -84,13 +84,14 @@ def _empty(spark: SparkSession, ddl: str) -> DataFrame:
     return spark.createDataFrame([], ddl)
 
 
-def _path_parts(layout: str, pattern: str, names: list[str], hive_names: dict | None = None) -> dict[str, Column]:
+def _path_parts(layout: str, pattern: str, names: list[str], hive_names: dict | None = None,
+                path: Column | None = None) -> dict[str, Column]:
     if layout == "hive":
         hive_names = hive_names or {}
         return {n: F.col(hive_names.get(n, n)) for n in names}
     if layout != "aws":
         raise ValueError(f"unknown layout {layout!r}")
-    path = F.col("_metadata.file_path")
+    path = F.col("_metadata.file_path") if path is None else path
     parts = {n: F.regexp_extract(path, pattern, i + 1) for i, n in enumerate(names)}
     for n in ("month", "day"):
         if n in parts:
@@ -132,7 +133,7 @@ def read_flow_logs(spark: SparkSession, paths, layout: str = "aws") -> DataFrame
     if n_files * MAX_HEADER_BYTES <= 256 * 1024 * 1024:
         headers = F.broadcast(headers)
     data = tok.where(~is_header).join(headers, "_file", "inner")
-    parts = _path_parts(layout, FLOW_PATH_RE, FLOW_PARTITIONS, RAW_HIVE_FLOW_KEYS)
+    parts = _path_parts(layout, FLOW_PATH_RE, FLOW_PARTITIONS, RAW_HIVE_FLOW_KEYS, path=F.col("_file"))
     cols = []
     for name, dtype in FLOW_COLUMNS:
         v = _value(F.col("_tok"), F.col("_hdr"), raw_name(name))
