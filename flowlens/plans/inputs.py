@@ -1,11 +1,12 @@
 """The inputs every query reads: curated flows, curated DNS, dimensions and
 the reverse-DNS table. ``load`` builds them from the driver's tables through
-the fixture adapters; a deployment would build the same object with
-``flowlens.sources.curated`` readers instead."""
+the fixture adapters; a deployment builds the same object from curated
+Parquet (``Inputs.from_frames``). Members are built on first use, so a query
+only analyses the inputs it reads."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,19 +14,33 @@ from ..session import prepare
 from ..sources import fixtures
 
 
-@dataclass
 class Inputs:
-    flows: DataFrame
-    dns: DataFrame
-    dims: fixtures.Dims
-    resolved: DataFrame
+    def __init__(self, spark: SparkSession, sf_dir: str | None = None, **frames):
+        self.spark, self.sf_dir = spark, sf_dir
+        self.__dict__.update(frames)
+
+    @classmethod
+    def from_frames(cls, spark: SparkSession, flows: DataFrame, dns: DataFrame, dims: fixtures.Dims,
+                    resolved: DataFrame) -> "Inputs":
+        return cls(spark, None, flows=flows, dns=dns, dims=dims, resolved=resolved)
+
+    @cached_property
+    def flows(self) -> DataFrame:
+        return fixtures.flows(self.spark, self.sf_dir)
+
+    @cached_property
+    def dns(self) -> DataFrame:
+        return fixtures.dns(self.spark, self.sf_dir)
+
+    @cached_property
+    def dims(self) -> fixtures.Dims:
+        return fixtures.dims(self.spark, self.sf_dir)
+
+    @cached_property
+    def resolved(self) -> DataFrame:
+        return fixtures.resolved_ips(self.spark, self.sf_dir)
 
 
 def load(spark: SparkSession, sf_dir: str) -> Inputs:
     prepare(spark)
-    return Inputs(
-        flows=fixtures.flows(spark, sf_dir),
-        dns=fixtures.dns(spark, sf_dir),
-        dims=fixtures.dims(spark, sf_dir),
-        resolved=fixtures.resolved_ips(spark, sf_dir),
-    )
+    return Inputs(spark, sf_dir)

@@ -46,6 +46,7 @@ def write_raw_flow_logs(flows: DataFrame, path: str, compression: str = "gzip")
     ]
     keys = [RAW_HIVE_FLOW_KEYS[p] for p in FLOW_PARTITIONS]
     out = flows.select(*cols, *[F.col(p).alias(RAW_HIVE_FLOW_KEYS[p]) for p in FLOW_PARTITIONS])
+    out = _spread(out, keys, salt_buckets=4, partitions=None)
     (out.write.mode("overwrite").partitionBy(*keys)
         .option("header", "true").option("sep", " ").option("compression", compression)
         .option("quote", "\u0000").csv(path))

@@ -249,11 +249,21 @@ class Dims:
     cloud_ranges: DataFrame
 
 
+class LazyDims(Dims):
+    """Dims whose tables are read on first use."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):  # noqa: D107
+        self._spark, self._dir = spark, sf_dir
+
+    def __getattr__(self, name):
+        builders = {"ec2": ec2_details, "geo_blocks": geo_blocks, "geo_locations": geo_locations,
+                    "geo_asn": geo_asn, "cloud_ranges": cloud_ranges}
+        if name not in builders:
+            raise AttributeError(name)
+        value = builders[name](self._spark, self._dir)
+        setattr(self, name, value)
+        return value
+
+
 def dims(spark: SparkSession, sf_dir: str) -> Dims:
-    return Dims(
-        ec2=ec2_details(spark, sf_dir),
-        geo_blocks=geo_blocks(spark, sf_dir),
-        geo_locations=geo_locations(spark, sf_dir),
-        geo_asn=geo_asn(spark, sf_dir),
-        cloud_ranges=cloud_ranges(spark, sf_dir),
-    )
+    return LazyDims(spark, sf_dir)

@@ -99,12 +99,6 @@ def _path_parts(layout: str, pattern: str, names: list[str], hive_names: dict |
     return {n: F.when(c != "", c) for n, c in parts.items()}
 
 
-def _value(tokens: Column, header: Column, raw: str) -> Column:
-    pos = F.array_position(header, raw)
-    v = F.when(pos > 0, F.try_element_at(tokens, pos.cast("int")))
-    return F.when(v != MISSING, v)
-
-
 def flow_schema_ddl() -> str:
     cols = FLOW_COLUMNS + [(p, "string") for p in FLOW_PARTITIONS]
     return ", ".join(f"{n} {t}" for n, t in cols)
@@ -129,14 +123,20 @@ def read_flow_logs(spark: SparkSession, paths, layout: str = "aws") -> DataFrame
         F.col("_metadata.file_path").alias("_file"), F.split(F.col("value"), " ").alias("_tok"), *path_cols
     ).where(F.col("_tok")[0] != "")
     is_header = F.array_contains("_tok", "srcaddr") & F.array_contains("_tok", "dstaddr")
-    headers = tok.where(is_header).groupBy("_file").agg(F.min("_tok").alias("_hdr"))
+    # one row per file: the 0-based position of every curated column in that
+    # file's header (-1 when the file does not carry it)
+    names = [c for c, _ in FLOW_COLUMNS]
+    headers = tok.where(is_header).groupBy("_file").agg(F.min("_tok").alias("_hdr")).select(
+        "_file",
+        F.struct(*[(F.array_position("_hdr", raw_name(c)).cast("int") - 1).alias(c) for c in names]).alias("_pos"),
+    )
     if n_files * MAX_HEADER_BYTES <= 256 * 1024 * 1024:
         headers = F.broadcast(headers)
     data = tok.where(~is_header).join(headers, "_file", "inner")
     parts = _path_parts(layout, FLOW_PATH_RE, FLOW_PARTITIONS, RAW_HIVE_FLOW_KEYS, path=F.col("_file"))
     cols = []
     for name, dtype in FLOW_COLUMNS:
-        v = _value(F.col("_tok"), F.col("_hdr"), raw_name(name))
+        v = F.nullif(F.get(F.col("_tok"), F.col(f"_pos.{name}")), F.lit(MISSING))
         cols.append((v if dtype == "string" else v.try_cast(dtype)).alias(name))
     return data.select(*cols, *[parts[p].alias(p) for p in FLOW_PARTITIONS])
 
