@@ -119,8 +119,17 @@ def read_flow_logs(spark: SparkSession, paths, layout: str = "aws") -> DataFrame
     if n_files == 0:
         return _empty(spark, flow_schema_ddl())
     path_cols = [RAW_HIVE_FLOW_KEYS[c] for c in FLOW_PARTITIONS if layout == "hive"]
-    tok = lines.select(
-        F.col("_metadata.file_path").alias("_file"), F.split(F.col("value"), " ").alias("_tok"), *path_cols
+    staged = lines.select(F.col("_metadata.file_path").alias("_file"), "value", *path_cols)
+    return normalize_lines(staged, layout, n_files)
+
+
+def normalize_lines(staged: DataFrame, layout: str, n_files: int | None) -> DataFrame:
+    """Lines (``_file``, ``value`` and, for the hive layout, the directory
+    columns) -> curated flow columns. ``n_files`` bounds the per-file header
+    table (one row per file); it is broadcast when the bound is small."""
+    tok = staged.select(
+        "_file", F.split(F.col("value"), " ").alias("_tok"),
+        *[c for c in staged.columns if c not in ("_file", "value")],
     ).where(F.col("_tok")[0] != "")
     is_header = F.array_contains("_tok", "srcaddr") & F.array_contains("_tok", "dstaddr")
     # one row per file: the 0-based position of every curated column in that
@@ -130,7 +139,7 @@ def read_flow_logs(spark: SparkSession, paths, layout: str = "aws") -> DataFrame
         "_file",
         F.struct(*[(F.array_position("_hdr", raw_name(c)).cast("int") - 1).alias(c) for c in names]).alias("_pos"),
     )
-    if n_files * MAX_HEADER_BYTES <= 256 * 1024 * 1024:
+    if n_files is not None and n_files * MAX_HEADER_BYTES <= 256 * 1024 * 1024:
         headers = F.broadcast(headers)
     data = tok.where(~is_header).join(headers, "_file", "inner")
     parts = _path_parts(layout, FLOW_PATH_RE, FLOW_PARTITIONS, RAW_HIVE_FLOW_KEYS, path=F.col("_file"))
