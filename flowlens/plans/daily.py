@@ -135,14 +135,19 @@ def flow_daily_summary(flows: DataFrame, mode: str = "literal") -> DataFrame:
     )
 
 
-def top_domain_port_geo(flows: DataFrame, dns: DataFrame, dims, mode: str = "literal") -> DataFrame:
+def top_domain_port_geo(flows: DataFrame, dns: DataFrame, dims, mode: str = "literal",
+                        domains: DataFrame | None = None, meta: DataFrame | None = None) -> DataFrame:
+    """``domains`` / ``meta`` may be passed precomputed (shared by several
+    aggregates in the daily job); ``meta`` must be keyed by
+    (dstaddr, pkt_dst_aws_service) and cover the egress destinations."""
     base = (
         egress(flows, mode).where(status_ok())
         .groupBy(*VPC, "srcaddr", "dstaddr", "dstport", "pkt_dst_aws_service", *DAY)
         .agg(F.sum("bytes").alias("_b"), F.sum("packets").alias("_p"), F.count(F.lit(1)).alias("_n"))
     )
-    domains = primary_domain(dns_daily_summary(dns))
-    meta = ip_metadata(base, dims, keys=("dstaddr", "pkt_dst_aws_service"), service_matched=True)
+    domains = primary_domain(dns_daily_summary(dns)) if domains is None else domains
+    if meta is None:
+        meta = ip_metadata(base, dims, keys=("dstaddr", "pkt_dst_aws_service"), service_matched=True)
     j = with_primary_domain(base, domains)
     j = join_metadata(j, meta, ["dstaddr", "pkt_dst_aws_service"])
     agg = j.groupBy(
@@ -156,13 +161,15 @@ def top_domain_port_geo(flows: DataFrame, dns: DataFrame, dims, mode: str = "lit
     )
 
 
-def network_intelligence_final(flows: DataFrame, dns: DataFrame, dims, mode: str = "literal") -> DataFrame:
+def network_intelligence_final(flows: DataFrame, dns: DataFrame, dims, mode: str = "literal",
+                               domains: DataFrame | None = None, meta: DataFrame | None = None) -> DataFrame:
     """Widest enriched fact. Every join is to a unique key that is a subset of
     the summary grain, so the grain of ``flow_daily_summary`` is kept and no
     second aggregation (and shuffle) is needed."""
     vpc_sum = flow_daily_summary(flows, mode)
-    domains = primary_domain(dns_daily_summary(dns))
-    meta = ip_metadata(vpc_sum, dims, keys=("dstaddr", "pkt_dst_aws_service"), service_matched=True)
+    domains = primary_domain(dns_daily_summary(dns)) if domains is None else domains
+    if meta is None:
+        meta = ip_metadata(vpc_sum, dims, keys=("dstaddr", "pkt_dst_aws_service"), service_matched=True)
     u = with_primary_domain(vpc_sum, domains)
     u = with_owner_labels(u, dims.ec2)
     u = join_metadata(u, meta, ["dstaddr", "pkt_dst_aws_service"])
