@@ -49,8 +49,8 @@ def _explode_ranges(ranges: DataFrame, bits: int, max_fanout: int) -> tuple[Data
     return exploded, F.sum(rows)
 
 
-def range_join(
-    points: DataFrame,
+def range_matches(
+    keys: DataFrame,
     ranges: DataFrame,
     ip: str,
     lo: str,
@@ -64,21 +64,15 @@ def range_join(
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
     rename: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Left-join ``payload`` columns of ``ranges`` onto ``points``.
-
-    ``equi`` pairs (point column, range column) must also be equal.
-    ``order`` is a list of Columns over range columns used after the range
-    width to pick one match when ``resolve='most_specific'``.
-    ``rename`` maps payload names to output names.
-    """
+    """Matches for distinct, non-NULL point keys: (ip, equi keys...) ->
+    payload columns. Keys without a match are absent."""
     rename = dict(rename or {})
     out_names = [rename.get(c, c) for c in payload]
     point_keys = [ip] + [p for p, _ in equi]
 
-    keys = points.select(*point_keys).where(F.col(ip).isNotNull()).distinct()
     fine_shift = 32 - bits
     keyed = keys.select(
-        "*",
+        *point_keys,
         F.explode(
             F.array(
                 F.struct(F.lit(bits).alias("l"), F.shiftright(F.col(ip), fine_shift).alias("b")),
@@ -97,6 +91,7 @@ def range_join(
     ).where(F.col("_lo").isNotNull() & F.col("_hi").isNotNull() & (F.col("_lo") <= F.col("_hi")))
     exploded, row_count = _explode_ranges(rng, bits, max_fanout)
 
+    # exact size of the exploded table: one aggregate over the (small) range table
     n_rows = rng.agg(row_count).first()[0] or 0
     if n_rows <= broadcast_max_rows:
         exploded = F.broadcast(exploded)
@@ -120,16 +115,28 @@ def range_join(
             *[F.col(f"_ord{i}") for i in range(len(order))],
             *[F.col(f"_pl{j}") for j in range(len(payload))],
         )).alias("_best")
-        matches = cand.groupBy(*point_keys).agg(best).select(
+        return cand.groupBy(*point_keys).agg(best).select(
             *point_keys, *[F.col(f"_best._pl{j}").alias(out_names[j]) for j in range(len(payload))]
         )
-    elif resolve == "all":
-        matches = cand.select(
+    if resolve == "all":
+        return cand.select(
             *point_keys, *[F.col(f"_pl{j}").alias(out_names[j]) for j in range(len(payload))]
         )
-    else:
-        raise ValueError(f"unknown resolve {resolve!r}")
+    raise ValueError(f"unknown resolve {resolve!r}")
+
 
+def range_join(points: DataFrame, ranges: DataFrame, ip: str, lo: str, hi: str, payload: Sequence[str],
+               equi: Sequence[tuple[str, str]] = (), **kw) -> DataFrame:
+    """Left-join ``payload`` columns of ``ranges`` onto ``points``.
+
+    ``equi`` pairs (point column, range column) must also be equal.
+    ``order`` (Columns over range columns) breaks ties after the range width
+    when ``resolve='most_specific'``; ``rename`` maps payload names to output
+    names. The join itself runs on the distinct key set only.
+    """
+    point_keys = [ip] + [p for p, _ in equi]
+    keys = points.select(*point_keys).where(F.col(ip).isNotNull()).distinct()
+    matches = range_matches(keys, ranges, ip, lo, hi, payload, equi=equi, **kw)
     return points.join(matches, point_keys, "left")
 
 

@@ -18,6 +18,7 @@ from ..functions.ipmath import ip_to_int
 from ..operators.dns import dns_daily_summary, primary_domain, with_primary_domain
 from ..operators.lookups import with_account, with_owner_labels
 from ..operators.topn import top_n_per_group
+from ..session import materialize
 from .ipmeta import ip_metadata, join_metadata, with_asn
 
 DAY = ["year", "month", "day"]
@@ -113,7 +114,7 @@ def destination_asn_service(flows: DataFrame, dims, mode: str = "literal") -> Da
     pre = egress(flows, mode).groupBy(*VPC, "dstaddr", "pkt_dst_aws_service", *DAY).agg(
         F.sum("bytes").alias("_b"), F.count(F.lit(1)).alias("_n")
     )
-    dst = pre.select("dstaddr").distinct().withColumn("dst_ip_int", ip_to_int("dstaddr"))
+    dst = materialize(pre.select("dstaddr").distinct().withColumn("dst_ip_int", ip_to_int("dstaddr")))
     asn = with_asn(dst, dims).select("dstaddr", "asn_org")
     enriched = pre.join(asn, "dstaddr", "left")
     agg = enriched.groupBy(

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ipmath import ip_to_int
-from ..operators.rangejoin import range_join
+from ..operators.rangejoin import range_join, range_matches
+from ..session import materialize
 from ..sources.fixtures import UMBRELLA_SERVICE
 
 
@@ -44,13 +45,32 @@ def with_cloud(points: DataFrame, dims, ip: str = "dst_ip_int", service: str | N
 
 def ip_metadata(flows: DataFrame, dims, keys: Sequence[str] = ("dstaddr",), service_matched: bool = False) -> DataFrame:
     """Distinct ``keys`` of ``flows`` with country_name, asn_org,
-    final_service_type and aws_region. ``service_matched`` requires the cloud
-    range to carry the flow's pkt_dst_aws_service (keys must include it)."""
+    final_service_type, aws_region (and cloud_service). ``service_matched``
+    requires the cloud range to carry the flow's pkt_dst_aws_service (keys
+    must include it). The distinct address set is computed once and shared
+    by the three range look-ups: it is checkpointed once, so the facts are
+    scanned once for it."""
     keys = list(keys)
-    pts = flows.select(*keys).distinct().withColumn("dst_ip_int", ip_to_int(F.col(keys[0])))
-    m = with_country(pts, dims)
-    m = with_asn(m, dims)
-    m = with_cloud(m, dims, service="pkt_dst_aws_service" if service_matched else None)
+    pts = materialize(flows.select(*keys).distinct().withColumn("dst_ip_int", ip_to_int(F.col(keys[0]))))
+    ips = pts.select("dst_ip_int").where(F.col("dst_ip_int").isNotNull()).distinct()
+    geo = range_matches(ips, dims.geo_blocks, "dst_ip_int", "network_start_integer", "network_end_integer",
+                        ["geoname_id"], rename={"geoname_id": "_geo_id"})
+    loc = dims.geo_locations.select(F.col("geoname_id").alias("_geo_id"), "country_name")
+    geo = geo.join(loc, "_geo_id", "left").drop("_geo_id")
+    asn = range_matches(ips, dims.geo_asn, "dst_ip_int", "network_start_integer", "network_end_integer",
+                        ["autonomous_system_organization"],
+                        rename={"autonomous_system_organization": "asn_org"})
+    if service_matched:
+        svc = "pkt_dst_aws_service"
+        cloud_keys = pts.select("dst_ip_int", svc).where(
+            F.col("dst_ip_int").isNotNull() & F.col(svc).isNotNull()).distinct()
+        equi, on = [(svc, "service")], ["dst_ip_int", svc]
+    else:
+        cloud_keys, equi, on = ips, [], ["dst_ip_int"]
+    cloud = range_matches(cloud_keys, dims.cloud_ranges, "dst_ip_int", "network_start_int", "network_end_int",
+                          ["service", "region"], equi=equi, order=cloud_order(),
+                          rename={"service": "cloud_service", "region": "cloud_region"})
+    m = pts.join(geo, "dst_ip_int", "left").join(asn, "dst_ip_int", "left").join(cloud, on, "left")
     return m.select(
         *keys, "dst_ip_int", "country_name", "asn_org",
         F.coalesce("cloud_service", F.lit("NON-AWS")).alias("final_service_type"),

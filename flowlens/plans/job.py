@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.filters import on_day
 from ..operators.dns import dns_daily_summary, primary_domain
-from ..session import ensure_checkpoint_dir
+from ..session import materialize
 from ..sinks.writers import write_partitioned
 from . import daily
 from .inputs import Inputs
@@ -26,18 +26,13 @@ from .ipmeta import ip_metadata
 OUTPUT_KEYS = ["account_id", "region", "year", "month", "day"]
 
 
-def _materialize(spark: SparkSession, df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(spark)
-    return df.checkpoint(eager=True)
-
-
 def daily_aggregates(spark: SparkSession, inputs: Inputs, day: tuple[str, str, str] | None = None,
                      mode: str = "literal") -> dict[str, DataFrame]:
     flows = inputs.flows.where(on_day(*day)) if day else inputs.flows
     dns = inputs.dns.where(on_day(*day)) if day else inputs.dns
     dims, ec2 = inputs.dims, inputs.dims.ec2
-    domains = _materialize(spark, primary_domain(dns_daily_summary(dns)))
-    meta = _materialize(spark, ip_metadata(
+    domains = materialize(primary_domain(dns_daily_summary(dns)))
+    meta = materialize(ip_metadata(
         daily.egress(flows, mode), dims, keys=("dstaddr", "pkt_dst_aws_service"), service_matched=True))
     return {
         "total_internet_egress": daily.total_internet_egress(flows, ec2, mode),

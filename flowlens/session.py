@@ -78,3 +78,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/flowlens/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Cut the lineage of a small, reused intermediate (a dictionary of
+    distinct keys) with a reliable checkpoint in the shared checkpoint folder:
+    every consumer reads the written files instead of recomputing it from the
+    facts, and a lost executor does not trigger recomputation either."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
