@@ -14,6 +14,8 @@ from ..operators.dns import dns_daily_summary, primary_domain, with_primary_doma
 from ..operators.lookups import with_owner_labels
 from ..operators.topn import tie_breakers, top_n_per_group
 from .daily import DAY, VPC, egress
+from ..operators.rangejoin import range_matches
+from ..session import materialize
 from .ipmeta import ip_metadata, join_metadata, with_asn, with_country
 
 # The service columns of the pivot report, in report order.
@@ -80,7 +82,7 @@ def domain_traffic_summary(joined: DataFrame, dims, day=None, n: int = 300) -> D
         g, [*VPC, "dstport"],
         [F.col("gb_transferred").desc_nulls_last(), *tie_breakers([*DAY, "domain", "destination_ip"])], n,
     )
-    pts = top.withColumn("dst_ip_int", ip_to_int("destination_ip"))
+    pts = materialize(top.withColumn("dst_ip_int", ip_to_int("destination_ip")))
     return with_country(pts, dims).select(
         "domain", "destination_ip", "dstport", "gb_transferred", "country_name", *VPC, *DAY
     )
@@ -115,7 +117,10 @@ def asn_service_rollup(joined: DataFrame, dims) -> DataFrame:
     guarded = pre.withColumn(
         "_gip", F.when(~L.has_service("pkt_dst_aws_service"), ip_to_int("destination_ip"))
     )
-    r = with_asn(guarded, dims, ip="_gip", name="_asn")
+    keys = materialize(guarded.select("_gip").where(F.col("_gip").isNotNull()).distinct())
+    asn = range_matches(keys, dims.geo_asn, "_gip", "network_start_integer", "network_end_integer",
+                        ["autonomous_system_organization"], rename={"autonomous_system_organization": "_asn"})
+    r = guarded.join(asn, "_gip", "left")
     return r.groupBy(
         *ROLLUP_KEYS,
         L.asn_org_label("pkt_dst_aws_service", "_asn").alias("asn_org"),
@@ -125,9 +130,9 @@ def asn_service_rollup(joined: DataFrame, dims) -> DataFrame:
 
 def ip_asn_dictionary(joined: DataFrame, dims) -> DataFrame:
     """Distinct external destinations (no packet service) -> ASN organisation."""
-    ips = joined.where(F.col("instance_id").isNotNull() & ~L.has_service("pkt_dst_aws_service")).select(
+    ips = materialize(joined.where(F.col("instance_id").isNotNull() & ~L.has_service("pkt_dst_aws_service")).select(
         "destination_ip"
-    ).distinct().withColumn("dst_ip_int", ip_to_int("destination_ip"))
+    ).distinct().withColumn("dst_ip_int", ip_to_int("destination_ip")))
     return with_asn(ips, dims).select(
         "destination_ip", F.coalesce("asn_org", F.lit(L.UNKNOWN_ASN)).alias("asn_org")
     )
@@ -178,7 +183,7 @@ def egress_domain_country(flows: DataFrame, dims, resolved: DataFrame, mode: str
     crushed = egress(flows, mode).groupBy(*VPC, F.col("dstaddr").alias("destination_ip"), *DAY).agg(
         F.sum("bytes").alias("total_bytes")
     )
-    geo = crushed.select("destination_ip").distinct().withColumn("ip_int", ip_to_int("destination_ip"))
+    geo = materialize(crushed.select("destination_ip").distinct().withColumn("ip_int", ip_to_int("destination_ip")))
     geo = with_country(geo, dims, ip="ip_int")
     j = with_reverse_domain(crushed, resolved, ip="destination_ip", name="_rev")
     j = j.join(geo, "destination_ip", "left")

@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import daily
+from ..session import materialize
 from .inputs import Inputs, load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,7 +58,8 @@ def _joined(i: Inputs) -> DataFrame:
 
 def _dictionary_agg(i: Inputs) -> DataFrame:
     j = _joined(i)
-    return en.asn_service_from_dictionary(j, en.ip_asn_dictionary(j, i.dims))
+    # the dictionary is a table of its own (written once, then equi-joined)
+    return en.asn_service_from_dictionary(j, materialize(en.ip_asn_dictionary(j, i.dims)))
 
 
 register("joined_logs")(_joined)

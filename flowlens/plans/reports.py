@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import hour_bucket, log_date
 from ..functions.filters import report_filter
+from ..session import materialize
 
 
 def report_source(flows: DataFrame) -> DataFrame:
@@ -49,6 +50,7 @@ def report_flow_nodes(edges: DataFrame) -> DataFrame:
     """Graph node ids for the top-k edges: sources in edge order, then
     destinations, numbered by first appearance. Works on the k edges only."""
     order = [F.col("total_mb").desc_nulls_last(), F.col("srcaddr").asc_nulls_last(), F.col("dstaddr").asc_nulls_last()]
+    edges = materialize(edges)   # k rows, read twice below
     ranked = edges.withColumn("_r", F.row_number().over(Window.orderBy(*order)) - 1)
     k = F.count(F.lit(1)).over(Window.partitionBy(F.lit(0)))
     ranked = ranked.withColumn("_k", k)
