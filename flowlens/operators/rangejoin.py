@@ -14,7 +14,8 @@ nested-loop join. This operator turns it into an equi-join:
 3. Each point carries one key per level; equi-join on (level, bucket, equi
    keys) with the residual ``ip BETWEEN lo AND hi``.
 4. ``resolve='most_specific'`` keeps one range per point (narrowest first,
-   then the caller's order) with a hash aggregate; ``'all'`` keeps every match.
+   then the caller's order) with a partial+final aggregate; ``'all'`` keeps
+   every match.
 5. The payload is left-joined back to the points on the key set; points with
    a NULL address or no match keep NULL payload.
 
