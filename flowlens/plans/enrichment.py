@@ -45,7 +45,11 @@ def joined_logs(flows: DataFrame, dns: DataFrame, ec2: DataFrame, mode: str = "l
 
 
 def _meta(df: DataFrame, dims) -> DataFrame:
-    meta = ip_metadata(df, dims, keys=("destination_ip", "pkt_dst_aws_service"), service_matched=True)
+    """Enrich ``df`` (read twice: for its key set and for the join-back), so
+    it is checkpointed once and both reads use the written rows."""
+    df = materialize(df)
+    meta = ip_metadata(df, dims, keys=("destination_ip", "pkt_dst_aws_service"), service_matched=True,
+                       checkpoint_keys=False)
     return join_metadata(df, meta, ["destination_ip", "pkt_dst_aws_service"])
 
 

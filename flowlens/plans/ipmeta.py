@@ -43,15 +43,19 @@ def with_cloud(points: DataFrame, dims, ip: str = "dst_ip_int", service: str | N
                       rename={"service": names[0], "region": names[1]})
 
 
-def ip_metadata(flows: DataFrame, dims, keys: Sequence[str] = ("dstaddr",), service_matched: bool = False) -> DataFrame:
+def ip_metadata(flows: DataFrame, dims, keys: Sequence[str] = ("dstaddr",), service_matched: bool = False,
+                checkpoint_keys: bool = True) -> DataFrame:
     """Distinct ``keys`` of ``flows`` with country_name, asn_org,
     final_service_type, aws_region (and cloud_service). ``service_matched``
     requires the cloud range to carry the flow's pkt_dst_aws_service (keys
     must include it). The distinct address set is computed once and shared
     by the three range look-ups: it is checkpointed once, so the facts are
-    scanned once for it."""
+    scanned once for it (``checkpoint_keys=False`` when ``flows`` is itself
+    already written)."""
     keys = list(keys)
-    pts = materialize(flows.select(*keys).distinct().withColumn("dst_ip_int", ip_to_int(F.col(keys[0]))))
+    pts = flows.select(*keys).distinct().withColumn("dst_ip_int", ip_to_int(F.col(keys[0])))
+    if checkpoint_keys:
+        pts = materialize(pts)
     ips = pts.select("dst_ip_int").where(F.col("dst_ip_int").isNotNull()).distinct()
     geo = range_matches(ips, dims.geo_blocks, "dst_ip_int", "network_start_integer", "network_end_integer",
                         ["geoname_id"], rename={"geoname_id": "_geo_id"})

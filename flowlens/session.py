@@ -80,10 +80,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/flowlens/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df):
-    """Cut the lineage of a small, reused intermediate (a dictionary of
-    distinct keys) with a reliable checkpoint in the shared checkpoint folder:
-    every consumer reads the written files instead of recomputing it from the
-    facts, and a lost executor does not trigger recomputation either."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df, name: str = "table"):
+    """Cut the lineage of a reused intermediate by writing it as a Parquet
+    table in the shared checkpoint folder and reading it back: computed once
+    (one job), every consumer reads the files, a lost executor re-reads
+    instead of recomputing, and the planner sees the real size (so small
+    dictionaries are broadcast from the start)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
