@@ -3,10 +3,10 @@ Parquet (or a database through ``write_jdbc``).
 
 Shared intermediates -- the day's primary DNS domain per client/address and
 the destination metadata (country, ASN, cloud range) -- are computed once and
-cut from the lineage with a reliable ``checkpoint()`` (written under the
-cluster's ``spark.checkpoint.dir``), so a lost executor re-reads them instead
-of recomputing the range joins, and every aggregate that needs them reads the
-same files.
+cut from the lineage as Parquet tables written under the cluster's
+``spark.checkpoint.dir`` (``session.materialize``), so a lost executor re-reads
+them instead of recomputing the range joins, and every aggregate that needs
+them reads the same files.
 """
 
 from __future__ import annotations

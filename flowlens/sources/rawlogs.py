@@ -68,6 +68,34 @@ DNS_CURATED = [
 ]
 
 
+def parse_process_date(text: str) -> tuple[str, str, str]:
+    """Job date parameter ('2026/02/15', '2026-2-15', '20260215') ->
+    zero-padded (year, month, day) partition strings."""
+    digits = [p for p in text.replace("-", "/").split("/") if p]
+    if len(digits) == 1 and len(digits[0]) == 8:
+        digits = [digits[0][:4], digits[0][4:6], digits[0][6:]]
+    if len(digits) != 3:
+        raise ValueError(f"not a date: {text!r}")
+    y, m, d = digits
+    return y.zfill(4), m.zfill(2), d.zfill(2)
+
+
+def flow_log_paths(root: str, day: tuple[str, str, str], accounts=None, regions=None) -> list[str]:
+    """Input globs of one day in the aws layout: one per listed account (so
+    other accounts' prefixes are never listed), or a wildcard."""
+    y, m, d = day
+    accts = list(accounts) if accounts else ["*"]
+    regs = list(regions) if regions else ["*"]
+    return [f"{root.rstrip('/')}/AWSLogs/{a}/vpcflowlogs/{r}/{y}/{m}/{d}/" for a in accts for r in regs]
+
+
+def dns_log_paths(root: str, days, accounts=None, vpcs=None) -> list[str]:
+    accts = list(accounts) if accounts else ["*"]
+    vs = list(vpcs) if vpcs else ["*"]
+    return [f"{root.rstrip('/')}/AWSLogs/{a}/vpcdnsquerylogs/{v}/{y}/{m}/{d}/"
+            for (y, m, d) in days for a in accts for v in vs]
+
+
 def curated_name(raw: str) -> str:
     name = raw.replace("-", "_").lower()
     name = RESERVED_RENAMES.get(name, name)

@@ -90,3 +90,15 @@ def test_dns_answers_shapes(spark):
     assert explode_answers(df).count() == 3
     assert explode_answers(df, keep_empty=True).count() == 5
     assert dns_daily_summary(df).count() == 3
+
+
+def test_path_lists_and_dates(spark):
+    from flowlens.sources.rawlogs import flow_log_paths, parse_process_date
+    assert parse_process_date("2026/2/5") == ("2026", "02", "05")
+    assert parse_process_date("20260215") == ("2026", "02", "15")
+    root = tempfile.mkdtemp(prefix="flowlens-ingest-")
+    for acct in ("111111111111", "222222222222", "333333333333"):
+        _write(root, acct, "us-east-1", "15", RAW_FLOW_FIELDS, [_record()])
+    paths = flow_log_paths(root, parse_process_date("2026-02-15"), accounts=["111111111111", "333333333333"])
+    df = read_flow_logs(spark, paths)
+    assert sorted(r.account_id for r in df.collect()) == ["111111111111", "333333333333"]
