@@ -68,3 +68,22 @@ def test_lookup_has_one_row_per_key(inputs):
     lk = instance_lookup(inputs.dims.ec2)
     assert lk.count() == lk.select("account_id", "region", "instance_id").distinct().count()
     assert inputs.dims.ec2.count() > lk.count()                      # the fixture has duplicates
+
+
+def test_guarded_asn_join_equals_unguarded_plus_label(inputs):
+    from flowlens.functions import labels as L
+    from flowlens.functions.ipmath import ip_to_int
+    from flowlens.plans.ipmeta import with_asn
+
+    j = en.joined_logs(inputs.flows, inputs.dns, inputs.dims.ec2)
+    guarded = en.asn_service_rollup(j, inputs.dims)
+    pre = j.where(F.col("instance_id").isNotNull()).withColumn("dst_ip_int", ip_to_int("destination_ip"))
+    full = with_asn(pre, inputs.dims, name="_asn")          # every address looked up
+    keys = ["account_id", "account_name", "region", "vpc_id", "year", "month", "day"]
+    unguarded = full.groupBy(
+        *keys, L.asn_org_label("pkt_dst_aws_service", "_asn").alias("asn_org"),
+        L.service_label("pkt_dst_aws_service", L.GENERAL_TRAFFIC).alias("service_label"),
+    ).agg(F.sum("total_bytes").alias("total_bytes"))
+    cols = guarded.columns
+    assert sorted(map(tuple, guarded.collect()), key=str) == \
+        sorted(map(tuple, unguarded.select(*cols).collect()), key=str)
