@@ -15,7 +15,6 @@ collapsed) and get the domain by an equi-join on (key, start time).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F

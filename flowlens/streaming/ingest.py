@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..sinks.writers import _spread
 from ..sources.fixtures import FLOW_PARTITIONS
-from ..sources.rawlogs import FLOW_PATH_RE, RAW_HIVE_FLOW_KEYS, normalize_lines
+from ..sources.rawlogs import RAW_HIVE_FLOW_KEYS, normalize_lines
 
 
 def start_flow_ingest(spark: SparkSession, raw_root: str, out_path: str, checkpoint: str,
@@ -43,5 +43,3 @@ def start_flow_ingest(spark: SparkSession, raw_root: str, out_path: str, checkpo
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
 
-
-__all__ = ["start_flow_ingest", "FLOW_PATH_RE"]
