@@ -15,7 +15,8 @@ nested-loop join. This operator turns it into an equi-join:
    keys) with the residual ``ip BETWEEN lo AND hi``.
 4. ``resolve='most_specific'`` keeps one range per point (narrowest first,
    then the caller's order) with a partial+final aggregate; ``'all'`` keeps
-   every match.
+   every match. When the range table is proven disjoint (a cached,
+   distributed check) there is at most one match and the aggregate is skipped.
 5. The payload is left-joined back to the points on the key set; points with
    a NULL address or no match keep NULL payload.
 
@@ -29,7 +30,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BROADCAST_MAX_ROWS = 4_000_000
@@ -55,6 +56,28 @@ def _explode_ranges(ranges: DataFrame, bits: int, max_fanout: int) -> tuple[Data
     return exploded, F.sum(rows)
 
 
+_DISJOINT_CACHE: dict[int, bool] = {}
+
+
+def ranges_disjoint(rng: DataFrame, equi_cols: Sequence[str] = ()) -> bool:
+    """True when no two ranges (with equal ``equi_cols``) share an address.
+
+    Distributed check: every range is listed under each /8 it touches (at most
+    256 rows per range), and within each (equi keys, /8) group a range
+    overlaps an earlier one iff its start is <= the largest end seen so far.
+    Cached per range plan for the session."""
+    key = rng.semanticHash()
+    if key not in _DISJOINT_CACHE:
+        by8 = rng.select(
+            *equi_cols, "_lo", "_hi",
+            F.explode(F.sequence(F.shiftright("_lo", 24), F.shiftright("_hi", 24))).alias("_b8"),
+        )
+        w = Window.partitionBy(*equi_cols, "_b8").orderBy("_lo", "_hi").rowsBetween(Window.unboundedPreceding, -1)
+        clash = by8.withColumn("_prev_hi", F.max("_hi").over(w)).where(F.col("_prev_hi") >= F.col("_lo"))
+        _DISJOINT_CACHE[key] = clash.limit(1).count() == 0
+    return _DISJOINT_CACHE[key]
+
+
 def range_matches(
     keys: DataFrame,
     ranges: DataFrame,
@@ -118,6 +141,8 @@ def range_matches(
         *[exploded[f"_pl{j}"] for j in range(len(payload))],
     )
 
+    if resolve == "most_specific" and ranges_disjoint(rng, [f"_eq{i}" for i in range(len(equi))]):
+        resolve = "all"     # at most one match per key: nothing to resolve, no aggregate
     if resolve == "most_specific":
         best = F.min(F.struct(
             "_width",

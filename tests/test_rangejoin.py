@@ -55,3 +55,12 @@ def test_forced_sort_merge_path(spark):
     pts, ranges = _fixture(spark)
     got = range_join(pts, ranges, "ip", "lo", "hi", ["name"], broadcast_max_rows=0)
     assert {r.id: r.name for r in got.collect()} == _brute(pts, ranges, False)
+
+
+def test_disjoint_check(spark):
+    from flowlens.operators.rangejoin import ranges_disjoint
+    mk = lambda rows: spark.createDataFrame(rows, "_lo bigint, _hi bigint, _eq0 string")
+    assert ranges_disjoint(mk([(0, 9, "a"), (10, 19, "a"), (5, 7, "b")]), ["_eq0"])
+    assert not ranges_disjoint(mk([(0, 9, "a"), (9, 19, "a")]), ["_eq0"])
+    assert not ranges_disjoint(mk([(0, 2**26, "a"), (2**25, 2**25 + 5, "a")]), ["_eq0"])   # across /8 buckets
+    assert not ranges_disjoint(mk([(0, 9, "a"), (0, 9, "b")]), [])
