@@ -33,7 +33,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_MAX_ROWS = 4_000_000
+# ~100 bytes per exploded row: about 100 MB per executor at the bound
+DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
 
 # exact exploded-row counts of range tables already measured in this session,
 # keyed by the semantic hash of the range plan (reference data is static

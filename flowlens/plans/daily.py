@@ -19,7 +19,7 @@ from ..operators.dns import dns_daily_summary, primary_domain, with_primary_doma
 from ..operators.lookups import with_account, with_owner_labels
 from ..operators.topn import top_n_per_group
 from ..session import materialize
-from .ipmeta import ip_metadata, join_metadata, with_asn
+from .ipmeta import ip_metadata, join_metadata, with_asn, with_cloud
 
 DAY = ["year", "month", "day"]
 VPC = ["account_id", "region", "vpc_id"]
@@ -107,19 +107,30 @@ def vpc_top_ports(flows: DataFrame, ec2: DataFrame, mode: str = "literal") -> Da
     )
 
 
-def destination_asn_service(flows: DataFrame, dims, mode: str = "literal") -> DataFrame:
-    """Bytes per destination ASN x packet service. The reference also joined
-    the (overlapping) cloud ranges without using them, multiplying bytes; that
-    join contributes no column and is left out."""
+def destination_asn_service(flows: DataFrame, dims, mode: str = "literal", service_from: str = "packet") -> DataFrame:
+    """Bytes per destination ASN x service label.
+
+    ``service_from='packet'`` (default): the flow's packet-level service, empty
+    -> NON-AWS. The reference also joined the (overlapping) cloud ranges
+    without using them, multiplying bytes; that join contributes no column and
+    is left out. ``service_from='range'``: the service of the narrowest cloud
+    range holding the address (the other variant of the reference)."""
     pre = egress(flows, mode).groupBy(*VPC, "dstaddr", "pkt_dst_aws_service", *DAY).agg(
         F.sum("bytes").alias("_b"), F.count(F.lit(1)).alias("_n")
     )
     dst = materialize(pre.select("dstaddr").distinct().withColumn("dst_ip_int", ip_to_int("dstaddr")))
-    asn = with_asn(dst, dims).select("dstaddr", "asn_org")
-    enriched = pre.join(asn, "dstaddr", "left")
+    asn = with_asn(dst, dims)
+    if service_from == "range":
+        asn = with_cloud(asn, dims)
+        label = L.final_service("cloud_service")
+    elif service_from == "packet":
+        asn = asn.withColumn("cloud_service", F.lit(None).cast("string"))
+        label = L.service_label("pkt_dst_aws_service")
+    else:
+        raise ValueError(f"unknown service_from {service_from!r}")
+    enriched = pre.join(asn.select("dstaddr", "asn_org", "cloud_service"), "dstaddr", "left")
     agg = enriched.groupBy(
-        *VPC, F.coalesce("asn_org", F.lit(L.UNKNOWN)).alias("asn_org"),
-        L.service_label("pkt_dst_aws_service").alias("service_label"), *DAY,
+        *VPC, F.coalesce("asn_org", F.lit(L.UNKNOWN)).alias("asn_org"), label.alias("service_label"), *DAY,
     ).agg(F.sum("_b").alias("total_bytes"), F.sum("_n").alias("flow_count"))
     return with_account(agg, dims.ec2).select(
         "account_name", *VPC, "asn_org", "service_label", "total_bytes",

@@ -69,7 +69,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current.get()
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="flowlens-ckpt-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        configured = tempfile.mkdtemp(prefix="flowlens-ckpt-")   # local runs only
     sc.setCheckpointDir(configured)
     return sc._jsc.sc().getCheckpointDir().get()
 

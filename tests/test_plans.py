@@ -87,3 +87,11 @@ def test_guarded_asn_join_equals_unguarded_plus_label(inputs):
     cols = guarded.columns
     assert sorted(map(tuple, guarded.collect()), key=str) == \
         sorted(map(tuple, unguarded.select(*cols).collect()), key=str)
+
+
+def test_asn_service_label_variants_conserve_bytes(inputs):
+    packet = daily.destination_asn_service(inputs.flows, inputs.dims)
+    ranged = daily.destination_asn_service(inputs.flows, inputs.dims, service_from="range")
+    assert _bytes(packet, "total_bytes") == _bytes(ranged, "total_bytes")
+    labels = {r[0] for r in ranged.select("service_label").distinct().collect()}
+    assert "NON-AWS" in labels and "S3" in labels and "AMAZON" not in labels   # umbrella label loses ties
