@@ -44,3 +44,36 @@ class Inputs:
 def load(spark: SparkSession, sf_dir: str) -> Inputs:
     prepare(spark)
     return Inputs(spark, sf_dir)
+
+
+# Folder names of the dimension tables under the dimensions root (parameters
+# of a deployment; override with ``dim_dirs``).
+DIM_DIRS = {
+    "ec2": "ec2_details",
+    "geo_blocks": "geo_country_blocks_range",
+    "geo_locations": "geo_country_locations",
+    "geo_asn": "geo_asn_blocks_range",
+    "cloud_ranges": "aws_ip_ranges_int",
+}
+
+
+def load_curated(spark: SparkSession, flows_root: str, dns_root: str, dims_root: str,
+                 day: tuple[str, str, str] | None = None, accounts=None, resolved_path: str | None = None,
+                 dim_dirs: dict | None = None) -> Inputs:
+    """Inputs of a deployment: curated flow and DNS Parquet (partition-pruned
+    to ``day`` / ``accounts``) and the dimension tables."""
+    from ..sources.rawlogs import read_curated
+
+    prepare(spark)
+    dirs = {**DIM_DIRS, **(dim_dirs or {})}
+    y, m, d = day if day else (None, None, None)
+    flows = read_curated(spark, flows_root, y, m, d, accounts)
+    dns = read_curated(spark, dns_root, y, m, d, accounts)
+
+    def dim(name):
+        return spark.read.option("mergeSchema", "false").parquet(f"{dims_root.rstrip('/')}/{dirs[name]}")
+
+    dims = fixtures.Dims(**{k: dim(k) for k in DIM_DIRS})
+    resolved = (spark.read.parquet(resolved_path) if resolved_path
+                else spark.createDataFrame([], "dstaddr string, domain string"))
+    return Inputs.from_frames(spark, flows, dns, dims, resolved)
