@@ -115,13 +115,13 @@ ROLLUP_KEYS = ["account_id", "account_name", "region", "vpc_id", *DAY]
 def asn_service_rollup(joined: DataFrame, dims) -> DataFrame:
     """ASN x service bytes. The ASN range join is attempted only for
     destinations without a packet-level service (the guard nulls the key)."""
-    pre = joined.where(F.col("instance_id").isNotNull()).groupBy(
+    pre = materialize(joined.where(F.col("instance_id").isNotNull()).groupBy(
         *ROLLUP_KEYS, "destination_ip", "pkt_dst_aws_service"
-    ).agg(F.sum("total_bytes").alias("total_bytes"))
+    ).agg(F.sum("total_bytes").alias("total_bytes")))
     guarded = pre.withColumn(
         "_gip", F.when(~L.has_service("pkt_dst_aws_service"), ip_to_int("destination_ip"))
     )
-    keys = materialize(guarded.select("_gip").where(F.col("_gip").isNotNull()).distinct())
+    keys = guarded.select("_gip").where(F.col("_gip").isNotNull()).distinct()
     asn = range_matches(keys, dims.geo_asn, "_gip", "network_start_integer", "network_end_integer",
                         ["autonomous_system_organization"], rename={"autonomous_system_organization": "_asn"})
     r = guarded.join(asn, "_gip", "left")
@@ -134,9 +134,9 @@ def asn_service_rollup(joined: DataFrame, dims) -> DataFrame:
 
 def ip_asn_dictionary(joined: DataFrame, dims) -> DataFrame:
     """Distinct external destinations (no packet service) -> ASN organisation."""
-    ips = materialize(joined.where(F.col("instance_id").isNotNull() & ~L.has_service("pkt_dst_aws_service")).select(
+    ips = joined.where(F.col("instance_id").isNotNull() & ~L.has_service("pkt_dst_aws_service")).select(
         "destination_ip"
-    ).distinct().withColumn("dst_ip_int", ip_to_int("destination_ip")))
+    ).distinct().withColumn("dst_ip_int", ip_to_int("destination_ip"))
     return with_asn(ips, dims).select(
         "destination_ip", F.coalesce("asn_org", F.lit(L.UNKNOWN_ASN)).alias("asn_org")
     )
@@ -187,6 +187,7 @@ def egress_domain_country(flows: DataFrame, dims, resolved: DataFrame, mode: str
     crushed = egress(flows, mode).groupBy(*VPC, F.col("dstaddr").alias("destination_ip"), *DAY).agg(
         F.sum("bytes").alias("total_bytes")
     )
+    # the destination dictionary is a narrow pass over the facts, written once
     geo = materialize(crushed.select("destination_ip").distinct().withColumn("ip_int", ip_to_int("destination_ip")))
     geo = with_country(geo, dims, ip="ip_int")
     j = with_reverse_domain(crushed, resolved, ip="destination_ip", name="_rev")

@@ -57,8 +57,9 @@ def _joined(i: Inputs) -> DataFrame:
 
 
 def _dictionary_agg(i: Inputs) -> DataFrame:
-    j = _joined(i)
-    # the dictionary is a table of its own (written once, then equi-joined)
+    # the joined logs feed the dictionary and the roll-up; the dictionary is a
+    # table of its own: both are written once
+    j = materialize(_joined(i))
     return en.asn_service_from_dictionary(j, materialize(en.ip_asn_dictionary(j, i.dims)))
 
 
