@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.filters import on_day
 from ..operators.dns import dns_daily_summary, primary_domain
-from ..session import materialize
+from ..session import drop_scratch, materialize, scratch_mark
 from ..sinks.writers import write_partitioned
 from . import daily
 from .inputs import Inputs
@@ -52,13 +52,18 @@ def daily_aggregates(spark: SparkSession, inputs: Inputs, day: tuple[str, str, s
 def run_daily_job(spark: SparkSession, inputs: Inputs, out_root: str, day: tuple[str, str, str] | None = None,
                   writer: Callable[[DataFrame, str], None] | None = None) -> dict[str, str]:
     """Compute and write the ten aggregates; returns name -> output path.
-    Re-running a day overwrites only that day's partitions."""
+    Re-running a day overwrites only that day's partitions. The job's scratch
+    tables are deleted once every output is written."""
+    mark = scratch_mark()
     outputs = {}
-    for name, df in daily_aggregates(spark, inputs, day).items():
-        path = f"{out_root.rstrip('/')}/{name}"
-        if writer is None:
-            write_partitioned(df, path, OUTPUT_KEYS, salt_buckets=4)
-        else:
-            writer(df, path)
-        outputs[name] = path
+    try:
+        for name, df in daily_aggregates(spark, inputs, day).items():
+            path = f"{out_root.rstrip('/')}/{name}"
+            if writer is None:
+                write_partitioned(df, path, OUTPUT_KEYS, salt_buckets=4)
+            else:
+                writer(df, path)
+            outputs[name] = path
+    finally:
+        drop_scratch(spark, mark)
     return outputs

@@ -76,10 +76,35 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/flowlens/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/flowlens/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def scratch_mark() -> int:
+    return len(_SCRATCH)
+
+
+def drop_scratch(spark: SparkSession, since: int = 0) -> int:
+    """Delete the scratch tables created after ``since`` (a ``scratch_mark``)
+    through the Hadoop FileSystem API of the session (works for any shared
+    store). Call only once nothing reads them any more."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    dropped = 0
+    while len(_SCRATCH) > since:
+        p = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        fs = p.getFileSystem(conf)
+        if fs.exists(p):
+            fs.delete(p, True)
+            dropped += 1
+    return dropped
 
 
 def materialize(df, name: str = "table"):
