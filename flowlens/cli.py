@@ -3,6 +3,9 @@
     python -m flowlens.cli ingest-flows --raw s3://raw --out s3://curated/flows --date 2026/02/15 [--accounts A B]
     python -m flowlens.cli ingest-dns   --raw s3://raw --out s3://curated/dns --date 2026/02/15
     python -m flowlens.cli daily --flows ... --dns ... --dims ... --date 2026/02/15 --out s3://aggregates
+    python -m flowlens.cli run --name top_flows_enriched --flows ... --dns ... --dims ... --date ... --out ...
+    python -m flowlens.cli report --name rejected --flows ... --date 2026-02-15 [--action REJECT]
+                                  [--service S3] [--ip 10.0.1.5] [--limit 20]
 
 The session comes from the launcher (spark-submit); ``--master`` is for local
 runs only.
@@ -15,12 +18,23 @@ import argparse
 from pyspark.sql import SparkSession
 
 from .plans.etl import DNS_FILE_RECORDS, FLOW_FILE_RECORDS
+from .plans import reports as rp
 from .plans.inputs import load_curated
+from .plans.registry import PLANS
 from .plans.job import run_daily_job
 from .session import prepare
 from .sinks.writers import write_partitioned
 from .sources.fixtures import DNS_PARTITIONS, FLOW_PARTITIONS
-from .sources.rawlogs import dns_log_paths, flow_log_paths, parse_process_date, read_dns_logs, read_flow_logs
+from .plans.reports import report_source
+from .sources.rawlogs import (dns_log_paths, flow_log_paths, parse_process_date, read_curated, read_dns_logs,
+                              read_flow_logs)
+
+REPORTS = {
+    "traffic_by_hour": rp.report_traffic_by_hour,
+    "top_services": rp.report_top_services,
+    "flow_edges": rp.report_flow_edges,
+    "rejected": rp.report_rejected,
+}
 
 
 def _session(master: str | None) -> SparkSession:
@@ -40,11 +54,22 @@ def main(argv=None) -> int:
         p.add_argument("--out", required=True)
         p.add_argument("--date", required=True)
         p.add_argument("--accounts", nargs="*")
-    p = sub.add_parser("daily")
-    for a in ("--flows", "--dns", "--dims", "--out"):
-        p.add_argument(a, required=True)
+    for name in ("daily", "run"):
+        p = sub.add_parser(name)
+        for a in ("--flows", "--dns", "--dims", "--out"):
+            p.add_argument(a, required=True)
+        p.add_argument("--date", required=True)
+        p.add_argument("--resolved")
+        if name == "run":
+            p.add_argument("--name", required=True)
+    p = sub.add_parser("report")
+    p.add_argument("--name", required=True, choices=sorted(REPORTS))
+    p.add_argument("--flows", required=True)
     p.add_argument("--date", required=True)
-    p.add_argument("--resolved")
+    p.add_argument("--action")
+    p.add_argument("--service")
+    p.add_argument("--ip")
+    p.add_argument("--limit", type=int, default=20)
     args = ap.parse_args(argv)
 
     spark = _session(args.master)
@@ -55,9 +80,20 @@ def main(argv=None) -> int:
     elif args.cmd == "ingest-dns":
         df = read_dns_logs(spark, dns_log_paths(args.raw, [day], args.accounts))
         write_partitioned(df, args.out, DNS_PARTITIONS, max_records=DNS_FILE_RECORDS)
-    else:
+    elif args.cmd == "daily":
         inputs = load_curated(spark, args.flows, args.dns, args.dims, day, resolved_path=args.resolved)
         run_daily_job(spark, inputs, args.out, day)
+    elif args.cmd == "run":
+        inputs = load_curated(spark, args.flows, args.dns, args.dims, day, resolved_path=args.resolved)
+        PLANS[args.name](inputs).write.mode("overwrite").parquet(args.out)
+    else:
+        y, m, d = day
+        src = report_source(read_curated(spark, args.flows, y, m, d))
+        flt = dict(date=f"{y}-{m}-{d}", action=args.action, service=args.service, ip=args.ip)
+        fn = REPORTS[args.name]
+        df = fn(src, **flt) if args.name in ("traffic_by_hour", "top_services") else fn(src, args.limit, **flt)
+        for row in df.collect():      # a top-k report: at most ``limit`` rows
+            print("\t".join("" if v is None else str(v) for v in row))
     return 0
 
 

@@ -15,10 +15,13 @@ from .inputs import Inputs, load
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+# the same plans as functions of ``Inputs`` (fixture or curated inputs)
+PLANS: dict[str, Callable[[Inputs], DataFrame]] = {}
 
 
 def register(name: str):
     def deco(fn: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
+        PLANS[name] = fn
         QUERIES[name] = lambda spark, sf_dir: fn(load(spark, sf_dir))
         return fn
     return deco

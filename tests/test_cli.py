@@ -33,3 +33,22 @@ def test_cli_ingest_and_daily(spark, inputs):
     exp = daily.total_internet_egress(inputs.flows, inputs.dims.ec2)
     cols = exp.columns
     assert sorted(map(tuple, got.select(*cols).collect()), key=str) == sorted(map(tuple, exp.collect()), key=str)
+
+
+def test_cli_run_and_report(spark, inputs, capsys):
+    root = tempfile.mkdtemp(prefix="flowlens-cli-")
+    flows_dir, dns_dir, dims_dir = (os.path.join(root, d) for d in ("cflows", "cdns", "dims"))
+    write_partitioned(inputs.flows, flows_dir, ["account_id", "region", "year", "month", "day"])
+    write_partitioned(inputs.dns, dns_dir, ["account_id", "vpc_id", "year", "month", "day"])
+    for attr, folder in DIM_DIRS.items():
+        getattr(inputs.dims, attr).write.parquet(os.path.join(dims_dir, folder))
+    out = os.path.join(root, "top")
+    assert main(["run", "--name", "top_flows_enriched", "--flows", flows_dir, "--dns", dns_dir,
+                 "--dims", dims_dir, "--date", "2026-02-15", "--out", out]) == 0
+    from flowlens.plans import enrichment as en
+    exp = en.top_flows_enriched(en.joined_logs(inputs.flows, inputs.dns, inputs.dims.ec2), inputs.dims)
+    assert spark.read.parquet(out).count() == exp.count()
+    capsys.readouterr()
+    assert main(["report", "--name", "rejected", "--flows", flows_dir, "--date", "2026-02-15", "--limit", "5"]) == 0
+    lines = capsys.readouterr().out.strip().splitlines()
+    assert len(lines) == 5
