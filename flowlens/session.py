@@ -30,6 +30,34 @@ RUNTIME_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, executor_cores: int = 4, executor_memory_gb: int = 16,
+                 target_partition_mb: int = 256) -> dict[str, str]:
+    """Settings for a cluster run over ``input_bytes`` of compressed input.
+
+    Shuffle partitions are sized so a partition holds about
+    ``target_partition_mb`` of shuffle data (AQE coalesces smaller ones and
+    splits skewed ones); scans pack files into ~``target_partition_mb`` splits.
+    Static confs (serializer, speculation, memory) belong on spark-submit or
+    the builder; the SQL ones can also be set at run time."""
+    mb = 1024 * 1024
+    partitions = max(200, int(input_bytes // (target_partition_mb * mb)))
+    return {
+        "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
+        "spark.speculation": "true",
+        "spark.executor.cores": str(executor_cores),
+        "spark.executor.memory": f"{executor_memory_gb}g",
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_mb * mb),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_mb * mb),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_mb * mb),
+        "spark.sql.files.openCostInBytes": str(8 * mb),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * mb),
+        "spark.sql.parquet.compression.codec": "snappy",
+        **RUNTIME_CONF,
+    }
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
