@@ -112,13 +112,15 @@ def range_matches(
     ).select(*point_keys, F.col("_k.l").alias("_lvl"), F.col("_k.b").alias("_b"))
 
     order_fields = [c.alias(f"_ord{i}") for i, c in enumerate(order)]
+    # IPv4 ranges only: IPv6 or malformed rows (too large for BIGINT, or outside
+    # [0, 2^32)) are ignored rather than raising or exploding
     rng = ranges.select(
-        F.col(lo).cast("bigint").alias("_lo"),
-        F.col(hi).cast("bigint").alias("_hi"),
+        F.col(lo).try_cast("bigint").alias("_lo"),
+        F.col(hi).try_cast("bigint").alias("_hi"),
         *[F.col(r).alias(f"_eq{i}") for i, (_, r) in enumerate(equi)],
         *order_fields,
         *[F.col(c).alias(f"_pl{j}") for j, c in enumerate(payload)],
-    ).where(F.col("_lo").isNotNull() & F.col("_hi").isNotNull() & (F.col("_lo") <= F.col("_hi")))
+    ).where((F.col("_lo") >= 0) & (F.col("_hi") < F.lit(1 << 32)) & (F.col("_lo") <= F.col("_hi")))
     exploded, row_count = _explode_ranges(rng, bits, max_fanout)
 
     # exact size of the exploded table: one aggregate over the (small) range table

@@ -64,3 +64,16 @@ def test_disjoint_check(spark):
     assert not ranges_disjoint(mk([(0, 9, "a"), (9, 19, "a")]), ["_eq0"])
     assert not ranges_disjoint(mk([(0, 2**26, "a"), (2**25, 2**25 + 5, "a")]), ["_eq0"])   # across /8 buckets
     assert not ranges_disjoint(mk([(0, 9, "a"), (0, 9, "b")]), [])
+
+
+def test_ipv6_and_bad_ranges_are_ignored(spark):
+    from decimal import Decimal
+    pts = spark.createDataFrame([(1, 167772161)], "id int, ip bigint")
+    ranges = spark.createDataFrame([
+        (Decimal(167772160), Decimal(184549375), "v4"),
+        (Decimal(2**100), Decimal(2**100 + 10), "v6"),
+        (Decimal(-5), Decimal(3), "neg"),
+        (Decimal(20), Decimal(10), "reversed"),
+    ], "lo decimal(38,0), hi decimal(38,0), name string")
+    got = range_join(pts, ranges, "ip", "lo", "hi", ["name"])
+    assert [r.name for r in got.collect()] == ["v4"]
