@@ -1,7 +1,7 @@
 """Command line jobs.
 
     python -m flowlens.cli ingest-flows --raw s3://raw --out s3://curated/flows --date 2026/02/15 [--accounts A B]
-    python -m flowlens.cli ingest-dns   --raw s3://raw --out s3://curated/dns --date 2026/02/15
+    python -m flowlens.cli ingest-dns   --raw s3://raw --out s3://curated/dns --date 2026/02/15 2026/02/16 ...
     python -m flowlens.cli daily --flows ... --dns ... --dims ... --date 2026/02/15 --out s3://aggregates
     python -m flowlens.cli run --name top_flows_enriched --flows ... --dns ... --dims ... --date ... --out ...
     python -m flowlens.cli report --name rejected --flows ... --date 2026-02-15 [--action REJECT]
@@ -52,7 +52,7 @@ def main(argv=None) -> int:
         p = sub.add_parser(name)
         p.add_argument("--raw", required=True)
         p.add_argument("--out", required=True)
-        p.add_argument("--date", required=True)
+        p.add_argument("--date", required=True, nargs="+", help="one or more days")
         p.add_argument("--accounts", nargs="*")
     for name in ("daily", "run"):
         p = sub.add_parser(name)
@@ -73,13 +73,16 @@ def main(argv=None) -> int:
     args = ap.parse_args(argv)
 
     spark = _session(args.master)
+    if args.cmd.startswith("ingest"):
+        days = [parse_process_date(d) for d in args.date]
+        if args.cmd == "ingest-flows":
+            paths = [p for day in days for p in flow_log_paths(args.raw, day, args.accounts)]
+            write_partitioned(read_flow_logs(spark, paths), args.out, FLOW_PARTITIONS, max_records=FLOW_FILE_RECORDS)
+        else:
+            df = read_dns_logs(spark, dns_log_paths(args.raw, days, args.accounts))
+            write_partitioned(df, args.out, DNS_PARTITIONS, max_records=DNS_FILE_RECORDS)
+        return 0
     day = parse_process_date(args.date)
-    if args.cmd == "ingest-flows":
-        df = read_flow_logs(spark, flow_log_paths(args.raw, day, args.accounts))
-        write_partitioned(df, args.out, FLOW_PARTITIONS, max_records=FLOW_FILE_RECORDS)
-    elif args.cmd == "ingest-dns":
-        df = read_dns_logs(spark, dns_log_paths(args.raw, [day], args.accounts))
-        write_partitioned(df, args.out, DNS_PARTITIONS, max_records=DNS_FILE_RECORDS)
     elif args.cmd == "daily":
         inputs = load_curated(spark, args.flows, args.dns, args.dims, day, resolved_path=args.resolved)
         run_daily_job(spark, inputs, args.out, day)

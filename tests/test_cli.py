@@ -17,8 +17,10 @@ def test_cli_ingest_and_daily(spark, inputs):
     root = tempfile.mkdtemp(prefix="flowlens-cli-")
     raw = os.path.join(root, "raw")
     _write(raw, "111111111111", "us-east-1", "15", RAW_FLOW_FIELDS, [_record(), _record(bytes="10")])
-    assert main(["ingest-flows", "--raw", raw, "--out", os.path.join(root, "flows"), "--date", "2026/2/15"]) == 0
-    assert read_curated(spark, os.path.join(root, "flows")).count() == 2
+    _write(raw, "111111111111", "us-east-1", "16", RAW_FLOW_FIELDS, [_record()])
+    assert main(["ingest-flows", "--raw", raw, "--out", os.path.join(root, "flows"),
+                 "--date", "2026/2/15", "2026-02-16"]) == 0
+    assert read_curated(spark, os.path.join(root, "flows")).count() == 3
 
     # deployment layout built from the fixture: curated flows/DNS + dimension folders
     flows_dir, dns_dir, dims_dir = (os.path.join(root, d) for d in ("cflows", "cdns", "dims"))
