@@ -83,7 +83,7 @@ def main(argv=None) -> int:
             write_partitioned(df, args.out, DNS_PARTITIONS, max_records=DNS_FILE_RECORDS)
         return 0
     day = parse_process_date(args.date)
-    elif args.cmd == "daily":
+    if args.cmd == "daily":
         inputs = load_curated(spark, args.flows, args.dns, args.dims, day, resolved_path=args.resolved)
         run_daily_job(spark, inputs, args.out, day)
     elif args.cmd == "run":
