@@ -97,10 +97,17 @@ register("report_rejected")(lambda i: rp.report_rejected(_src(i), date=REPORT_DA
 
 # ---- ETL: raw -> curated round trips, database copy, file profile ----------
 from . import etl  # noqa: E402
+from ..session import prepare  # noqa: E402
 
-QUERIES["ingest_flow_logs"] = lambda spark, sf_dir: etl.flow_roundtrip(load(spark, sf_dir) and spark, sf_dir)
-QUERIES["ingest_dns_logs"] = lambda spark, sf_dir: etl.dns_roundtrip(load(spark, sf_dir) and spark, sf_dir)
+
+def _file_query(fn: Callable[[SparkSession, str], DataFrame]) -> Query:
+    """Queries that read or write files themselves (no ``Inputs``)."""
+    return lambda spark, sf_dir: fn(prepare(spark), sf_dir)
+
+
+QUERIES["ingest_flow_logs"] = _file_query(etl.flow_roundtrip)
+QUERIES["ingest_dns_logs"] = _file_query(etl.dns_roundtrip)
 register("publish_curated")(lambda i: etl.publish_curated(i.flows))
-QUERIES["profile_rows_per_file"] = lambda spark, sf_dir: daily.profile_rows_per_file(
-    load(spark, sf_dir) and spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet")
+QUERIES["profile_rows_per_file"] = _file_query(
+    lambda spark, sf_dir: daily.profile_rows_per_file(spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet"))
 )
