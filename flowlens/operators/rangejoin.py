@@ -36,10 +36,15 @@ from pyspark.sql import functions as F
 # ~100 bytes per exploded row: about 100 MB per executor at the bound
 DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
 
-# exact exploded-row counts of range tables already measured in this session,
-# keyed by the semantic hash of the range plan (reference data is static
-# within a job; a stale entry can only change the join strategy, not results)
-_SIZE_CACHE: dict[tuple[int, int, int], int] = {}
+
+
+def _fanout_rows(bits: int, max_fanout: int) -> Column:
+    """Rows one range explodes into (fine level if it spans <= max_fanout
+    buckets, else the /8 level)."""
+    lo, hi = F.col("_lo"), F.col("_hi")
+    span_fine = F.shiftright(hi, 32 - bits) - F.shiftright(lo, 32 - bits) + 1
+    return F.when(span_fine <= max_fanout, span_fine).otherwise(
+        F.shiftright(hi, 24) - F.shiftright(lo, 24) + 1)
 
 
 def _explode_ranges(ranges: DataFrame, bits: int, max_fanout: int) -> tuple[DataFrame, Column]:
@@ -57,26 +62,38 @@ def _explode_ranges(ranges: DataFrame, bits: int, max_fanout: int) -> tuple[Data
     return exploded, F.sum(rows)
 
 
-_DISJOINT_CACHE: dict[int, bool] = {}
+_STATS_CACHE: dict[tuple, tuple[int, bool]] = {}
 
 
-def ranges_disjoint(rng: DataFrame, equi_cols: Sequence[str] = ()) -> bool:
-    """True when no two ranges (with equal ``equi_cols``) share an address.
-
-    Distributed check: every range is listed under each /8 it touches (at most
-    256 rows per range), and within each (equi keys, /8) group a range
-    overlaps an earlier one iff its start is <= the largest end seen so far.
-    Cached per range plan for the session."""
-    key = rng.semanticHash()
-    if key not in _DISJOINT_CACHE:
+def range_stats(rng: DataFrame, equi_cols: Sequence[str] = (), bits: int = 16,
+                max_fanout: int = 256) -> tuple[int, bool]:
+    """(exploded row count, disjoint) of a prepared range table, in one job.
+
+    Disjointness is checked distributedly: every range is listed under each
+    /8 it touches (at most 256 rows per range), and within each (equi keys,
+    /8) group a range overlaps an earlier one iff its start is <= the largest
+    end seen so far. Cached per range plan for the session (reference data is
+    static within a job; a stale entry could only change the join strategy)."""
+    key = (rng.semanticHash(), tuple(equi_cols), bits, max_fanout)
+    if key not in _STATS_CACHE:
+        first8 = F.shiftright("_lo", 24)
         by8 = rng.select(
-            *equi_cols, "_lo", "_hi",
-            F.explode(F.sequence(F.shiftright("_lo", 24), F.shiftright("_hi", 24))).alias("_b8"),
+            *equi_cols, "_lo", "_hi", first8.alias("_f8"),
+            F.explode(F.sequence(first8, F.shiftright("_hi", 24))).alias("_b8"),
         )
         w = Window.partitionBy(*equi_cols, "_b8").orderBy("_lo", "_hi").rowsBetween(Window.unboundedPreceding, -1)
-        clash = by8.withColumn("_prev_hi", F.max("_hi").over(w)).where(F.col("_prev_hi") >= F.col("_lo"))
-        _DISJOINT_CACHE[key] = clash.limit(1).count() == 0
-    return _DISJOINT_CACHE[key]
+        flagged = by8.withColumn("_clash", F.max("_hi").over(w) >= F.col("_lo"))
+        n_rows_expr = _fanout_rows(bits, max_fanout)
+        stats = flagged.agg(
+            F.sum(F.when(F.col("_b8") == F.col("_f8"), n_rows_expr)).alias("n"),
+            F.max(F.coalesce(F.col("_clash"), F.lit(False)).cast("int")).alias("clash"),
+        ).first()
+        _STATS_CACHE[key] = (int(stats["n"] or 0), not bool(stats["clash"]))
+    return _STATS_CACHE[key]
+
+
+def ranges_disjoint(rng: DataFrame, equi_cols: Sequence[str] = ()) -> bool:
+    return range_stats(rng, equi_cols)[1]
 
 
 def range_matches(
@@ -121,13 +138,11 @@ def range_matches(
         *order_fields,
         *[F.col(c).alias(f"_pl{j}") for j, c in enumerate(payload)],
     ).where((F.col("_lo") >= 0) & (F.col("_hi") < F.lit(1 << 32)) & (F.col("_lo") <= F.col("_hi")))
-    exploded, row_count = _explode_ranges(rng, bits, max_fanout)
+    exploded, _ = _explode_ranges(rng, bits, max_fanout)
 
-    # exact size of the exploded table: one aggregate over the (small) range table
-    key = (rng.semanticHash(), bits, max_fanout)
-    if key not in _SIZE_CACHE:
-        _SIZE_CACHE[key] = rng.agg(row_count).first()[0] or 0
-    n_rows = _SIZE_CACHE[key]
+    # exact size of the exploded table and disjointness: one job over the
+    # (small) range table, cached per range plan
+    n_rows, disjoint = range_stats(rng, [f"_eq{i}" for i in range(len(equi))], bits, max_fanout)
     if n_rows <= broadcast_max_rows:
         exploded = F.broadcast(exploded)
     else:
@@ -144,7 +159,7 @@ def range_matches(
         *[exploded[f"_pl{j}"] for j in range(len(payload))],
     )
 
-    if resolve == "most_specific" and ranges_disjoint(rng, [f"_eq{i}" for i in range(len(equi))]):
+    if resolve == "most_specific" and disjoint:
         resolve = "all"     # at most one match per key: nothing to resolve, no aggregate
     if resolve == "most_specific":
         best = F.min(F.struct(
