@@ -178,16 +178,24 @@ def range_matches(
 
 
 def range_join(points: DataFrame, ranges: DataFrame, ip: str, lo: str, hi: str, payload: Sequence[str],
-               equi: Sequence[tuple[str, str]] = (), **kw) -> DataFrame:
+               equi: Sequence[tuple[str, str]] = (), points_distinct: bool = False, **kw) -> DataFrame:
     """Left-join ``payload`` columns of ``ranges`` onto ``points``.
 
     ``equi`` pairs (point column, range column) must also be equal.
     ``order`` (Columns over range columns) breaks ties after the range width
     when ``resolve='most_specific'``; ``rename`` maps payload names to output
-    names. The join itself runs on the distinct key set only.
+    names. The join itself runs on the distinct key set only;
+    ``points_distinct=True`` declares that ``points`` already has one row per
+    key, so the key set and the join-back share one computation (exchange
+    reuse) instead of aggregating the points twice.
     """
     point_keys = [ip] + [p for p, _ in equi]
-    keys = points.select(*point_keys).where(F.col(ip).isNotNull()).distinct()
+    if points_distinct:
+        # no filter here: it would be pushed below the caller's aggregate and
+        # defeat exchange reuse; NULL addresses simply find no bucket
+        keys = points.select(*point_keys)
+    else:
+        keys = points.select(*point_keys).where(F.col(ip).isNotNull()).distinct()
     matches = range_matches(keys, ranges, ip, lo, hi, payload, equi=equi, **kw)
     return points.join(matches, point_keys, "left")
 

@@ -77,3 +77,11 @@ def test_ipv6_and_bad_ranges_are_ignored(spark):
     ], "lo decimal(38,0), hi decimal(38,0), name string")
     got = range_join(pts, ranges, "ip", "lo", "hi", ["name"])
     assert [r.name for r in got.collect()] == ["v4"]
+
+
+def test_points_distinct_shares_the_key_set(spark):
+    pts, ranges = _fixture(spark)
+    keyed = pts.groupBy("ip").agg({"id": "min"})            # one row per address
+    a = range_join(keyed, ranges, "ip", "lo", "hi", ["name"], points_distinct=True)
+    b = range_join(keyed, ranges, "ip", "lo", "hi", ["name"])
+    assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
