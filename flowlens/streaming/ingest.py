@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sinks.writers import _spread
+from ..sinks.writers import spread_for_write
 from ..sources.fixtures import FLOW_PARTITIONS
 from ..sources.rawlogs import RAW_HIVE_FLOW_KEYS, normalize_lines
 
@@ -35,7 +35,7 @@ def start_flow_ingest(spark: SparkSession, raw_root: str, out_path: str, checkpo
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         curated = normalize_lines(batch, layout, n_files=max_files_per_trigger)
-        out = _spread(curated, FLOW_PARTITIONS, salt_buckets=4, partitions=None)
+        out = spread_for_write(curated, FLOW_PARTITIONS, salt_buckets=4, partitions=None)
         (out.sortWithinPartitions(*FLOW_PARTITIONS).write.mode("append")
             .partitionBy(*FLOW_PARTITIONS).parquet(out_path))
 
