@@ -4,6 +4,7 @@
     python -m flowlens.cli ingest-dns   --raw s3://raw --out s3://curated/dns --date 2026/02/15 2026/02/16 ...
     python -m flowlens.cli daily --flows ... --dns ... --dims ... --date 2026/02/15 --out s3://aggregates
     python -m flowlens.cli run --name top_flows_enriched --flows ... --dns ... --dims ... --date ... --out ...
+    python -m flowlens.cli profile --flows s3://curated/flows [--date 2026/02/15]
     python -m flowlens.cli report --name rejected --flows ... --date 2026-02-15 [--action REJECT]
                                   [--service S3] [--ip 10.0.1.5] [--limit 20]
 
@@ -19,6 +20,7 @@ from pyspark.sql import SparkSession
 
 from .plans.etl import DNS_FILE_RECORDS, FLOW_FILE_RECORDS
 from .plans import reports as rp
+from .plans.daily import profile_counts, profile_rows_per_file
 from .plans.inputs import load_curated
 from .plans.registry import PLANS
 from .plans.job import run_daily_job
@@ -62,6 +64,9 @@ def main(argv=None) -> int:
         p.add_argument("--resolved")
         if name == "run":
             p.add_argument("--name", required=True)
+    p = sub.add_parser("profile")
+    p.add_argument("--flows", required=True)
+    p.add_argument("--date")
     p = sub.add_parser("report")
     p.add_argument("--name", required=True, choices=sorted(REPORTS))
     p.add_argument("--flows", required=True)
@@ -82,6 +87,14 @@ def main(argv=None) -> int:
             df = read_dns_logs(spark, dns_log_paths(args.raw, days, args.accounts))
             write_partitioned(df, args.out, DNS_PARTITIONS, max_records=DNS_FILE_RECORDS)
         return 0
+    if args.cmd == "profile":
+        y, m, d = parse_process_date(args.date) if args.date else (None, None, None)
+        flows = read_curated(spark, args.flows, y, m, d)
+        counts = profile_counts(flows).first()
+        print("\t".join(f"{k}={v}" for k, v in counts.asDict().items()))
+        for row in profile_rows_per_file(flows).orderBy("file_path").collect():   # one row per file
+            print(f"{row.file_path}\t{row.rows_per_file}")
+        return 0
     day = parse_process_date(args.date)
     if args.cmd == "daily":
         inputs = load_curated(spark, args.flows, args.dns, args.dims, day, resolved_path=args.resolved)

@@ -54,3 +54,15 @@ def test_cli_run_and_report(spark, inputs, capsys):
     assert main(["report", "--name", "rejected", "--flows", flows_dir, "--date", "2026-02-15", "--limit", "5"]) == 0
     lines = capsys.readouterr().out.strip().splitlines()
     assert len(lines) == 5
+
+
+def test_cli_profile(spark, inputs, capsys):
+    root = tempfile.mkdtemp(prefix="flowlens-cli-")
+    flows_dir = os.path.join(root, "cflows")
+    write_partitioned(inputs.flows, flows_dir, ["account_id", "region", "year", "month", "day"])
+    capsys.readouterr()
+    assert main(["profile", "--flows", flows_dir, "--date", "2026-02-15"]) == 0
+    out = capsys.readouterr().out.strip().splitlines()
+    total = inputs.flows.count()
+    assert out[0].startswith(f"total_rows={total}\t")
+    assert sum(int(line.rsplit("\t", 1)[1]) for line in out[1:]) == total
