@@ -15,14 +15,18 @@ from ..sources import fixtures
 
 
 class Inputs:
-    def __init__(self, spark: SparkSession, sf_dir: str | None = None, **frames):
-        self.spark, self.sf_dir = spark, sf_dir
+    """``day`` is the (year, month, day) the day-scoped plans (top-N reports,
+    single-day as-of, dashboard reports) run for; None means every day."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str | None = None,
+                 day: tuple[str, str, str] | None = None, **frames):
+        self.spark, self.sf_dir, self.day = spark, sf_dir, day
         self.__dict__.update(frames)
 
     @classmethod
     def from_frames(cls, spark: SparkSession, flows: DataFrame, dns: DataFrame, dims: fixtures.Dims,
-                    resolved: DataFrame) -> "Inputs":
-        return cls(spark, None, flows=flows, dns=dns, dims=dims, resolved=resolved)
+                    resolved: DataFrame, day: tuple[str, str, str] | None = None) -> "Inputs":
+        return cls(spark, None, day=day, flows=flows, dns=dns, dims=dims, resolved=resolved)
 
     @cached_property
     def flows(self) -> DataFrame:
@@ -42,8 +46,9 @@ class Inputs:
 
 
 def load(spark: SparkSession, sf_dir: str) -> Inputs:
+    """Fixture inputs; the day-scoped plans run for the fixture day."""
     prepare(spark)
-    return Inputs(spark, sf_dir)
+    return Inputs(spark, sf_dir, day=fixtures.FIXTURE_DAY)
 
 
 # Folder names of the dimension tables under the dimensions root (parameters
@@ -76,4 +81,4 @@ def load_curated(spark: SparkSession, flows_root: str, dns_root: str, dims_root:
     dims = fixtures.Dims(**{k: dim(k) for k in DIM_DIRS})
     resolved = (spark.read.parquet(resolved_path) if resolved_path
                 else spark.createDataFrame([], "dstaddr string, domain string"))
-    return Inputs.from_frames(spark, flows, dns, dims, resolved)
+    return Inputs.from_frames(spark, flows, dns, dims, resolved, day=day)

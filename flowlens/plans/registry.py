@@ -43,14 +43,13 @@ register("profile_counts")(lambda i: daily.profile_counts(i.flows))
 
 # ---- DNS / unified ---------------------------------------------------------
 from ..operators.dns import dns_daily_summary as _dns_sum, primary_domain as _primary  # noqa: E402
-from ..sources.fixtures import FIXTURE_DAY  # noqa: E402
 from . import enrichment as en, reports as rp, unified as un  # noqa: E402
 
 register("dns_daily_summary")(lambda i: _dns_sum(i.dns))
 register("dns_primary_domain")(lambda i: _primary(_dns_sum(i.dns)))
 register("unified_daily")(lambda i: un.unified_daily(i.flows, i.dns))
 register("unified_asof")(lambda i: un.unified_asof(i.flows, i.dns))
-register("unified_asof_day")(lambda i: un.unified_asof(i.flows, i.dns, day=FIXTURE_DAY))
+register("unified_asof_day")(lambda i: un.unified_asof(i.flows, i.dns, day=i.day))
 
 # ---- joined logs family ----------------------------------------------------
 
@@ -67,9 +66,9 @@ def _dictionary_agg(i: Inputs) -> DataFrame:
 
 
 register("joined_logs")(_joined)
-register("top_flows_enriched")(lambda i: en.top_flows_enriched(_joined(i), i.dims, day=FIXTURE_DAY))
-register("domain_traffic_summary")(lambda i: en.domain_traffic_summary(_joined(i), i.dims, day=FIXTURE_DAY))
-register("joined_preagg_enriched")(lambda i: en.joined_preagg_enriched(_joined(i), i.dims, day=FIXTURE_DAY))
+register("top_flows_enriched")(lambda i: en.top_flows_enriched(_joined(i), i.dims, day=i.day))
+register("domain_traffic_summary")(lambda i: en.domain_traffic_summary(_joined(i), i.dims, day=i.day))
+register("joined_preagg_enriched")(lambda i: en.joined_preagg_enriched(_joined(i), i.dims, day=i.day))
 register("asn_service_rollup")(lambda i: en.asn_service_rollup(_joined(i), i.dims))
 register("ip_asn_dictionary")(lambda i: en.ip_asn_dictionary(_joined(i), i.dims))
 register("asn_service_from_dictionary")(_dictionary_agg)
@@ -81,19 +80,22 @@ register("reverse_domain_labels")(
     lambda i: en.reverse_domain_labels(daily.unique_destination(i.flows, i.dims.ec2), i.resolved)
 )
 
-# ---- dashboard reports (date filter = the fixture day) ---------------------
-REPORT_DATE = "-".join(FIXTURE_DAY)
+# ---- dashboard reports (date filter = the inputs' day) ---------------------
 
 
 def _src(i: Inputs) -> DataFrame:
     return rp.report_source(i.flows)
 
 
-register("report_traffic_by_hour")(lambda i: rp.report_traffic_by_hour(_src(i), date=REPORT_DATE))
-register("report_top_services")(lambda i: rp.report_top_services(_src(i), date=REPORT_DATE))
-register("report_flow_edges")(lambda i: rp.report_flow_edges(_src(i), date=REPORT_DATE))
-register("report_flow_nodes")(lambda i: rp.report_flow_nodes(rp.report_flow_edges(_src(i), date=REPORT_DATE)))
-register("report_rejected")(lambda i: rp.report_rejected(_src(i), date=REPORT_DATE))
+def _date(i: Inputs) -> str | None:
+    return "-".join(i.day) if i.day else None
+
+
+register("report_traffic_by_hour")(lambda i: rp.report_traffic_by_hour(_src(i), date=_date(i)))
+register("report_top_services")(lambda i: rp.report_top_services(_src(i), date=_date(i)))
+register("report_flow_edges")(lambda i: rp.report_flow_edges(_src(i), date=_date(i)))
+register("report_flow_nodes")(lambda i: rp.report_flow_nodes(rp.report_flow_edges(_src(i), date=_date(i))))
+register("report_rejected")(lambda i: rp.report_rejected(_src(i), date=_date(i)))
 
 # ---- ETL: raw -> curated round trips, database copy, file profile ----------
 from . import etl  # noqa: E402

@@ -66,3 +66,19 @@ def test_cli_profile(spark, inputs, capsys):
     total = inputs.flows.count()
     assert out[0].startswith(f"total_rows={total}\t")
     assert sum(int(line.rsplit("\t", 1)[1]) for line in out[1:]) == total
+
+
+def test_cli_run_uses_the_requested_day(spark, inputs):
+    from pyspark.sql import functions as F
+    root = tempfile.mkdtemp(prefix="flowlens-cli-")
+    flows_dir, dns_dir, dims_dir = (os.path.join(root, d) for d in ("cflows", "cdns", "dims"))
+    write_partitioned(inputs.flows.withColumn("day", F.lit("16")), flows_dir,
+                      ["account_id", "region", "year", "month", "day"])
+    write_partitioned(inputs.dns, dns_dir, ["account_id", "vpc_id", "year", "month", "day"])
+    for attr, folder in DIM_DIRS.items():
+        getattr(inputs.dims, attr).write.parquet(os.path.join(dims_dir, folder))
+    out = os.path.join(root, "top16")
+    assert main(["run", "--name", "top_flows_enriched", "--flows", flows_dir, "--dns", dns_dir,
+                 "--dims", dims_dir, "--date", "2026/02/16", "--out", out]) == 0
+    got = spark.read.parquet(out)
+    assert got.count() > 0 and {r.day for r in got.select("day").distinct().collect()} == {"16"}
