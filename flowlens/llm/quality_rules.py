@@ -37,8 +37,8 @@ GOOD_WEIGHT = 4.0     # one good document refused costs this many bad ones caugh
 SPACE = r"[\x20\x09-\x0D]+"
 
 
-def word_statistics(docs: DataFrame) -> DataFrame:
-    """docs(doc_id, text, ...) -> doc_id, lang, n_words, word_chars, n_symbols,
+def word_statistics(docs: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
+    """docs(doc_id, text, ...) -> ``carried`` columns of docs, doc_id, lang, n_words, word_chars, n_symbols,
     n_lines, n_dup_lines, n_repeat_words. One pass, no shuffle.
 
     Repeated 5-word windows are found on 64-bit hashes of the windows: equal

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from .quality_rules import op6_quality_rules
+from .toxicity import op10_toxicity
 
 QUERIES = {
     "op6_quality_rules": op6_quality_rules,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {}
