@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from .ngram_join import op2_ngram_jaccard_join
 from .quality_rules import op6_quality_rules
 from .toxicity import op10_toxicity
 
 QUERIES = {
+    "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op6_quality_rules": op6_quality_rules,
     "op10_toxicity": op10_toxicity,
 }
