@@ -75,12 +75,20 @@ class Ftrl:
         self.bias_n += g * g
 
 
+def _features(batches, bits: int):
+    memo = Memo(word_hash)
+    for b in batches:
+        yield pa.RecordBatch.from_arrays(
+            [b.column("h"), b.column("toxic"), pa.array([hashed_features(t, memo, bits) for t in b.column("text").to_pylist()], pa.list_(pa.int32()))],
+            ["h", "toxic", "features"])
+
+
 def _fit(batches, bits: int, epochs: int):
     """The bounded sample (one task) -> rows (at, weight); at = -1 is the bias."""
-    rows = [r for b in batches for r in b.to_pylist()]
-    rows.sort(key=lambda r: (r["h"], r["doc_id"], r["text"] or ""))
-    memo = Memo(word_hash)
-    data = [(hashed_features(r["text"], memo, bits), r["toxic"]) for r in rows]
+    rows = [(h, f.values.to_numpy(), t) for b in batches
+            for h, f, t in zip(b.column("h").to_pylist(), b.column("features"), b.column("toxic").to_pylist())]
+    rows.sort(key=lambda r: (r[0], r[1].tobytes()))
+    data = [(f, t) for _, f, t in rows]
     toxic = sum(t for _, t in data)
     prior = float(np.log((toxic + 0.5) / (len(data) - toxic + 0.5)))
     model = Ftrl(1 << bits, L1_ROOT * len(data) ** 0.5)
@@ -107,8 +115,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, n: int = TRAIN_ROWS) -> Da
 
 
 def train(docs: DataFrame, labels: DataFrame, n: int = TRAIN_ROWS, bits: int = BITS, epochs: int = EPOCHS) -> dict[str, np.ndarray]:
-    rows = training_rows(docs, labels, n).coalesce(1).mapInArrow(
-        lambda batches: _fit(batches, bits, epochs), "at int, weight double").toArrow().to_pydict()
+    features = training_rows(docs, labels, n).mapInArrow(lambda batches: _features(batches, bits), "h long, toxic int, features array<int>")
+    # the sample only (at most n rows) meets in one task; the scan stays parallel
+    rows = features.repartition(1).mapInArrow(lambda batches: _fit(batches, bits, epochs), "at int, weight double").toArrow().to_pydict()
     at, weight = np.array(rows["at"], np.int64), np.array(rows["weight"])
     if not len(at):      # no partition at all: an empty documents table
         return {"at": at, "weight": weight, "bias": np.zeros(1)}
