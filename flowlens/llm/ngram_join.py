@@ -14,15 +14,27 @@ cost (entries read plus verification of the candidates expected) is taken. Two
 documents must then share at least min(m_A, m_B) prefix shingles, whatever the
 other one chose, before their whole sets are intersected.
 
-Equal sets are collapsed first (128-bit digest). Only links between *different*
-classes matter for the classes, so postings are worked off in rounds: in each
-posting a few members are compared with all others of other classes, links are
-merged into classes, compared members leave the posting. A posting whose
-members are in one class is done, so a large group of copies costs a few
-comparisons per member instead of all pairs. As soon as the pairs across
-classes that are left are few (at most ``FINISH`` per posting entry) they are
-all tried and the join is complete; else another round follows. Nothing is
-capped: the rounds end when no untested pair across classes is left.
+Equal sets are collapsed first (128-bit digest). Then the pairs of each posting
+are worked off without emitting all of them:
+
+1. Every member meets the head of the posting (the member made most of frequent
+   shingles, so usually the original of a group of copies). Members near the
+   head are kept with their difference D from it (shingles in one of the two
+   sets only). For two of them |A x B| (the size of the symmetric difference) is
+   |D_A| + |D_B| - 2 |D_A n D_B|, and a link needs it to be at most
+   c (|A| + |B|), c = (100 - percent) / (100 + percent). With a = |D| - c |set|
+   the differences of a linked pair share at least (a_A + a_B) / 2 shingles. If
+   that is not positive both link to the head (its a is -c |head|), so they are
+   in one class; otherwise the prefix filter on the differences finds the pair.
+   Differences are small and mostly unlike, so a large group of near copies
+   yields few candidates.
+2. What is left are pairs of a posting that aren't both near its head. Only
+   links between *different* classes matter, so these go in rounds: if the
+   untested pairs across classes are few (at most ``FINISH`` per posting entry)
+   all are tried and the join is complete; else a few members of the smallest
+   classes are compared with all others and leave the posting.
+
+Nothing is capped: it ends when no untested pair across classes is left.
 
 The estimated frequencies only order the shingles, so an error there costs time
 and never a link. They are counted per chunk of rows (shingles seen at least
@@ -50,7 +62,8 @@ from .components import components
 FREQUENT = 1 << 18        # shingles whose estimated frequency is shipped to the tasks
 CHUNK = 4_000_000         # shingles counted together by a task
 LONGEST = 8               # largest m of the m-prefixes
-FIRST_LEADERS, LEADERS = 4, 8   # members per posting compared with the rest in a round
+NEAR = 25                 # a head's differences are used for sets within so many percent below the threshold
+LEADERS = 8               # members per posting compared with the rest in round two; doubled from round to round
 FINISH = 4                # all remaining pairs are tried once they are this few per posting entry
 SLOTS = 1 << 22           # slots of the bitmap of documents that have candidates
 
@@ -197,6 +210,45 @@ def _verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int)
     return whole.where(100 * F.col("shared") >= percent * (F.col("n_a") + F.col("n_b") - F.col("shared"))).select("a", "b")
 
 
+def _near(led: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """led(nid, n, h, n_h) -> the pairs whose similarity is at least percent -
+    NEAR: nid, n, h, n_h, linked, delta (shingles of one of the two only)."""
+    both = led.join(sets.select(F.col("nid").alias("h"), F.col("tokens").alias("of_h")), "h").join(sets, "nid")
+    both = both.select("nid", "n", "h", "n_h", "tokens", "of_h", F.size(F.array_intersect("tokens", "of_h")).alias("shared"))
+    reaches = lambda p: 100 * F.col("shared") >= p * (F.col("n") + F.col("n_h") - F.col("shared"))
+    return both.where(reaches(max(percent - NEAR, 1))).select(
+        "nid", "n", "h", "n_h", reaches(percent).alias("linked"),
+        F.concat(F.array_except("tokens", "of_h"), F.array_except("of_h", "tokens")).alias("delta"))
+
+
+def _linked_by_differences(near: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between members near one head that aren't both linked to it."""
+    c = (100 - percent) / (100 + percent)
+    a = near.select("nid", "h", "n", "linked", F.size("delta").alias("d"), (F.size("delta") - c * F.col("n")).alias("a"), (c * F.col("n_h")).alias("reach"))
+    lowest = a.groupBy("h").agg(F.min("a").alias("lowest"))
+    # least number of shared differences with any partner: a member linked to the head looks for
+    # unlinked ones (their a exceeds the reach) only
+    a = a.join(lowest, "h").withColumn(
+        "least", F.greatest(F.lit(1), F.ceil((F.col("a") + F.when(F.col("linked"), F.col("reach")).otherwise(F.col("lowest"))) / 2 - 1e-6)))
+    a = a.where("least <= d")
+    entries = near.select("nid", "h", F.explode("delta").alias("token"))
+    # differences that two members have at all; the others stand first in the order
+    twice = entries.groupBy("h", "token").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    order = entries.join(twice, ["h", "token"]).groupBy("h", "nid").agg(F.array_sort(F.collect_list(F.struct("c", "token"))).alias("order"))
+    front = F.col("d") - F.col("least") + 1 - (F.col("d") - F.size("order"))
+    prefix = order.join(a, ["h", "nid"]).where(front > 0).select(
+        "h", "nid", "n", "linked", F.explode(F.slice("order", F.lit(1), front.cast("int"))).alias("o")).select("h", "nid", "n", "linked", "o.token")
+    second = prefix.select("h", "token", F.col("nid").alias("nid2"), F.col("n").alias("n2"), F.col("linked").alias("linked2"))
+    pairs = prefix.join(second, ["h", "token"]).where(
+        (F.col("nid") < F.col("nid2")) & ~(F.col("linked") & F.col("linked2")) & _compatible(percent)).select("h", "nid", "nid2").distinct()
+    one = near.select("h", "nid", "n", "delta")
+    two = near.select("h", F.col("nid").alias("nid2"), F.col("n").alias("n2"), F.col("delta").alias("delta2"))
+    apart = F.size("delta") + F.size("delta2") - 2 * F.size(F.array_intersect("delta", "delta2"))
+    both = pairs.join(one, ["h", "nid"]).join(two, ["h", "nid2"]).select(
+        F.col("nid").alias("a"), F.col("nid2").alias("b"), "n", "n2", ((F.col("n") + F.col("n2") - apart) / 2).alias("shared"))
+    return both.where(100 * F.col("shared") >= percent * (F.col("n") + F.col("n2") - F.col("shared"))).select("a", "b")
+
+
 def jaccard_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """docs(doc_id, text, ...) -> one row per row of docs: doc_id, text_hash,
     n_shingles, component_id (smallest doc_id of the class), leader_hash (the
@@ -226,39 +278,53 @@ def jaccard_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         map_arrow(src.select("text", _slot().alias("slot")), lambda b: _sets(b, wanted, size), "digest binary, tokens array<long>")
         .join(chosen.select("nid", "digest"), "digest").select("nid", "tokens").dropDuplicates(["nid"]), "ngram-sets")
 
-    edges = None
-    classes = spark.createDataFrame([], "node long, root long")
-    first = True
+    # round one: each posting's most central member against the others, and the others among themselves
+    # through their differences from it
+    heads = materialize(active.groupBy("token").agg(F.min(F.struct("rank", "nid", "n")).alias("head"))
+                        .select("token", F.col("head.nid").alias("h"), F.col("head.n").alias("n_h")), "ngram-heads")
+    led = active.join(heads, "token").where("nid <> h").select("nid", "n", "h", "n_h").distinct()
+    near = materialize(_near(led, sets, percent), "ngram-near")
+    edges = materialize(near.where("linked").select(F.col("h").alias("a"), F.col("nid").alias("b"))
+                        .union(_linked_by_differences(near, percent)), "ngram-links")
+    classes = components(edges)
+    # pairs of a posting that are both near its head are settled: they share a home
+    close = near.select("nid", "h", F.lit(True).alias("near"))
+    active = materialize(
+        active.join(heads.drop("n_h"), "token").join(close, ["nid", "h"], "left")
+        .select("token", "nid", "n", "rank", F.when(F.col("near") | (F.col("nid") == F.col("h")), F.col("h")).otherwise(F.col("nid")).alias("home")),
+        "ngram-postings")
+
+    leaders_each = LEADERS
     while True:
         now = active.join(classes.withColumnRenamed("node", "nid"), "nid", "left").withColumn("root", F.coalesce("root", "nid"))
-        # postings that still hold two classes or more
-        parts = now.groupBy("token", "root").agg(F.count(F.lit(1)).alias("s"))
-        open_ = parts.groupBy("token").agg(F.sum("s").alias("k"), F.sum(F.col("s") * F.col("s")).alias("q")).where("k * k > q")
-        now = materialize(now.join(open_.select("token"), "token"), "ngram-open")
-        left = open_.agg(F.coalesce(F.sum(F.expr("(k * k - q) / 2")), F.lit(0.0)).alias("pairs"),
-                         F.coalesce(F.sum("k"), F.lit(0)).alias("entries")).first()
+        # postings that may still hold an untested pair across classes
+        square = lambda key: now.groupBy("token", key).agg(F.count(F.lit(1)).alias("s")).groupBy("token").agg(
+            F.sum("s").alias(f"k_{key}"), F.sum(F.col("s") * F.col("s")).alias(f"q_{key}"))
+        open_ = square("root").join(square("home"), "token").select(
+            "token", F.col("k_root").alias("k"), F.greatest("q_root", "q_home").alias("q")).where("k * k > q")
+        now = materialize(now.join(open_.select("token", "k", "q"), "token"), "ngram-open")
+        left = now.agg(F.coalesce(F.sum(F.expr("(k * k - q) / (2 * k)")), F.lit(0.0)).alias("pairs"),
+                       F.count(F.lit(1)).alias("entries")).first()
         if not left["entries"]:
             break
         last = left["pairs"] <= FINISH * left["entries"]
-        other = now.select("token", F.col("nid").alias("nid2"), F.col("n").alias("n2"), F.col("root").alias("root2"), F.col("rank").alias("rank2"))
+        other = now.select("token", F.col("nid").alias("nid2"), F.col("n").alias("n2"), F.col("root").alias("root2"),
+                           F.col("home").alias("home2"), F.col("rank").alias("rank2"))
         if last:
             met = now.join(other, "token").where("nid < nid2")
         else:
-            # first those that share most with others; then members of the smallest classes
             of_class = now.select("nid", "root").distinct().groupBy("root").agg(F.count(F.lit(1)).alias("members"))
-            by = F.struct("rank2", "nid2") if first else F.struct("members", "rank2", "nid2")
             ranked = other.join(of_class.withColumnRenamed("root", "root2"), "root2")
-            leaders = materialize(_smallest(ranked, by, FIRST_LEADERS if first else LEADERS), "ngram-leaders")
+            leaders = materialize(_smallest(ranked, F.struct("members", "rank2", "nid2"), leaders_each), "ngram-leaders")
             met = now.join(leaders, "token").where("nid <> nid2")
-        pairs = met.where((F.col("root") != F.col("root2")) & _compatible(percent)) \
+        pairs = met.where((F.col("root") != F.col("root2")) & (F.col("home") != F.col("home2")) & _compatible(percent)) \
             .select(F.least("nid", "nid2").alias("a"), F.greatest("nid", "nid2").alias("b")).distinct()
-        links = materialize(_verified(pairs, nodes, sets, percent), "ngram-links")
-        edges = links if edges is None else edges.union(links)
+        edges = edges.union(materialize(_verified(pairs, nodes, sets, percent), "ngram-links"))
         classes = components(edges)
         if last:
             break
-        active = now.drop("root").join(leaders.select("token", F.col("nid2").alias("nid")), ["token", "nid"], "left_anti")
-        first = False
+        active = now.drop("root", "k", "q").join(leaders.select("token", F.col("nid2").alias("nid")), ["token", "nid"], "left_anti")
+        leaders_each *= 2
 
     known = nodes.select("nid", "digest", "doc_id").join(classes.withColumnRenamed("node", "nid"), "nid", "left") \
         .withColumn("root", F.coalesce("root", "nid"))
@@ -276,7 +342,7 @@ def _smallest(entries: DataFrame, by, k: int) -> DataFrame:
     from pyspark.sql import Window
 
     ordered = entries.withColumn("at", F.row_number().over(Window.partitionBy("token").orderBy(by)))
-    return ordered.where(F.col("at") <= k).select("token", "nid2", "n2", "root2")
+    return ordered.where(F.col("at") <= k).select("token", "nid2", "n2", "root2", "home2")
 
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
