@@ -12,7 +12,9 @@ chooses its own m: a longer prefix reads more posting entries but lets a
 candidate through only after m shared prefix shingles; the m of least estimated
 cost (entries read plus verification of the candidates expected) is taken. Two
 documents must then share at least min(m_A, m_B) prefix shingles, whatever the
-other one chose, before their whole sets are intersected.
+other one chose, before their whole sets are intersected. (Ahead of that a
+sketch of bucket counts gives an upper bound of the intersection, which spares
+shipping the sets of most pairs that merely share a passage.)
 
 Equal sets are collapsed first (128-bit digest). Then the pairs of each posting
 are worked off without emitting all of them:
@@ -65,7 +67,7 @@ LONGEST = 8               # largest m of the m-prefixes
 NEAR = 25                 # a head's differences are used for sets within so many percent below the threshold
 LEADERS = 8               # members per posting compared with the rest in round two; doubled from round to round
 FINISH = 4                # all remaining pairs are tried once they are this few per posting entry
-SLOTS = 1 << 22           # slots of the bitmap of documents that have candidates
+SLOTS = 1 << 20           # slots of the broadcast that picks the documents whose whole sets are needed
 
 
 def shingle_set(text: str | None, size: int, memo: Memo) -> np.ndarray:
@@ -95,13 +97,17 @@ def least_overlap(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
-def choose_prefix(frequency: np.ndarray, n: int, percent: int) -> int:
-    """The m of least estimated cost; ``frequency`` in the global order."""
+def choose_prefix(rare: int, frequency: np.ndarray, n: int, percent: int) -> int:
+    """The m of least estimated cost. In the global order come ``rare``
+    shingles of (estimated) frequency 1, then those of ``frequency``."""
     t = least_overlap(n, percent)
-    others = np.cumsum(np.maximum(frequency - 1, 0))
+    top = min(LONGEST, t)
+    if n - t + 1 <= rare:
+        return 1             # nothing frequent in the shortest prefix: no cost to save
+    others = np.concatenate([[0], np.cumsum(frequency - 1)])
     best, cost = 1, math.inf
-    for m in range(1, min(LONGEST, t) + 1):
-        entries = float(others[min(n, n - t + m) - 1])
+    for m in range(1, top + 1):
+        entries = float(others[max(0, min(n, n - t + m) - rare)])
         # at most entries / m documents can share m of these shingles
         c = entries + entries / m * n / 50
         if c < cost:
@@ -109,6 +115,29 @@ def choose_prefix(frequency: np.ndarray, n: int, percent: int) -> int:
     return best
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """Counts of the shingles by hash, in 64, 128, ... buckets (about four per
+    bucket): an upper bound of any intersection, see ``most_shared``."""
+    buckets = 64
+    while buckets * 4 < len(s):
+        buckets *= 2
+    while True:
+        counts = np.bincount((s & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets)
+        if counts.max() < 256:
+            return counts.astype(np.uint8).tobytes()
+        buckets *= 2
+
+
+def most_shared(x: bytes, y: bytes) -> int:
+    """Upper bound of the intersection of two sets from their sketches."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    if len(a) < len(b):
+        a, b = b, a
+    if len(a) > len(b):      # buckets are the low bits: fold the finer one
+        a = a.reshape(-1, len(b)).sum(axis=0, dtype=np.int64)
+    return int(np.minimum(a, b).sum(dtype=np.int64))
+
+
 def _frequent(batches, size: int):
     """Shingles found in two or more different sets of a chunk, with counts."""
     memo, held, seen, total = Memo(word_hash), [], set(), 0
@@ -152,43 +181,57 @@ def lists(arrays: list[np.ndarray], kind=np.int64) -> pa.ListArray:
 
 def _prefixes(batches, frequent, size: int, percent: int):
     """Per row: digest of its set, size, m, rank (small: shares most with
-    others) and the m-prefix."""
+    others), sketch and the m-prefix."""
     token, count = frequent.value["token"], frequent.value["c"]
+    maybe = np.zeros(1 << 22, bool)              # spares most look-ups
+    low = np.uint64(len(maybe) - 1)
+    maybe[token & low] = True
     memo = Memo(word_hash)
     for b in batches:
-        digests, sizes, ms, ranks, prefixes = [], [], [], [], []
+        digests, sizes, ms, ranks, sketches, prefixes = [], [], [], [], [], []
         for t in b.column(1).to_pylist():
             s = shingle_set(t, size, memo)
             n = len(s)
             sizes.append(n)
             if not n:
-                digests.append(None), ms.append(0), ranks.append(0), prefixes.append(s)
+                digests.append(None), ms.append(0), ranks.append(0), sketches.append(None), prefixes.append(s)
                 continue
-            f = np.ones(n, np.int64)
-            if len(token):
-                at = np.minimum(np.searchsorted(token, s), len(token) - 1)
-                f = np.where(token[at] == s, count[at], 1)
+            hit = np.flatnonzero(maybe[s & low])
+            at = np.minimum(np.searchsorted(token, s[hit]), max(len(token) - 1, 0))
+            hit, at = (hit[token[at] == s[hit]], at[token[at] == s[hit]]) if len(token) else (hit[:0], at[:0])
+            f = count[at]
             order = np.argsort(f, kind="stable")         # s is sorted: ties by hash
-            m = choose_prefix(f[order], n, percent)
-            digests.append(digest(s)), ms.append(m)
-            ranks.append(int(1_000_000 * (f == 1).mean()))
-            prefixes.append(s[order[:min(n, n - least_overlap(n, percent) + m)]])
+            rare = np.ones(n, bool)
+            rare[hit] = False
+            m = choose_prefix(n - len(hit), f[order], n, percent)
+            p = min(n, n - least_overlap(n, percent) + m)
+            first = s[rare][:p]
+            digests.append(digest(s)), ms.append(m), sketches.append(sketch(s))
+            ranks.append(int(1_000_000 * (n - len(hit)) / n))
+            prefixes.append(first if len(first) == p else np.concatenate([first, s[hit[order][:p - len(first)]]]))
         yield pa.RecordBatch.from_arrays(
             [b.column(0), b.column(2), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), pa.array(ms, pa.int32()),
-             pa.array(ranks, pa.int32()), lists(prefixes)], ["doc_id", "text_hash", "digest", "n", "m", "rank", "prefix"])
+             pa.array(ranks, pa.int32()), pa.array(sketches, pa.binary()), lists(prefixes)],
+            ["doc_id", "text_hash", "digest", "n", "m", "rank", "sketch", "prefix"])
 
 
-def _sets(batches, wanted, size: int):
-    bitmap, memo = wanted.value, Memo(word_hash)
+def _sets(batches, size: int):
+    memo = Memo(word_hash)
     for b in batches:
-        slots = b.column(1).to_numpy()
-        hit = (bitmap[slots >> 3] >> (slots & 7)) & 1
-        texts = b.column(0).filter(pa.array(hit == 1)).to_pylist()
-        sets = [s for s in (shingle_set(t, size, memo) for t in texts) if len(s)]
+        sets = [s for s in (shingle_set(t, size, memo) for t in b.column(0).to_pylist()) if len(s)]
         if sets:
             yield pa.RecordBatch.from_arrays([pa.array([digest(s) for s in sets], pa.binary()), lists(sets)], ["digest", "tokens"])
 
 
+def _may_reach(batches, percent: int):
+    """pairs (a, b, n_a, n_b, sketch_a, sketch_b) whose sketches allow ``percent``."""
+    for b in batches:
+        shared = np.array([most_shared(x, y) for x, y in zip(b.column(4).to_pylist(), b.column(5).to_pylist())], np.int64)
+        n = b.column(2).to_numpy() + b.column(3).to_numpy()
+        keep = pa.array(100 * shared >= percent * (n - shared))
+        yield pa.RecordBatch.from_arrays([c.filter(keep) for c in b.columns[:4]], b.schema.names[:4])
+
+
 def _slot():
     return F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS)).cast("int")
 
@@ -198,27 +241,52 @@ def _compatible(percent: int):
     return 100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """pairs(a, b) -> linked pairs (a, b): the multi-match test on the
-    prefixes, then the whole sets."""
-    side = lambda t, k: t.select(F.col("nid").alias(k), *[F.col(c).alias(f"{c}_{k}") for c in t.columns if c != "nid"])
-    light = nodes.select("nid", "n", "m", "prefix")
-    met = pairs.join(side(light, "a"), "a").join(side(light, "b"), "b") \
-        .where(F.size(F.array_intersect("prefix_a", "prefix_b")) >= F.least("m_a", "m_b")).select("a", "b", "n_a", "n_b")
-    whole = met.join(side(sets, "a"), "a").join(side(sets, "b"), "b") \
+def _side(t: DataFrame, k: str) -> DataFrame:
+    return t.select(F.col("nid").alias(k), *[F.col(c).alias(f"{c}_{k}") for c in t.columns if c != "nid"])
+
+
+def _allowed(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """pairs(a, b) -> (a, b, n_a, n_b) that the sketches allow to reach ``percent``."""
+    light = nodes.select("nid", "n", "sketch")
+    both = pairs.join(_side(light, "a"), "a").join(_side(light, "b"), "b").select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b")
+    return map_arrow(both, lambda b: _may_reach(b, percent), "a long, b long, n_a long, n_b long")
+
+
+def _whole(pairs: DataFrame, nodes: DataFrame, src: DataFrame, size: int) -> DataFrame:
+    """(nid, tokens) of every node in pairs(a, b). Rows are picked by a hash of
+    their id in SLOTS slots (so the broadcast is bounded), then exactly by digest."""
+    chosen = pairs.select(F.col("a").alias("nid")).union(pairs.select("b")).distinct().join(nodes.select("nid", "digest", "doc_id"), "nid")
+    slots = chosen.select(_slot().alias("slot")).distinct()
+    texts = src.withColumn("slot", _slot()).join(F.broadcast(slots), "slot", "left_semi").select("text")
+    return materialize(map_arrow(texts, lambda b: _sets(b, size), "digest binary, tokens array<long>")
+                       .join(chosen.select("nid", "digest"), "digest").select("nid", "tokens").dropDuplicates(["nid"]), "ngram-sets")
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, src: DataFrame, size: int, percent: int) -> DataFrame:
+    """pairs(a, b) -> linked pairs (a, b): the sketches, the multi-match test on
+    the prefixes, then the whole sets."""
+    light = nodes.select("nid", "m", "prefix")
+    met = materialize(
+        _allowed(pairs, nodes, percent).join(_side(light, "a"), "a").join(_side(light, "b"), "b")
+        .where(F.size(F.array_intersect("prefix_a", "prefix_b")) >= F.least("m_a", "m_b")).select("a", "b", "n_a", "n_b"), "ngram-met")
+    sets = _whole(met, nodes, src, size)
+    whole = met.join(_side(sets, "a"), "a").join(_side(sets, "b"), "b") \
         .select("a", "b", "n_a", "n_b", F.size(F.array_intersect("tokens_a", "tokens_b")).alias("shared"))
     return whole.where(100 * F.col("shared") >= percent * (F.col("n_a") + F.col("n_b") - F.col("shared"))).select("a", "b")
 
 
-def _near(led: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """led(nid, n, h, n_h) -> the pairs whose similarity is at least percent -
+def _near(led: DataFrame, nodes: DataFrame, src: DataFrame, size: int, percent: int) -> DataFrame:
+    """led(a: member, b: head) -> the pairs whose similarity is at least percent -
     NEAR: nid, n, h, n_h, linked, delta (shingles of one of the two only)."""
-    both = led.join(sets.select(F.col("nid").alias("h"), F.col("tokens").alias("of_h")), "h").join(sets, "nid")
-    both = both.select("nid", "n", "h", "n_h", "tokens", "of_h", F.size(F.array_intersect("tokens", "of_h")).alias("shared"))
-    reaches = lambda p: 100 * F.col("shared") >= p * (F.col("n") + F.col("n_h") - F.col("shared"))
-    return both.where(reaches(max(percent - NEAR, 1))).select(
-        "nid", "n", "h", "n_h", reaches(percent).alias("linked"),
-        F.concat(F.array_except("tokens", "of_h"), F.array_except("of_h", "tokens")).alias("delta"))
+    close = max(percent - NEAR, 1)
+    led = materialize(_allowed(led, nodes, close), "ngram-led")
+    sets = _whole(led, nodes, src, size)
+    both = led.join(_side(sets, "b"), "b").join(_side(sets, "a"), "a")
+    both = both.select("*", F.size(F.array_intersect("tokens_a", "tokens_b")).alias("shared"))
+    reaches = lambda p: 100 * F.col("shared") >= p * (F.col("n_a") + F.col("n_b") - F.col("shared"))
+    return both.where(reaches(close)).select(
+        F.col("a").alias("nid"), F.col("n_a").alias("n"), F.col("b").alias("h"), F.col("n_b").alias("n_h"), reaches(percent).alias("linked"),
+        F.concat(F.array_except("tokens_a", "tokens_b"), F.array_except("tokens_b", "tokens_a")).alias("delta"))
 
 
 def _linked_by_differences(near: DataFrame, percent: int) -> DataFrame:
@@ -258,39 +326,29 @@ def jaccard_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     frequent = spark.sparkContext.broadcast(frequencies(src, size))
     rows = materialize(map_arrow(
         src.select("doc_id", "text", F.xxhash64("text").alias("text_hash")), lambda b: _prefixes(b, frequent, size, percent),
-        "doc_id long, text_hash long, digest binary, n long, m int, rank int, prefix array<long>"), "ngram-rows")
+        "doc_id long, text_hash long, digest binary, n long, m int, rank int, sketch binary, prefix array<long>"), "ngram-rows")
     nodes = materialize(
         rows.where("digest is not null").groupBy("digest").agg(
             F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("m").alias("m"), F.first("rank").alias("rank"),
-            F.first("prefix").alias("prefix")).withColumn("nid", F.monotonically_increasing_id()), "ngram-nodes")
+            F.first("sketch").alias("sketch"), F.first("prefix").alias("prefix")).withColumn("nid", F.monotonically_increasing_id()), "ngram-nodes")
 
     # posting entries of the shingles that stand in two or more prefixes
     entries = nodes.select("nid", F.explode("prefix").alias("token"))
     shared = entries.groupBy("token").agg(F.min("nid").alias("x"), F.max("nid").alias("y")).where("x <> y").select("token")
     active = materialize(entries.join(shared, "token").join(nodes.select("nid", "n", "rank"), "nid"), "ngram-postings")
-    # rows whose whole sets will be needed: a bitmap of their ids, then the exact match by digest
-    chosen = active.select("nid").distinct().join(nodes.select("nid", "digest", "doc_id"), "nid")
-    slots = chosen.select(_slot().alias("slot")).distinct().toArrow().column("slot").to_numpy()
-    bits = np.zeros(SLOTS, np.uint8)
-    bits[slots] = 1
-    wanted = spark.sparkContext.broadcast(np.packbits(bits, bitorder="little"))
-    sets = materialize(
-        map_arrow(src.select("text", _slot().alias("slot")), lambda b: _sets(b, wanted, size), "digest binary, tokens array<long>")
-        .join(chosen.select("nid", "digest"), "digest").select("nid", "tokens").dropDuplicates(["nid"]), "ngram-sets")
-
     # round one: each posting's most central member against the others, and the others among themselves
     # through their differences from it
-    heads = materialize(active.groupBy("token").agg(F.min(F.struct("rank", "nid", "n")).alias("head"))
-                        .select("token", F.col("head.nid").alias("h"), F.col("head.n").alias("n_h")), "ngram-heads")
-    led = active.join(heads, "token").where("nid <> h").select("nid", "n", "h", "n_h").distinct()
-    near = materialize(_near(led, sets, percent), "ngram-near")
+    heads = materialize(active.groupBy("token").agg(F.min(F.struct("rank", "nid")).alias("head"))
+                        .select("token", F.col("head.nid").alias("h")), "ngram-heads")
+    led = active.join(heads, "token").where("nid <> h").select(F.col("nid").alias("a"), F.col("h").alias("b")).distinct()
+    near = materialize(_near(led, nodes, src, size, percent), "ngram-near")
     edges = materialize(near.where("linked").select(F.col("h").alias("a"), F.col("nid").alias("b"))
                         .union(_linked_by_differences(near, percent)), "ngram-links")
     classes = components(edges)
     # pairs of a posting that are both near its head are settled: they share a home
     close = near.select("nid", "h", F.lit(True).alias("near"))
     active = materialize(
-        active.join(heads.drop("n_h"), "token").join(close, ["nid", "h"], "left")
+        active.join(heads, "token").join(close, ["nid", "h"], "left")
         .select("token", "nid", "n", "rank", F.when(F.col("near") | (F.col("nid") == F.col("h")), F.col("h")).otherwise(F.col("nid")).alias("home")),
         "ngram-postings")
 
@@ -319,7 +377,7 @@ def jaccard_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
             met = now.join(leaders, "token").where("nid <> nid2")
         pairs = met.where((F.col("root") != F.col("root2")) & (F.col("home") != F.col("home2")) & _compatible(percent)) \
             .select(F.least("nid", "nid2").alias("a"), F.greatest("nid", "nid2").alias("b")).distinct()
-        edges = edges.union(materialize(_verified(pairs, nodes, sets, percent), "ngram-links"))
+        edges = edges.union(materialize(_verified(pairs, nodes, src, size, percent), "ngram-links"))
         classes = components(edges)
         if last:
             break
