@@ -15,7 +15,7 @@ shuffle and a lost task is simply run again). A window still badly filled when a
 block ends goes back into the next one; only the last windows of a task may stay
 short. ``sequence_id`` is the task number and a counter.
 
-Words are tokenized once per task: the byte-level pre-tokenizer always starts a
+Words are tokenized once per worker: the byte-level pre-tokenizer always starts a
 new piece at a space that follows a character other than white space and
 precedes one, so texts are cut there and each distinct piece is encoded once
 (bounded memo). Texts with longer runs of white space are encoded whole.
@@ -26,7 +26,10 @@ result; other columns aren't read. Very long texts are cut into windows."""
 
 from __future__ import annotations
 
+import sys
 import zlib
+from itertools import filterfalse
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -69,16 +72,21 @@ class PieceEncoder:
         memo = self.after_space
         odd = {p for p in pieces if p.strip() != p or "\t" in p}
         self.spaced.update(p for p in odd if p[:1].isspace())
-        plain = list(pieces - odd)
+        # full stops and commas after a letter or digit are tokens of their own
+        cores = {p: c for p in pieces - odd if (c := p.rstrip(".,")) != p and c[-1:].isalnum()}
+        plain = list((pieces - odd - cores.keys()).union(cores.values()).difference(memo))
         for i in range(0, len(plain), 2000):
             some = plain[i:i + 2000]
             raw = self._encode([" " + "\t ".join(some)])[0]
             ids = np.frombuffer(raw, "<u4")
-            ends = np.flatnonzero(ids == self.tab)
+            ends = (np.flatnonzero(ids == self.tab) * 4).tolist()
             if len(ends) == len(some) - 1:
-                starts = [0, *(ends + 1).tolist()]
-                for p, a, b in zip(some, starts, [*ends.tolist(), len(ids)]):
-                    memo[p] = raw[4 * a:4 * b]
+                for p, x, y in zip(some, [-4, *ends], [*ends, len(raw)]):
+                    memo[p] = raw[x + 4:y]
+        tails = {p: p[len(c):] for p, c in cores.items() if c in memo}
+        ends_with = dict(zip(set(tails.values()), self._encode(list(set(tails.values())))))
+        for p, tail in tails.items():
+            memo[p] = memo[cores[p]] + ends_with[tail]
         rest = [p for p in pieces if p not in memo]
         memo.update(zip(rest, self._encode([" " + p for p in rest])))
 
@@ -92,8 +100,8 @@ class PieceEncoder:
         missing = set()
         for p in cut:
             if p:
-                missing.update(p[1:])
-        self._learn(missing.difference(memo))
+                missing.update(filterfalse(memo.__contains__, p[1:]))
+        self._learn(missing)
         get, done, whole = memo.__getitem__, [], []
         for k, p in enumerate(cut):
             head = next(first) if p else b""
@@ -107,6 +115,15 @@ class PieceEncoder:
         return done
 
 
+def worker_encoder(path: str) -> PieceEncoder:
+    """The encoder of this Python worker: tasks that follow each other in one
+    worker share its memo (a cache only; any task can start without it)."""
+    shared = sys.modules.setdefault("_piece_encoders", ModuleType("_piece_encoders"))
+    if path not in shared.__dict__:
+        shared.__dict__[path] = PieceEncoder(path)
+    return shared.__dict__[path]
+
+
 def best_fill(counts: dict[int, int], capacity: int) -> dict[int, int]:
     """The multiset of lengths (at most ``counts`` of each) whose sum is as
     near to ``capacity`` as possible from below: length -> how many."""
@@ -165,7 +182,7 @@ def pack_block(lengths: list[int], window: int, final: bool) -> tuple[list[list[
 def _pack(batches, path: str, window: int, end_id: int, block: int):
     from pyspark import TaskContext
 
-    encoder, tail = PieceEncoder(path), np.array([end_id], "<u4").tobytes()
+    encoder, tail = worker_encoder(path), np.array([end_id], "<u4").tobytes()
     sequence = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 36
     waiting: list[tuple] = []     # (doc_id, start, length, crc, doc_tokens)
     out: list[tuple] = []
