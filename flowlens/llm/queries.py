@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from .ngram_join import op2_ngram_jaccard_join
+from .packing import op9_packing
 from .quality_rules import op6_quality_rules
+from .secret_scan import op1_secret_scan
 from .toxicity import op10_toxicity
 
 QUERIES = {
+    "op1_secret_scan": op1_secret_scan,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op6_quality_rules": op6_quality_rules,
+    "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
 }
 
