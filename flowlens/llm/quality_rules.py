@@ -125,19 +125,19 @@ def select_cutoffs(statistics: DataFrame, quality: DataFrame, alpha: float = ALP
     bad = F.col("quality") == 0
     long = held.select("lang", bad.alias("bad"), F.explode(F.map_from_arrays(
         F.array(*[F.lit(r) for r in RULES]), F.array(*[b() for b in RULES.values()]))).alias("rule", "bin"))
-    counts = long.groupBy("lang", "rule", "bin").agg(
-        F.count_if(~F.col("bad")).alias("good"), F.count_if("bad").alias("bad"))
+    counts = materialize(long.groupBy("lang", "rule", "bin").agg(
+        F.count_if(~F.col("bad")).alias("good"), F.count_if("bad").alias("bad")), "quality-counts")
     # one row per stratum, rule and occurring badness (1001 at most): small windows
     at_least = Window.partitionBy("lang", "rule").orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy("lang", "rule")
     sums = counts.select("lang", "rule", "bin", F.sum("good").over(at_least).alias("good_refused"),
                          F.sum("bad").over(at_least).alias("bad_refused"), F.sum("good").over(whole).alias("n_good"))
     # tests in one family: every stratum seen times every rule
-    strata = sums.select("lang").distinct().agg(F.greatest(F.count(F.lit(1)), F.lit(1)).alias("strata"))
-    level = F.lit(delta) / (F.col("strata") * len(RULES))
+    strata = max(1, counts.select("lang").distinct().count())
+    level = delta / (strata * len(RULES))
     # past this many refused the test can't pass (the bound then exceeds alpha): spares the long sums
     hopeless = F.col("good_refused") > F.col("n_good") * alpha
-    tested = sums.join(F.broadcast(strata)).select(
+    tested = sums.select(
         "*", (F.when(hopeless, F.lit(1.0)).otherwise(binomial_below(
             F.when(hopeless, F.lit(0).cast("long")).otherwise(F.col("good_refused")), F.col("n_good"), alpha)) <= level).alias("passes"))
     unbroken = F.min(F.col("passes").cast("int")).over(at_least) == 1   # fixed sequence, mildest first
