@@ -67,6 +67,7 @@ LONGEST = 8               # largest m of the m-prefixes
 NEAR = 25                 # a head's differences are used for sets within so many percent below the threshold
 LEADERS = 8               # members per posting compared with the rest in round two; doubled from round to round
 FINISH = 4                # all remaining pairs are tried once they are this few per posting entry
+TOKEN_SLOTS = 1 << 21     # slots of the broadcast that picks the posting entries of shared shingles
 SLOTS = 1 << 20           # slots of the broadcast that picks the documents whose whole sets are needed
 
 
@@ -258,8 +259,8 @@ def _whole(pairs: DataFrame, nodes: DataFrame, src: DataFrame, size: int) -> Dat
     chosen = pairs.select(F.col("a").alias("nid")).union(pairs.select("b")).distinct().join(nodes.select("nid", "digest", "doc_id"), "nid")
     slots = chosen.select(_slot().alias("slot")).distinct()
     texts = src.withColumn("slot", _slot()).join(F.broadcast(slots), "slot", "left_semi").select("text")
-    return materialize(map_arrow(texts, lambda b: _sets(b, size), "digest binary, tokens array<long>")
-                       .join(chosen.select("nid", "digest"), "digest").select("nid", "tokens").dropDuplicates(["nid"]), "ngram-sets")
+    return materialize(map_arrow(texts, lambda b: _sets(b, size), "digest binary, tokens array<long>").dropDuplicates(["digest"])
+                       .join(chosen.select("nid", "digest"), "digest").select("nid", "tokens"), "ngram-sets")
 
 
 def _verified(pairs: DataFrame, nodes: DataFrame, src: DataFrame, size: int, percent: int) -> DataFrame:
@@ -327,20 +328,25 @@ def jaccard_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     rows = materialize(map_arrow(
         src.select("doc_id", "text", F.xxhash64("text").alias("text_hash")), lambda b: _prefixes(b, frequent, size, percent),
         "doc_id long, text_hash long, digest binary, n long, m int, rank int, sketch binary, prefix array<long>"), "ngram-rows")
+    own = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")     # null ids last
     nodes = materialize(
         rows.where("digest is not null").groupBy("digest").agg(
-            F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("m").alias("m"), F.first("rank").alias("rank"),
+            F.min(own).alias("best"), F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("m").alias("m"), F.first("rank").alias("rank"),
             F.first("sketch").alias("sketch"), F.first("prefix").alias("prefix")).withColumn("nid", F.monotonically_increasing_id()), "ngram-nodes")
 
     # posting entries of the shingles that stand in two or more prefixes
     entries = nodes.select("nid", F.explode("prefix").alias("token"))
-    shared = entries.groupBy("token").agg(F.min("nid").alias("x"), F.max("nid").alias("y")).where("x <> y").select("token")
-    active = materialize(entries.join(shared, "token").join(nodes.select("nid", "n", "rank"), "nid"), "ngram-postings")
+    shared = materialize(entries.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token"), "ngram-shared")
+    # most entries stand alone: a bounded broadcast of token slots drops nearly all of them before the exact join
+    slot = F.pmod("token", F.lit(TOKEN_SLOTS)).cast("int")
+    taken = F.broadcast(shared.select(slot.alias("slot")).distinct())
+    active = materialize(entries.withColumn("slot", slot).join(taken, "slot", "left_semi").drop("slot").join(shared, "token")
+                         .join(nodes.select("nid", "n", "rank"), "nid"), "ngram-postings")
     # round one: each posting's most central member against the others, and the others among themselves
     # through their differences from it
-    heads = materialize(active.groupBy("token").agg(F.min(F.struct("rank", "nid")).alias("head"))
-                        .select("token", F.col("head.nid").alias("h")), "ngram-heads")
-    led = active.join(heads, "token").where("nid <> h").select(F.col("nid").alias("a"), F.col("h").alias("b")).distinct()
+    heads = materialize(active.groupBy("token").agg(F.min(F.struct("rank", "nid", "n")).alias("head"))
+                        .select("token", F.col("head.nid").alias("h"), F.col("head.n").alias("n2")), "ngram-heads")
+    led = active.join(heads, "token").where((F.col("nid") != F.col("h")) & _compatible(max(percent - NEAR, 1))).select(F.col("nid").alias("a"), F.col("h").alias("b")).distinct()
     near = materialize(_near(led, nodes, src, size, percent), "ngram-near")
     edges = materialize(near.where("linked").select(F.col("h").alias("a"), F.col("nid").alias("b"))
                         .union(_linked_by_differences(near, percent)), "ngram-links")
@@ -348,7 +354,7 @@ def jaccard_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     # pairs of a posting that are both near its head are settled: they share a home
     close = near.select("nid", "h", F.lit(True).alias("near"))
     active = materialize(
-        active.join(heads, "token").join(close, ["nid", "h"], "left")
+        active.join(heads.drop("n2"), "token").join(close, ["nid", "h"], "left")
         .select("token", "nid", "n", "rank", F.when(F.col("near") | (F.col("nid") == F.col("h")), F.col("h")).otherwise(F.col("nid")).alias("home")),
         "ngram-postings")
 
@@ -384,15 +390,13 @@ def jaccard_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         active = now.drop("root", "k", "q").join(leaders.select("token", F.col("nid2").alias("nid")), ["token", "nid"], "left_anti")
         leaders_each *= 2
 
-    known = nodes.select("nid", "digest", "doc_id").join(classes.withColumnRenamed("node", "nid"), "nid", "left") \
+    known = nodes.select("nid", "digest", "best").join(classes.withColumnRenamed("node", "nid"), "nid", "left") \
         .withColumn("root", F.coalesce("root", "nid"))
-    of = rows.select("doc_id", "text_hash", "digest", "n").join(known.select("digest", "root"), "digest", "left")
-    best = of.where("root is not null").groupBy("root").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("best"))
-    of = of.join(best, "root", "left")
+    leader = known.groupBy("root").agg(F.min("best").alias("leader"))
+    of = rows.select("doc_id", "text_hash", "digest", "n").join(known.join(leader, "root").select("digest", "leader"), "digest", "left")
     return of.select("doc_id", "text_hash", F.col("n").alias("n_shingles"),
-                     F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("best.doc_id")).alias("component_id"),
-                     F.when(F.col("root").isNull(), F.col("text_hash")).otherwise(F.col("best.text_hash")).alias("leader_hash"))
+                     F.when(F.col("leader").isNull(), F.col("doc_id")).otherwise(F.col("leader.doc_id")).alias("component_id"),
+                     F.when(F.col("leader").isNull(), F.col("text_hash")).otherwise(F.col("leader.text_hash")).alias("leader_hash"))
 
 
 def _smallest(entries: DataFrame, by, k: int) -> DataFrame:
