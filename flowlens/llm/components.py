@@ -11,9 +11,10 @@ from .common import materialize
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """edges(a long, b long) -> (node, root): ``root`` is the smallest node of
-    the component. Only nodes that have an edge to another node appear; null
-    ends and loops are ignored; no edges give an empty table."""
+    """edges(a long, b long) -> (node, root) of every node that has an edge and
+    isn't the smallest of its component; ``root`` is that smallest node (the
+    roots themselves aren't listed). Null ends and loops are ignored; no edges
+    give an empty table."""
     e = materialize(edges.where("a <> b").select(
         F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct(), "edges")
     while True:

@@ -67,7 +67,7 @@ LONGEST = 8               # largest m of the m-prefixes
 NEAR = 25                 # a head's differences are used for sets within so many percent below the threshold
 LEADERS = 8               # members per posting compared with the rest in round two; doubled from round to round
 FINISH = 4                # all remaining pairs are tried once they are this few per posting entry
-TOKEN_SLOTS = 1 << 21     # slots of the broadcast that picks the posting entries of shared shingles
+TOKEN_SLOTS = 1 << 20     # slots of the broadcast that picks the posting entries of shared shingles
 SLOTS = 1 << 20           # slots of the broadcast that picks the documents whose whole sets are needed
 
 
@@ -407,5 +407,23 @@ def _smallest(entries: DataFrame, by, k: int) -> DataFrame:
     return ordered.where(F.col("at") <= k).select("token", "nid2", "n2", "root2", "home2")
 
 
+def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` that stand for their class (smallest doc_id, then
+    hash of the text), unchanged; of rows equal in id and text one stays.
+    Documents without words are no copies of each other and all stay."""
+    classes = materialize(jaccard_classes(docs, size, percent), "ngram-classes")
+    stands = classes.where("n_shingles = 0 or (doc_id <=> component_id and text_hash = leader_hash)")
+    mark = materialize(stands.groupBy("doc_id", "text_hash").agg(
+        F.count(F.lit(1)).alias("__rows"), F.max("n_shingles").alias("__n")), "ngram-kept")
+    key = lambda: [F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), F.xxhash64(F.col("text").cast("string")) == F.col("__hash")]
+    mark = mark.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "__rows", "__n")
+    # a row that comes once (or has no words) needs no look at its equals
+    once = docs.join(mark.where("__rows = 1 or __n = 0"), key(), "left_semi")
+    again = mark.where("__rows > 1 and __n > 0")
+    if again.isEmpty():
+        return once
+    return once.unionByName(docs.join(again, key(), "left_semi").dropDuplicates(["doc_id", "text"]))
+
+
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(table(spark, sf_dir, "documents"), size=3, percent=90).select("doc_id", "n_shingles", "component_id")

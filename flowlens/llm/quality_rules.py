@@ -37,18 +37,21 @@ GOOD_WEIGHT = 4.0     # one good document refused costs this many bad ones caugh
 SPACE = r"[\x20\x09-\x0D]+"
 
 
-def word_statistics(docs: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
-    """docs(doc_id, text, ...) -> ``carried`` columns of docs, doc_id, lang, n_words, word_chars, n_symbols,
-    n_lines, n_dup_lines, n_repeat_words. One pass, no shuffle.
+def word_statistics(docs: DataFrame, carry: bool = False) -> DataFrame:
+    """docs(doc_id, text, ...) -> doc_id, lang, n_words, word_chars, n_symbols,
+    n_lines, n_dup_lines, n_repeat_words; with ``carry`` also the whole row of
+    docs as the struct ``__row``. One pass, no shuffle.
 
     Repeated 5-word windows are found on 64-bit hashes of the windows: equal
     windows always meet, different ones collide with a chance below n^2 / 2^64
     within a text."""
     text = F.coalesce("text", F.lit(""))
     lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
-    d = docs.select("doc_id", lang.cast("string").alias("lang"), text.alias("text"))
+    kept = ["__row"] if carry else []
+    d = docs.select(*[F.struct(*docs.columns).alias(c) for c in kept], F.col("doc_id").cast("long").alias("doc_id"),
+                    lang.cast("string").alias("lang"), text.alias("text"))
     d = d.select(
-        "doc_id", "lang",
+        *kept, "doc_id", "lang",
         F.array_remove(F.split("text", SPACE), "").alias("words"),
         F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
         (F.length("text") - F.length(F.regexp_replace("text", r"[#*$%&|<>]+", ""))).alias("n_symbols"))
@@ -57,7 +60,7 @@ def word_statistics(docs: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame
         F.sequence(F.lit(0), F.size("words") - 5),
         lambda i: F.xxhash64(*[F.get(F.col("words"), i + k) for k in range(5)])))
     d = d.select(
-        "doc_id", "lang", "n_symbols",
+        *kept, "doc_id", "lang", "n_symbols",
         F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.size("lines").cast("long").alias("n_lines"),
@@ -80,7 +83,7 @@ def word_statistics(docs: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame
     gaps = F.zip_with(F.slice("at", 2, F.greatest(F.size("at"), F.lit(1))), F.col("at"),
                       lambda nxt, here: F.coalesce(F.least(nxt - here, F.lit(5)), F.lit(5)).cast("long"))
     covered = F.when(F.col("at").isNotNull(), F.aggregate(gaps, F.lit(0).cast("long"), lambda s, g: s + g))
-    return d.select("doc_id", "lang", "n_words", "word_chars", F.col("n_symbols").cast("long").alias("n_symbols"),
+    return d.select(*kept, "doc_id", "lang", "n_words", "word_chars", F.col("n_symbols").cast("long").alias("n_symbols"),
                     "n_lines", "n_dup_lines", F.coalesce(covered, F.lit(0).cast("long")).alias("n_repeat_words"))
 
 
@@ -151,6 +154,7 @@ def apply_cutoffs(statistics: DataFrame, cutoffs: DataFrame) -> DataFrame:
     table has one row per stratum with one column per rule."""
     wide = cutoffs.groupBy("lang").agg(*[
         F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"cut_{r}") for r in RULES]).withColumnRenamed("lang", "stratum")
+    wide = materialize(wide, "quality-cutoffs")      # its real size then decides the join
     joined = statistics.join(wide, F.col("lang").eqNullSafe(F.col("stratum")), "left")
     hits = F.concat_ws(",", *[F.when(b() >= F.col(f"cut_{r}"), F.lit(r)) for r, b in RULES.items()])
     return (joined.select(*statistics.columns, base_failed().alias("base_failed"), hits.alias("refused_by"))
@@ -164,6 +168,15 @@ def quality_rules(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delt
     return apply_cutoffs(statistics, select_cutoffs(statistics, labelled(labels, "quality"), alpha, delta))
 
 
+def keep_good(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
+    """The rows of ``docs`` that are kept, unchanged. The small statistics are
+    written for the fit; the verdict recomputes them beside the texts, so no text
+    is shuffled."""
+    statistics = materialize(word_statistics(docs), "quality-statistics")
+    cutoffs = select_cutoffs(statistics, labelled(labels, "quality"), alpha, delta)
+    return apply_cutoffs(word_statistics(docs, carry=True), cutoffs).where("kept").select("__row.*")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "refused_by")
