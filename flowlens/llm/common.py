@@ -12,6 +12,8 @@ from ..session import materialize, prepare  # noqa: F401  (re-exported to the op
 
 # rows per Arrow batch handed to Python: a batch of texts stays at a few MB
 ARROW_ROWS = 1024
+# and bytes per batch: very long texts or wide blocks come in smaller batches
+ARROW_BYTES = 16 << 20
 # distinct words kept per worker memo before it is emptied (bounds memory, never results)
 MEMO_WORDS = 400_000
 
@@ -21,6 +23,7 @@ def session(spark: SparkSession) -> SparkSession:
     a batch of very long texts still fits a worker."""
     prepare(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     return spark
 
 
