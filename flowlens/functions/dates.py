@@ -33,6 +33,6 @@ def hour_bucket(seconds) -> Column:
     return epoch_to_ntz(hour_floor(seconds))
 
 
-def iso_to_epoch(text) -> Column:
-    """ISO-8601 'yyyy-MM-ddTHH:mm:ss[.SSS]Z' -> epoch seconds (BIGINT)."""
-    return F.unix_timestamp(F.try_to_timestamp(_col(text)))
+def iso_to_micros(text) -> Column:
+    """ISO-8601 'yyyy-MM-ddTHH:mm:ss[.ffffff]Z' -> microseconds since the epoch (BIGINT)."""
+    return F.unix_micros(F.try_to_timestamp(_col(text)))

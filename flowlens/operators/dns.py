@@ -7,6 +7,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .lookups import unique_lookup
+
 DAY = ["year", "month", "day"]
 SUMMARY_KEYS = ["account_id", "vpc_id", "client_ip", "resolved_ip", *DAY]
 
@@ -62,5 +64,7 @@ def with_primary_domain(flows: DataFrame, domains: DataFrame, src: str = "srcadd
 
 
 def with_reverse_domain(df: DataFrame, resolved: DataFrame, ip: str = "destination_ip", name: str = "domain") -> DataFrame:
-    r = resolved.select(F.col("dstaddr").alias("_r_ip"), F.col("domain").alias(name))
+    """Left-join the reverse name; of several names of an address the smallest
+    counts, so no row is multiplied."""
+    r = unique_lookup(resolved, ["dstaddr"], ["domain"]).select(F.col("dstaddr").alias("_r_ip"), F.col("domain").alias(name))
     return df.join(r, df[ip] == r["_r_ip"], "left").drop("_r_ip")

@@ -15,27 +15,27 @@ nested-loop join. This operator turns it into an equi-join:
    keys) with the residual ``ip BETWEEN lo AND hi``.
 4. ``resolve='most_specific'`` keeps one range per point (narrowest first,
    then the caller's order) with a partial+final aggregate; ``'all'`` keeps
-   every match. When the range table is proven disjoint (a cached,
-   distributed check) there is at most one match and the aggregate is skipped.
+   every match. Overlaps are always resolved: no property of the range table is
+   assumed or remembered, so a result never depends on an earlier state of it.
 5. The payload is left-joined back to the points on the key set; points with
    a NULL address or no match keep NULL payload.
 
-The exploded range table is broadcast only when its exact row count (one
-aggregate over the range table) is under ``broadcast_max_rows``; otherwise the
-join is planned as a sort-merge join on the bucket key and AQE may still
-convert it if the runtime size turns out small.
+The exploded range table is broadcast only when its estimated size in bytes (one
+aggregate over the range table: exploded rows times fixed and payload width) is
+at most ``broadcast_max_bytes``; otherwise the join is planned as a sort-merge
+join on the bucket key and AQE may still convert it if the runtime size turns out
+small. The estimate picks the strategy only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# ~100 bytes per exploded row: about 100 MB per executor at the bound
-DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
-
+DEFAULT_BROADCAST_MAX_BYTES = 100 * 1024 * 1024
+ROW_BYTES = 80            # fixed part of an exploded row in a hash relation
 
 
 def _fanout_rows(bits: int, max_fanout: int) -> Column:
@@ -62,38 +62,12 @@ def _explode_ranges(ranges: DataFrame, bits: int, max_fanout: int) -> tuple[Data
     return exploded, F.sum(rows)
 
 
-_STATS_CACHE: dict[tuple, tuple[int, bool]] = {}
-
-
-def range_stats(rng: DataFrame, equi_cols: Sequence[str] = (), bits: int = 16,
-                max_fanout: int = 256) -> tuple[int, bool]:
-    """(exploded row count, disjoint) of a prepared range table, in one job.
-
-    Disjointness is checked distributedly: every range is listed under each
-    /8 it touches (at most 256 rows per range), and within each (equi keys,
-    /8) group a range overlaps an earlier one iff its start is <= the largest
-    end seen so far. Cached per range plan for the session (reference data is
-    static within a job; a stale entry could only change the join strategy)."""
-    key = (rng.semanticHash(), tuple(equi_cols), bits, max_fanout)
-    if key not in _STATS_CACHE:
-        first8 = F.shiftright("_lo", 24)
-        by8 = rng.select(
-            *equi_cols, "_lo", "_hi", first8.alias("_f8"),
-            F.explode(F.sequence(first8, F.shiftright("_hi", 24))).alias("_b8"),
-        )
-        w = Window.partitionBy(*equi_cols, "_b8").orderBy("_lo", "_hi").rowsBetween(Window.unboundedPreceding, -1)
-        flagged = by8.withColumn("_clash", F.max("_hi").over(w) >= F.col("_lo"))
-        n_rows_expr = _fanout_rows(bits, max_fanout)
-        stats = flagged.agg(
-            F.sum(F.when(F.col("_b8") == F.col("_f8"), n_rows_expr)).alias("n"),
-            F.max(F.coalesce(F.col("_clash"), F.lit(False)).cast("int")).alias("clash"),
-        ).first()
-        _STATS_CACHE[key] = (int(stats["n"] or 0), not bool(stats["clash"]))
-    return _STATS_CACHE[key]
-
-
-def ranges_disjoint(rng: DataFrame, equi_cols: Sequence[str] = ()) -> bool:
-    return range_stats(rng, equi_cols)[1]
+def exploded_bytes(rng: DataFrame, payload: Sequence[str], bits: int = 16, max_fanout: int = 256) -> int:
+    """Estimated size of the exploded range table (one small job)."""
+    width = F.lit(ROW_BYTES)
+    for c in payload:
+        width = width + F.coalesce(F.length(F.col(c).cast("string")), F.lit(0))
+    return int(rng.agg(F.sum(_fanout_rows(bits, max_fanout) * width).alias("n")).first()["n"] or 0)
 
 
 def range_matches(
@@ -108,7 +82,7 @@ def range_matches(
     order: Sequence[Column] = (),
     bits: int = 16,
     max_fanout: int = 256,
-    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
     rename: dict[str, str] | None = None,
 ) -> DataFrame:
     """Matches for distinct, non-NULL point keys: (ip, equi keys...) ->
@@ -140,10 +114,7 @@ def range_matches(
     ).where((F.col("_lo") >= 0) & (F.col("_hi") < F.lit(1 << 32)) & (F.col("_lo") <= F.col("_hi")))
     exploded, _ = _explode_ranges(rng, bits, max_fanout)
 
-    # exact size of the exploded table and disjointness: one job over the
-    # (small) range table, cached per range plan
-    n_rows, disjoint = range_stats(rng, [f"_eq{i}" for i in range(len(equi))], bits, max_fanout)
-    if n_rows <= broadcast_max_rows:
+    if exploded_bytes(rng, [f"_pl{j}" for j in range(len(payload))], bits, max_fanout) <= broadcast_max_bytes:
         exploded = F.broadcast(exploded)
     else:
         exploded = exploded.hint("merge")
@@ -159,8 +130,6 @@ def range_matches(
         *[exploded[f"_pl{j}"] for j in range(len(payload))],
     )
 
-    if resolve == "most_specific" and disjoint:
-        resolve = "all"     # at most one match per key: nothing to resolve, no aggregate
     if resolve == "most_specific":
         best = F.min(F.struct(
             "_width",

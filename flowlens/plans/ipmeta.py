@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ipmath import ip_to_int
+from ..operators.lookups import unique_lookup
 from ..operators.rangejoin import range_join, range_matches
 from ..session import materialize
 from ..sources.fixtures import UMBRELLA_SERVICE
@@ -20,10 +21,17 @@ def cloud_order():
     return [F.col("service") == UMBRELLA_SERVICE, F.col("service"), F.col("region")]
 
 
+def _locations(dims) -> DataFrame:
+    """One name per location (the smallest: a table of several locales must not
+    multiply rows)."""
+    names = unique_lookup(dims.geo_locations, ["geoname_id"], ["country_name"])
+    return names.select(F.col("geoname_id").alias("_geo_id"), "country_name")
+
+
 def with_country(points: DataFrame, dims, ip: str = "dst_ip_int", name: str = "country_name") -> DataFrame:
     out = range_join(points, dims.geo_blocks, ip, "network_start_integer", "network_end_integer",
                      ["geoname_id"], rename={"geoname_id": "_geo_id"})
-    loc = dims.geo_locations.select(F.col("geoname_id").alias("_geo_id"), F.col("country_name").alias(name))
+    loc = _locations(dims).withColumnRenamed("country_name", name)
     return out.join(loc, "_geo_id", "left").drop("_geo_id")
 
 
@@ -59,7 +67,7 @@ def ip_metadata(flows: DataFrame, dims, keys: Sequence[str] = ("dstaddr",), serv
     ips = pts.select("dst_ip_int").where(F.col("dst_ip_int").isNotNull()).distinct()
     geo = range_matches(ips, dims.geo_blocks, "dst_ip_int", "network_start_integer", "network_end_integer",
                         ["geoname_id"], rename={"geoname_id": "_geo_id"})
-    loc = dims.geo_locations.select(F.col("geoname_id").alias("_geo_id"), "country_name")
+    loc = _locations(dims)
     geo = geo.join(loc, "_geo_id", "left").drop("_geo_id")
     asn = range_matches(ips, dims.geo_asn, "dst_ip_int", "network_start_integer", "network_end_integer",
                         ["autonomous_system_organization"],

@@ -129,15 +129,17 @@ def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Curated resolver query logs: one query per flow with line number <= 3."""
-    base = _flow_columns(_table(spark, sf_dir, "lineitem").where(F.col("l_linenumber") <= 3))
-    k, p = F.col("_k"), F.col("_p")
+    """Curated resolver query logs: one query per flow. Queries of line numbers
+    above 3 were answered with an address no flow goes to (TEST-NET-2)."""
+    base = _flow_columns(_table(spark, sf_dir, "lineitem"))
+    k, p, n = F.col("_k"), F.col("_p"), F.col("_n")
+    answer = F.when(n <= 3, F.col("dstaddr")).otherwise(F.concat(F.lit("198.51.100."), _s(p % 100)))
     dns_time = F.col("start_time") - k % 900
     ts = epoch_to_ntz(dns_time)
     answers = (
         F.when(k % 22 == 0, F.lit(None).cast(ANSWER_TYPE))
         .when(k % 11 == 0, F.array().cast(ANSWER_TYPE))
-        .otherwise(F.array(F.struct(F.col("dstaddr").alias("Rdata"))))
+        .otherwise(F.array(F.struct(answer.alias("Rdata"))))
     )
     return base.select(
         "account_id",
@@ -162,7 +164,7 @@ def ec2_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Instance inventory. Each (account, region, instance) key has several rows
     with different business units (the fan-out trap of the reference)."""
     p = F.col("p_partkey")
-    return _table(spark, sf_dir, "part").where(p <= 180).select(
+    return _table(spark, sf_dir, "part").select(
         F.lpad(_s(p % 3 + 1), 12, "0").alias("account_id"),
         _pick(F.floor(p / 3) % 3, REGIONS).alias("region"),
         F.concat(F.lit("i-"), _s(p % 45)).alias("instance_id"),
@@ -172,39 +174,44 @@ def ec2_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _block(p: Column) -> tuple[Column, Column]:
+    """(first address, width) of a part's block. Parts share 180 first octets;
+    the first 64 of an octet get a quarter-million addresses each, side by side,
+    later ones a /24 inside one of those (nested ranges)."""
+    j = F.floor(p / 180)
+    lo = (p % 180 + 20) * 16777216 + j % 64 * 262144 + F.when(j < 64, 0).otherwise(F.floor(j / 64) % 1024 * 256)
+    return lo.cast("bigint"), F.when(j < 64, 262144).otherwise(256).cast("bigint")
+
+
 def geo_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = F.col("p_partkey")
-    lo = (p + 20) * 16777216
-    return _table(spark, sf_dir, "part").where(p < 180).select(
-        lo.cast("bigint").alias("network_start_integer"),
-        (lo + 16777215).cast("bigint").alias("network_end_integer"),
-        (p % 30).cast("bigint").alias("geoname_id"),
-    )
+    lo, width = _block(p)
+    return _table(spark, sf_dir, "part").select(
+        lo.alias("network_start_integer"), (lo + width - 1).alias("network_end_integer"),
+        (p % 30).cast("bigint").alias("geoname_id"))
 
 
 def geo_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").cast("bigint").alias("geoname_id"),
-        F.col("n_name").alias("country_name"),
-    )
+    """Names by id; even ids have a second one (another locale)."""
+    nation = _table(spark, sf_dir, "nation")
+    gid = F.col("n_nationkey").cast("bigint").alias("geoname_id")
+    return nation.select(gid, F.col("n_name").alias("country_name")).unionByName(
+        nation.where(F.col("n_nationkey") % 2 == 0).select(gid, F.lower("n_name").alias("country_name")))
 
 
 def geo_asn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two /9 halves per /8, each with its own organisation."""
+    """Two halves per block, each with its own organisation."""
     p = F.col("p_partkey")
-    part = _table(spark, sf_dir, "part").where(p < 170)
-    lo = (p + 20) * 16777216
-    halves = []
-    for half, shift in ((0, 0), (1, 13)):
-        start = lo + half * 8388608
-        halves.append(
-            part.select(
-                start.cast("bigint").alias("network_start_integer"),
-                (start + 8388607).cast("bigint").alias("network_end_integer"),
-                F.concat(F.lit("AS-"), _s((p + shift) % 40)).alias("autonomous_system_organization"),
-            )
-        )
-    return halves[0].unionByName(halves[1])
+    part = _table(spark, sf_dir, "part")
+    lo, width = _block(p)
+    half = (width / 2).cast("bigint")
+    parts = []
+    for k, shift in ((0, 0), (1, 13)):
+        start = lo + k * half
+        parts.append(part.select(
+            start.alias("network_start_integer"), (start + half - 1).alias("network_end_integer"),
+            F.concat(F.lit("AS-"), _s((p + shift) % 40)).alias("autonomous_system_organization")))
+    return parts[0].unionByName(parts[1])
 
 
 def cloud_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -227,17 +234,13 @@ def cloud_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def resolved_ips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reverse-DNS table: a name for roughly two of three destinations."""
+    """Reverse-DNS table: a name for each destination, some with a second one;
+    the rows of every third part name an address no flow goes to."""
     f = _flow_columns(_table(spark, sf_dir, "lineitem"))
-    return (
-        f.where(F.col("_p") % 3 != 0)
-        .select("dstaddr")
-        .distinct()
-        .select(
-            "dstaddr",
-            F.concat(F.lit("rev-"), F.regexp_replace("dstaddr", r"[.:]", "-"), F.lit(".example.net")).alias("domain"),
-        )
-    )
+    p = F.col("_p")
+    address = F.when(p % 3 != 0, F.col("dstaddr")).otherwise(F.concat(F.lit("203.0.113."), _s(p % 100)))
+    name = F.concat(F.when(p % 11 == 0, "second-").otherwise("rev-"), F.regexp_replace("dstaddr", r"[.:]", "-"), F.lit(".example.net"))
+    return f.select(address.alias("dstaddr"), name.alias("domain")).distinct()
 
 
 @dataclass

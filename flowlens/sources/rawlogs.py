@@ -15,13 +15,16 @@ and ``.../AWSLogs/<account>/vpcdnsquerylogs/<vpc>/<yyyy>/<mm>/<dd>/file``) or
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 from .fixtures import FLOW_COLUMNS, FLOW_PARTITIONS
 
+log = logging.getLogger(__name__)
+
 # The raw flow-log field names in the default record format,
 # and the renames from raw names to curated names.
 RAW_FLOW_FIELDS = [
@@ -132,26 +135,44 @@ def flow_schema_ddl() -> str:
     return ", ".join(f"{n} {t}" for n, t in cols)
 
 
-def read_flow_logs(spark: SparkSession, paths, layout: str = "aws") -> DataFrame:
+def existing_paths(spark: SparkSession, paths) -> tuple[list[str], list[str]]:
+    """(paths or globs that match something, those that don't), resolved one by
+    one through the Hadoop FileSystem API of the session: one silent account or
+    day must not hide the others."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    found, missing = [], []
+    for path in [paths] if isinstance(paths, str) else list(paths):
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        matches = p.getFileSystem(conf).globStatus(p)
+        (found if matches is not None and len(matches) else missing).append(path)
+    return found, missing
+
+
+def _report(missing: list[str]) -> None:
+    if missing:
+        log.warning("no input at %d of the listed paths: %s", len(missing), ", ".join(missing))
+
+
+def read_flow_logs(spark: SparkSession, paths, layout: str = "aws", default_fields: list[str] | None = None) -> DataFrame:
     """Raw flow-log text -> curated columns (typed, '-' -> NULL, raw account
     and region kept as log_account_id/log_region, partitions from the path).
-    A missing path or no files gives an empty frame with the curated schema."""
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    try:
-        lines = spark.read.text(paths)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            return _empty(spark, flow_schema_ddl())
-        raise
-    n_files = len(lines.inputFiles())
+    Listed paths without input are reported and left out; if none has any, the
+    result is an empty frame with the curated schema. Files without a header line
+    are read in the order of ``default_fields`` (default: ``RAW_FLOW_FIELDS``)."""
+    found, missing = existing_paths(spark, paths)
+    _report(missing)
+    if not found:
+        return _empty(spark, flow_schema_ddl())
+    lines = spark.read.text(found)
+    n_files = len(lines._jdf.inputFiles())     # the array stays in the JVM
     if n_files == 0:
         return _empty(spark, flow_schema_ddl())
     path_cols = [RAW_HIVE_FLOW_KEYS[c] for c in FLOW_PARTITIONS if layout == "hive"]
     staged = lines.select(F.col("_metadata.file_path").alias("_file"), "value", *path_cols)
-    return normalize_lines(staged, layout, n_files)
+    return normalize_lines(staged, layout, n_files, default_fields)
 
 
-def normalize_lines(staged: DataFrame, layout: str, n_files: int | None) -> DataFrame:
+def normalize_lines(staged: DataFrame, layout: str, n_files: int | None, default_fields: list[str] | None = None) -> DataFrame:
     """Lines (``_file``, ``value`` and, for the hive layout, the directory
     columns) -> curated flow columns. ``n_files`` bounds the per-file header
     table (one row per file); it is broadcast when the bound is small."""
@@ -169,7 +190,10 @@ def normalize_lines(staged: DataFrame, layout: str, n_files: int | None) -> Data
     )
     if n_files is not None and n_files * MAX_HEADER_BYTES <= 256 * 1024 * 1024:
         headers = F.broadcast(headers)
-    data = tok.where(~is_header).join(headers, "_file", "inner")
+    # a file without a header keeps its rows: they are read in the default order
+    order = list(default_fields or RAW_FLOW_FIELDS)
+    default = F.struct(*[F.lit(order.index(raw_name(c)) if raw_name(c) in order else -1).alias(c) for c in names])
+    data = tok.where(~is_header).join(headers, "_file", "left").withColumn("_pos", F.coalesce("_pos", default))
     parts = _path_parts(layout, FLOW_PATH_RE, FLOW_PARTITIONS, RAW_HIVE_FLOW_KEYS, path=F.col("_file"))
     cols = []
     for name, dtype in FLOW_COLUMNS:
@@ -181,13 +205,11 @@ def normalize_lines(staged: DataFrame, layout: str, n_files: int | None) -> Data
 def read_dns_logs(spark: SparkSession, paths, layout: str = "aws") -> DataFrame:
     """Raw resolver JSON lines -> curated DNS columns. ``account_id`` comes
     from the record (aws layout); vpc_id, year, month, day from the path."""
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    try:
-        raw = spark.read.schema(RAW_DNS_SCHEMA).json(paths)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            return _empty(spark, DNS_DDL)
-        raise
+    found, missing = existing_paths(spark, paths)
+    _report(missing)
+    if not found:
+        return _empty(spark, DNS_DDL)
+    raw = spark.read.schema(RAW_DNS_SCHEMA).json(found)
     names = ["path_account_id", "vpc_id", "year", "month", "day"]
     if layout == "hive":
         parts = {n: F.col(n) for n in ["vpc_id", "year", "month", "day"]}

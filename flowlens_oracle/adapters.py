@@ -106,7 +106,7 @@ flows AS (
 ),
 dns0 AS (
   SELECT *, TIMESTAMP '1970-01-01 00:00:00' + to_seconds(start_time - _k % 900) AS _ts
-  FROM flows_base WHERE _n <= 3
+  FROM flows_base
 ),
 dns AS (
   SELECT account_id, region, vpc_id, srcaddr, srcport,
@@ -115,7 +115,7 @@ dns AS (
     strftime(_ts, '%Y-%m-%dT%H:%M:%SZ') AS query_timestamp,
     CASE WHEN _k % 22 = 0 THEN CAST(NULL AS STRUCT(Rdata VARCHAR)[])
          WHEN _k % 11 = 0 THEN CAST([] AS STRUCT(Rdata VARCHAR)[])
-         ELSE [{'Rdata': dstaddr}] END AS answers,
+         ELSE [{'Rdata': if(_n <= 3, dstaddr, concat('198.51.100.', _p % 100))}] END AS answers,
     CASE WHEN _k % 11 = 0 THEN 'NXDOMAIN' ELSE 'NOERROR' END AS rcode,
     'UDP' AS transport, '1.100000' AS version,
     strftime(_ts, '%Y') AS year, strftime(_ts, '%m') AS month, strftime(_ts, '%d') AS day
@@ -128,27 +128,28 @@ ec2_details AS (
     concat('acct-', p_partkey % 3 + 1) AS account_name,
     p_type AS biz_unit,
     concat('app-', p_partkey % 8) AS application_id
-  FROM part WHERE p_partkey <= 180
+  FROM part
+),
+blocks AS (
+  SELECT p_partkey AS p, p_partkey // 180 AS j,
+         CAST(if(p_partkey // 180 < 64, 262144, 256) AS BIGINT) AS width,
+         CAST((p_partkey % 180 + 20) * 16777216 + (p_partkey // 180) % 64 * 262144
+              + if(p_partkey // 180 < 64, 0, (p_partkey // 180 // 64) % 1024 * 256) AS BIGINT) AS lo
+  FROM part
 ),
 geo_blocks AS (
-  SELECT CAST((p_partkey + 20) * 16777216 AS BIGINT) AS network_start_integer,
-         CAST((p_partkey + 20) * 16777216 + 16777215 AS BIGINT) AS network_end_integer,
-         CAST(p_partkey % 30 AS BIGINT) AS geoname_id
-  FROM part WHERE p_partkey < 180
+  SELECT lo AS network_start_integer, lo + width - 1 AS network_end_integer, CAST(p % 30 AS BIGINT) AS geoname_id FROM blocks
 ),
-geo_locations AS (
+geo_names AS (
   SELECT CAST(n_nationkey AS BIGINT) AS geoname_id, n_name AS country_name FROM nation
+  UNION ALL
+  SELECT CAST(n_nationkey AS BIGINT), lower(n_name) FROM nation WHERE n_nationkey % 2 = 0
 ),
+geo_locations AS (SELECT geoname_id, min(country_name) AS country_name FROM geo_names GROUP BY geoname_id),
 geo_asn AS (
-  SELECT CAST((p_partkey + 20) * 16777216 AS BIGINT) AS network_start_integer,
-         CAST((p_partkey + 20) * 16777216 + 8388607 AS BIGINT) AS network_end_integer,
-         concat('AS-', p_partkey % 40) AS autonomous_system_organization
-  FROM part WHERE p_partkey < 170
-  UNION ALL
-  SELECT CAST((p_partkey + 20) * 16777216 + 8388608 AS BIGINT),
-         CAST((p_partkey + 20) * 16777216 + 16777215 AS BIGINT),
-         concat('AS-', (p_partkey + 13) % 40)
-  FROM part WHERE p_partkey < 170
+  SELECT lo + half * (width // 2) AS network_start_integer, lo + (half + 1) * (width // 2) - 1 AS network_end_integer,
+         concat('AS-', (p + half * 13) % 40) AS autonomous_system_organization
+  FROM blocks, (VALUES (0), (1)) AS halves(half)
 ),
 cloud0 AS (
   SELECT (CAST(n_nationkey AS BIGINT) * 8 + 20) * 16777216 AS network_start_int,
@@ -162,11 +163,12 @@ cloud_ranges AS (
   UNION ALL
   SELECT network_start_int, network_end_int, 'AMAZON' AS service, 'GLOBAL' AS region FROM cloud0
 ),
-resolved_ips AS (
-  SELECT DISTINCT dstaddr,
-    concat('rev-', regexp_replace(dstaddr, '[.:]', '-', 'g'), '.example.net') AS domain
-  FROM flows_base WHERE _p % 3 <> 0
+resolved_names AS (
+  SELECT DISTINCT if(_p % 3 <> 0, dstaddr, concat('203.0.113.', _p % 100)) AS dstaddr,
+    concat(if(_p % 11 = 0, 'second-', 'rev-'), replace(replace(dstaddr, '.', '-'), ':', '-'), '.example.net') AS domain
+  FROM flows_base
 ),
+resolved_ips AS (SELECT dstaddr, min(domain) AS domain FROM resolved_names GROUP BY dstaddr),
 acct AS (
   SELECT account_id, min(account_name) AS account_name FROM ec2_details GROUP BY account_id
 ),

@@ -51,6 +51,33 @@ def test_missing_day_is_empty(spark):
     assert df.count() == 0 and "bytes" in df.columns
 
 
+def test_one_silent_account_or_day_hides_nothing(spark):
+    from flowlens.sources.rawlogs import dns_log_paths, existing_paths, flow_log_paths
+    root = tempfile.mkdtemp(prefix="flowlens-ingest-")
+    _write(root, "111111111111", "us-east-1", "15", RAW_FLOW_FIELDS, [_record(), _record()])
+    paths = flow_log_paths(root, ("2026", "02", "15"), accounts=["111111111111", "222222222222"])
+    assert read_flow_logs(spark, paths).count() == 2
+    assert [len(x) for x in existing_paths(spark, paths)] == [1, 1]
+    d = os.path.join(root, "AWSLogs", "1", "vpcdnsquerylogs", "vpc-1", "2026", "02", "15")
+    os.makedirs(d)
+    with open(os.path.join(d, "x.log"), "w") as f:
+        f.write('{"account_id":"1","query_name":"a.example"}\n')
+    assert read_dns_logs(spark, dns_log_paths(root, [("2026", "02", "15"), ("2026", "02", "16")])).count() == 1
+    assert read_dns_logs(spark, dns_log_paths(root, [("2026", "02", "17")])).count() == 0
+
+
+def test_file_without_header_keeps_its_rows(spark):
+    root = tempfile.mkdtemp(prefix="flowlens-ingest-")
+    _write(root, "111111111111", "us-east-1", "15", RAW_FLOW_FIELDS, [_record()])
+    d = os.path.join(root, "AWSLogs", "222222222222", "vpcflowlogs", "us-east-1", "2026", "02", "15")
+    os.makedirs(d)
+    with open(os.path.join(d, "bare.log"), "w") as f:
+        for k in range(3):
+            f.write(" ".join(_record(bytes=str(k))[x] for x in RAW_FLOW_FIELDS) + "\n")
+    rows = read_flow_logs(spark, f"{root}/AWSLogs/*/vpcflowlogs/*/2026/02/15/").collect()
+    assert sorted(r.bytes for r in rows) == [0, 1, 2, 1500] and {r.dstaddr for r in rows} == {"8.8.8.8"}
+
+
 def test_rerun_overwrites_only_its_partition(spark):
     root = tempfile.mkdtemp(prefix="flowlens-ingest-")
     out = os.path.join(root, "curated")

@@ -53,17 +53,25 @@ def test_all_matches_and_no_nested_loop(spark):
 
 def test_forced_sort_merge_path(spark):
     pts, ranges = _fixture(spark)
-    got = range_join(pts, ranges, "ip", "lo", "hi", ["name"], broadcast_max_rows=0)
+    got = range_join(pts, ranges, "ip", "lo", "hi", ["name"], broadcast_max_bytes=-1)
     assert {r.id: r.name for r in got.collect()} == _brute(pts, ranges, False)
 
 
-def test_disjoint_check(spark):
-    from flowlens.operators.rangejoin import ranges_disjoint
-    mk = lambda rows: spark.createDataFrame(rows, "_lo bigint, _hi bigint, _eq0 string")
-    assert ranges_disjoint(mk([(0, 9, "a"), (10, 19, "a"), (5, 7, "b")]), ["_eq0"])
-    assert not ranges_disjoint(mk([(0, 9, "a"), (9, 19, "a")]), ["_eq0"])
-    assert not ranges_disjoint(mk([(0, 2**26, "a"), (2**25, 2**25 + 5, "a")]), ["_eq0"])   # across /8 buckets
-    assert not ranges_disjoint(mk([(0, 9, "a"), (0, 9, "b")]), [])
+def test_rewritten_range_table(spark, tmp_path):
+    """The same path first holds disjoint, then overlapping ranges."""
+    pts = spark.createDataFrame([(1, 5), (2, 70_000), (3, 99)], "id int, ip bigint")
+    path = str(tmp_path / "ranges")
+    for rows in ([(0, 10, "a"), (60_000, 80_000, "b")], [(0, 1000, "wide"), (0, 10, "a"), (60_000, 80_000, "b"), (65_000, 75_000, "c")]):
+        spark.createDataFrame(rows, "lo bigint, hi bigint, name string").write.mode("overwrite").parquet(path)
+        ranges = spark.read.parquet(path)
+        got = range_join(pts, ranges, "ip", "lo", "hi", ["name"], order=[F.col("name")])
+        assert sorted((r.id, r.name) for r in got.collect()) == sorted(_brute(pts, ranges, False).items())
+
+
+def test_broadcast_bound_counts_payload_bytes(spark):
+    from flowlens.operators.rangejoin import ROW_BYTES, exploded_bytes
+    rng = spark.createDataFrame([(0, 3 * 65536, "x" * 100)], "_lo bigint, _hi bigint, _pl0 string")
+    assert exploded_bytes(rng, ["_pl0"]) == 4 * (ROW_BYTES + 100)
 
 
 def test_ipv6_and_bad_ranges_are_ignored(spark):
