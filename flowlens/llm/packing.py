@@ -28,7 +28,6 @@ from __future__ import annotations
 
 import sys
 import zlib
-from itertools import filterfalse
 from types import ModuleType
 
 import numpy as np
@@ -97,16 +96,19 @@ class PieceEncoder:
             self.spaced.clear()
         cut = [None if "  " in t or t[:1] == " " or t[-1:] == " " else t.split(" ") for t in texts]
         first = iter(self._encode([p[0] for p in cut if p]))
-        missing = set()
-        for p in cut:
-            if p:
-                missing.update(filterfalse(memo.__contains__, p[1:]))
-        self._learn(missing)
-        get, done, whole = memo.__getitem__, [], []
+        # one look-up per piece; those not known yet are learned together and filled in
+        found = [list(map(memo.get, p[1:])) if p else None for p in cut]
+        gaps = {k: [i for i, x in enumerate(f) if x is None] for k, f in enumerate(found) if f and None in f}
+        self._learn({cut[k][i + 1] for k, own in gaps.items() for i in own})
+        for k, own in gaps.items():
+            f, p = found[k], cut[k]
+            for i in own:
+                f[i] = memo[p[i + 1]]
+        done, whole = [], []
         for k, p in enumerate(cut):
             head = next(first) if p else b""
             if p and (not self.spaced or self.spaced.isdisjoint(p)):
-                done.append(head + b"".join(map(get, p[1:])))
+                done.append(head + b"".join(found[k]))
             else:
                 done.append(b"")
                 whole.append(k)
