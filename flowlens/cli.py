@@ -24,7 +24,7 @@ from .plans.daily import profile_counts, profile_rows_per_file
 from .plans.inputs import load_curated
 from .plans.registry import PLANS
 from .plans.job import run_daily_job
-from .session import prepare
+from .session import drop_scratch, prepare, scratch_mark
 from .sinks.writers import write_partitioned
 from .sources.fixtures import DNS_PARTITIONS, FLOW_PARTITIONS
 from .plans.reports import report_source
@@ -101,7 +101,11 @@ def main(argv=None) -> int:
         run_daily_job(spark, inputs, args.out, day)
     elif args.cmd == "run":
         inputs = load_curated(spark, args.flows, args.dns, args.dims, day, resolved_path=args.resolved)
-        PLANS[args.name](inputs).write.mode("overwrite").parquet(args.out)
+        mark = scratch_mark()
+        try:
+            PLANS[args.name](inputs).write.mode("overwrite").parquet(args.out)
+        finally:
+            drop_scratch(spark, mark)
     else:
         y, m, d = day
         src = report_source(read_curated(spark, args.flows, y, m, d))

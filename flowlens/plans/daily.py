@@ -107,7 +107,8 @@ def vpc_top_ports(flows: DataFrame, ec2: DataFrame, mode: str = "literal") -> Da
     )
 
 
-def destination_asn_service(flows: DataFrame, dims, mode: str = "literal", service_from: str = "packet") -> DataFrame:
+def destination_asn_service(flows: DataFrame, dims, mode: str = "literal", service_from: str = "packet",
+                            meta: DataFrame | None = None) -> DataFrame:
     """Bytes per destination ASN x service label.
 
     ``service_from='packet'`` (default): the flow's packet-level service, empty
@@ -118,8 +119,12 @@ def destination_asn_service(flows: DataFrame, dims, mode: str = "literal", servi
     pre = egress(flows, mode).groupBy(*VPC, "dstaddr", "pkt_dst_aws_service", *DAY).agg(
         F.sum("bytes").alias("_b"), F.count(F.lit(1)).alias("_n")
     )
-    dst = materialize(pre.select("dstaddr").distinct().withColumn("dst_ip_int", ip_to_int("dstaddr")))
-    asn = with_asn(dst, dims)
+    if meta is not None and service_from == "packet":
+        # the job's written address dictionary already holds the organisation
+        asn = meta.groupBy("dstaddr").agg(F.max("asn_org").alias("asn_org"))
+    else:
+        dst = materialize(pre.select("dstaddr").distinct().withColumn("dst_ip_int", ip_to_int("dstaddr")))
+        asn = with_asn(dst, dims)
     if service_from == "range":
         asn = with_cloud(asn, dims)
         label = L.final_service("cloud_service")
@@ -208,8 +213,12 @@ def flow_bi_rollup(flows: DataFrame) -> DataFrame:
         )
         .agg(F.sum("bytes").alias("total_bytes"), F.sum("packets").alias("total_packets"),
              F.count(F.lit(1)).alias("flow_record_count"))
-        .withColumn("protocol_name", L.protocol_name("protocol"))
-        .withColumn("log_date", log_date())
+        .select(
+            "account_id", "region", "az_id", "vpc_id", "subnet_id", "instance_id", "interface_id", "eni_type",
+            "source_ip", "destination_ip", "srcport", "dstport", "pkt_src_aws_service", "pkt_dst_aws_service",
+            "flow_direction", "traffic_path", "protocol", L.protocol_name("protocol").alias("protocol_name"),
+            "action", "tcp_flags", log_date().alias("log_date"), *DAY,
+            "total_bytes", "total_packets", "flow_record_count")
     )
 
 
@@ -223,6 +232,6 @@ def profile_counts(flows: DataFrame) -> DataFrame:
 
 def profile_rows_per_file(scan: DataFrame) -> DataFrame:
     """Rows per source file of a file-based scan (uses the _metadata column)."""
-    return scan.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(
+    return scan.groupBy(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_name").alias("file_name")).agg(
         F.count(F.lit(1)).alias("rows_per_file")
     )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import labels as L
-from ..functions.filters import on_day, status_ok
+from ..functions.filters import in_values, on_day, status_ok
 from ..functions.ipmath import ip_to_int
 from ..operators.dns import dns_daily_summary, primary_domain, with_primary_domain, with_reverse_domain
 from ..operators.lookups import with_owner_labels
@@ -157,12 +157,9 @@ def asn_service_pivot(agg: DataFrame, account=None, vpcs=None, regions=None, yea
                       days=None, top: int = 20) -> DataFrame:
     """GB per service for the cloud ASN, general traffic for others; the 20
     ASNs with most bytes (a top-k report; ties by asn_org)."""
-    pred = F.lit(True)
-    if account is not None:
-        pred = pred & (F.col("account_id") == account)
+    pred = F.lit(True) if account is None else F.col("account_id") == account
     for col, values in (("vpc_id", vpcs), ("region", regions), ("year", years), ("month", months), ("day", days)):
-        if values is not None:
-            pred = pred & F.col(col).isin(list(values))
+        pred = pred & in_values(col, values)
     is_cloud = F.col("asn_org") == L.CLOUD_ASN_ORG
 
     def svc_gb(label):

@@ -42,7 +42,7 @@ def daily_aggregates(spark: SparkSession, inputs: Inputs, day: tuple[str, str, s
         "vpc_egress_trends_summary": daily.vpc_egress_trends(flows, ec2, mode),
         "vpc_top_talkers_enriched": daily.vpc_top_talkers(flows, ec2, mode),
         "vpc_top_ports_agg": daily.vpc_top_ports(flows, ec2, mode),
-        "destination_asn_service_agg": daily.destination_asn_service(flows, dims, mode),
+        "destination_asn_service_agg": daily.destination_asn_service(flows, dims, mode, meta=meta),
         "top_domain_port_geo": daily.top_domain_port_geo(flows, dns, dims, mode, domains=domains, meta=meta),
         "network_intelligence_final": daily.network_intelligence_final(
             flows, dns, dims, mode, domains=domains, meta=meta),
@@ -60,7 +60,7 @@ def run_daily_job(spark: SparkSession, inputs: Inputs, out_root: str, day: tuple
         for name, df in daily_aggregates(spark, inputs, day).items():
             path = f"{out_root.rstrip('/')}/{name}"
             if writer is None:
-                write_partitioned(df, path, OUTPUT_KEYS, salt_buckets=4)
+                write_partitioned(df, path, OUTPUT_KEYS)
             else:
                 writer(df, path)
             outputs[name] = path

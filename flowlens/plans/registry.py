@@ -95,6 +95,14 @@ register("report_traffic_by_hour")(lambda i: rp.report_traffic_by_hour(_src(i),
 register("report_top_services")(lambda i: rp.report_top_services(_src(i), date=_date(i)))
 register("report_flow_edges")(lambda i: rp.report_flow_edges(_src(i), date=_date(i)))
 register("report_flow_nodes")(lambda i: rp.report_flow_nodes(rp.report_flow_edges(_src(i), date=_date(i))))
+# the same reports under action, service and address filters, and the pivot under its lists of values
+register("report_traffic_by_hour_filtered")(
+    lambda i: rp.report_traffic_by_hour(_src(i), date=_date(i), action="ACCEPT", service="S3"))
+register("report_flow_edges_filtered")(
+    lambda i: rp.report_flow_edges(_src(i), date=_date(i), action="ACCEPT", service="C", ip="10.0.1.7"))
+register("asn_service_pivot_filtered")(lambda i: en.asn_service_pivot(
+    _dictionary_agg(i), account="000000000001", vpcs=["vpc-0", "vpc-2", "vpc-4"], regions=["us-east-1", "eu-west-1"],
+    years=["2026"], months=["02"], days=["14", "15"]))
 register("report_rejected")(lambda i: rp.report_rejected(_src(i), date=_date(i)))
 
 # ---- ETL: raw -> curated round trips, database copy, file profile ----------
@@ -112,4 +120,5 @@ QUERIES["ingest_dns_logs"] = _file_query(etl.dns_roundtrip)
 register("publish_curated")(lambda i: etl.publish_curated(i.flows))
 QUERIES["profile_rows_per_file"] = _file_query(
     lambda spark, sf_dir: daily.profile_rows_per_file(spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet"))
+    .select("file_name", "rows_per_file")
 )

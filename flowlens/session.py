@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import SparkSession
@@ -104,30 +105,38 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
-_SCRATCH: list[str] = []
+class _Scratch(threading.local):
+    """Scratch tables by thread: a job that cleans up after itself leaves the
+    tables of jobs in other threads alone."""
+
+    def __init__(self):
+        self.paths: list[str] = []
+
+
+_SCRATCH = _Scratch()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/flowlens/{name}-{uuid.uuid4().hex[:12]}"
-    _SCRATCH.append(path)
+    _SCRATCH.paths.append(path)
     return path
 
 
 def scratch_mark() -> int:
-    return len(_SCRATCH)
+    return len(_SCRATCH.paths)
 
 
 def drop_scratch(spark: SparkSession, since: int = 0) -> int:
-    """Delete the scratch tables created after ``since`` (a ``scratch_mark``)
+    """Delete the scratch tables this thread created after ``since`` (a ``scratch_mark``)
     through the Hadoop FileSystem API of the session (works for any shared
     store). Call only once nothing reads them any more."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     dropped = 0
-    while len(_SCRATCH) > since:
-        p = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+    while len(_SCRATCH.paths) > since:
+        p = jvm.org.apache.hadoop.fs.Path(_SCRATCH.paths.pop())
         fs = p.getFileSystem(conf)
         if fs.exists(p):
             fs.delete(p, True)

@@ -12,21 +12,19 @@ from ..sources.rawlogs import MISSING, RAW_HIVE_FLOW_KEYS, raw_name
 from ..sources.fixtures import FLOW_COLUMNS, FLOW_PARTITIONS
 
 
-def spread_for_write(df: DataFrame, keys: Sequence[str], salt_buckets: int, partitions: int | None) -> DataFrame:
-    """Hash-partition by the output partition keys plus a deterministic salt
-    (a hash of the row), so one hot key spreads over ``salt_buckets`` tasks
-    and a task retried after an executor loss sees exactly the same rows."""
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets))
-    cols = [F.col(k) for k in keys] + [salt]
-    return df.repartition(partitions, *cols) if partitions else df.repartition(*cols)
+def spread_for_write(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rebalance by the output partition keys: adaptive execution cuts a hot
+    key into pieces of the advisory partition size, measured at run time, and
+    joins small ones, so the number of writing tasks follows the bytes of a key."""
+    return df.hint("rebalance", *keys)
 
 
 def write_partitioned(df: DataFrame, path: str, keys: Sequence[str], max_records: int | None = None,
                       sort_by: Sequence[str] | None = None, mode: str = "overwrite", fmt: str = "parquet",
-                      salt_buckets: int = 16, partitions: int | None = None, **options) -> None:
+                      **options) -> None:
     """Write ``df`` partitioned by ``keys``. With the session's dynamic
     partition-overwrite mode a re-run replaces only the partitions it writes."""
-    out = spread_for_write(df, keys, salt_buckets, partitions).sortWithinPartitions(*(sort_by or keys))
+    out = spread_for_write(df, keys).sortWithinPartitions(*(sort_by or keys))
     w = out.write.mode(mode).partitionBy(*keys).option("partitionOverwriteMode", "dynamic")
     if max_records:
         w = w.option("maxRecordsPerFile", int(max_records))
@@ -46,7 +44,7 @@ def write_raw_flow_logs(flows: DataFrame, path: str, compression: str = "gzip")
     ]
     keys = [RAW_HIVE_FLOW_KEYS[p] for p in FLOW_PARTITIONS]
     out = flows.select(*cols, *[F.col(p).alias(RAW_HIVE_FLOW_KEYS[p]) for p in FLOW_PARTITIONS])
-    out = spread_for_write(out, keys, salt_buckets=4, partitions=None)
+    out = spread_for_write(out, keys)
     (out.write.mode("overwrite").partitionBy(*keys)
         .option("header", "true").option("sep", " ").option("compression", compression)
         .option("quote", "\u0000").csv(path))

@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .fixtures import FLOW_COLUMNS, FLOW_PARTITIONS
@@ -42,3 +43,10 @@ def create_empty_table(spark: SparkSession, name: str, schema: T.StructType, par
     if location:
         w = w.option("path", location)
     w.saveAsTable(name)
+
+
+def read_address_csv(spark: SparkSession, path, column: str = "dstaddr") -> DataFrame:
+    """CSV files with a header (as ``write_csv`` leaves them) -> the distinct
+    non-empty addresses of ``column``."""
+    rows = spark.read.option("header", "true").csv(path)
+    return rows.select(F.trim(F.col(column)).alias(column)).where(F.col(column) != "").distinct()

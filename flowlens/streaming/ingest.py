@@ -3,10 +3,10 @@
 The batch job re-reads a whole day; this job picks up only files that arrived
 since the last trigger (the file source keeps the list of processed files in
 its checkpoint), normalises them with the same reader as the batch job and
-writes them with dynamic partition overwrite semantics per micro-batch
-(append of new files into the day's partitions). ``trigger(availableNow)``
-turns it into a restartable batch: a lost executor or driver resumes from the
-checkpoint without reprocessing committed files.
+appends them to the day's partitions. ``trigger(availableNow)`` turns it into a
+restartable batch that resumes from the checkpoint. The append is at least once:
+if the driver stops between a batch's write and its commit, that batch is written
+again on restart.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ def start_flow_ingest(spark: SparkSession, raw_root: str, out_path: str, checkpo
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         curated = normalize_lines(batch, layout, n_files=max_files_per_trigger)
-        out = spread_for_write(curated, FLOW_PARTITIONS, salt_buckets=4, partitions=None)
+        out = spread_for_write(curated, FLOW_PARTITIONS)
         (out.sortWithinPartitions(*FLOW_PARTITIONS).write.mode("append")
             .partitionBy(*FLOW_PARTITIONS).parquet(out_path))
 

@@ -17,11 +17,11 @@ SAME = {"total_internet_egress": "total_internet_egress", "vpc_top_ports_agg": "
 
 def test_daily_job_outputs(spark, inputs):
     out = tempfile.mkdtemp(prefix="flowlens-job-")
-    from flowlens.session import _SCRATCH, scratch_mark
+    from flowlens.session import scratch_mark
     before = scratch_mark()
     paths = run_daily_job(spark, inputs, out, day=FIXTURE_DAY)
     assert len(paths) == 10
-    assert len(_SCRATCH) == before          # the job's scratch tables are gone
+    assert scratch_mark() == before          # the job's scratch tables are gone
     for table, query in SAME.items():
         written = read_curated(spark, paths[table])
         expected = E.queries()[query](spark, SMALL)
