@@ -37,10 +37,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import Memo, bounded_sample, table
 
-TRAIN_ROWS = 4000         # documents that the training stretches are taken from
+TRAIN_ROWS = 2000         # documents that the training stretches are taken from
 LENGTH = 24               # tokens of a stretch
 PER_DOC = 4               # stretches around hits and others taken from one document
-STEPS, RATE, RIDGE = 150, 0.1, 0.002
+STEPS, RATE, RIDGE = 120, 0.1, 0.002
 WORDS, SHAPES, FILES = 4096, 2048, 64
 KINDS = ("assign", "access", "hex", "crf")
 
