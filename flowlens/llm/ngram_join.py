@@ -291,25 +291,37 @@ def _near(led: DataFrame, nodes: DataFrame, src: DataFrame, size: int, percent:
 
 
 def _linked_by_differences(near: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between members near one head that aren't both linked to it."""
+    """Links (a, b) between members near one head that aren't both linked to
+    it: unlinked with unlinked members, and unlinked with linked ones. Each kind
+    has its own least number of shared differences, hence its own prefixes."""
     c = (100 - percent) / (100 + percent)
-    a = near.select("nid", "h", "n", "linked", F.size("delta").alias("d"), (F.size("delta") - c * F.col("n")).alias("a"), (c * F.col("n_h")).alias("reach"))
-    lowest = a.groupBy("h").agg(F.min("a").alias("lowest"))
-    # least number of shared differences with any partner: a member linked to the head looks for
-    # unlinked ones (their a exceeds the reach) only
-    a = a.join(lowest, "h").withColumn(
-        "least", F.greatest(F.lit(1), F.ceil((F.col("a") + F.when(F.col("linked"), F.col("reach")).otherwise(F.col("lowest"))) / 2 - 1e-6)))
-    a = a.where("least <= d")
-    entries = near.select("nid", "h", F.explode("delta").alias("token"))
-    # differences that two members have at all; the others stand first in the order
+    a = near.select("nid", "h", "n", "linked", (F.size("delta") - c * F.col("n")).alias("a"))
+    lowest = a.groupBy("h").agg(F.min(F.when(F.col("linked"), F.col("a"))).alias("low_linked"),
+                                F.min(F.when(~F.col("linked"), F.col("a"))).alias("low_other")).where("low_other is not null")
+    least = lambda low: F.greatest(F.lit(1), F.ceil((F.col("a") + low) / 2 - 1e-6))
+    a = a.join(lowest, "h").select(
+        "h", "nid", "n", "linked", F.when(~F.col("linked"), least(F.col("low_other"))).alias("own"),
+        least(F.when(F.col("linked"), F.col("low_other")).otherwise(F.col("low_linked"))).alias("across"),
+        F.col("low_linked").isNotNull().alias("mixed"))
+    entries = near.join(lowest.select("h"), "h").select("nid", "h", F.explode("delta").alias("token"))
+    # differences that two members have at all, rare ones first; the others would stand before them in
+    # the order, so a prefix of d - least + 1 differences holds (shared ones) - least + 1 of these
     twice = entries.groupBy("h", "token").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     order = entries.join(twice, ["h", "token"]).groupBy("h", "nid").agg(F.array_sort(F.collect_list(F.struct("c", "token"))).alias("order"))
-    front = F.col("d") - F.col("least") + 1 - (F.col("d") - F.size("order"))
-    prefix = order.join(a, ["h", "nid"]).where(front > 0).select(
-        "h", "nid", "n", "linked", F.explode(F.slice("order", F.lit(1), front.cast("int"))).alias("o")).select("h", "nid", "n", "linked", "o.token")
-    second = prefix.select("h", "token", F.col("nid").alias("nid2"), F.col("n").alias("n2"), F.col("linked").alias("linked2"))
-    pairs = prefix.join(second, ["h", "token"]).where(
-        (F.col("nid") < F.col("nid2")) & ~(F.col("linked") & F.col("linked2")) & _compatible(percent)).select("h", "nid", "nid2").distinct()
+    ordered = order.join(a, ["h", "nid"])
+
+    def prefix(which: DataFrame, bound: str) -> DataFrame:
+        front = F.size("order") - F.col(bound) + 1
+        return which.where(front > 0).select("h", "nid", "n", F.explode(F.slice("order", F.lit(1), front.cast("int"))).alias("o")) \
+            .select("h", "nid", "n", "o.token")
+
+    def meet(one: DataFrame, two: DataFrame, extra) -> DataFrame:
+        second = two.select("h", "token", F.col("nid").alias("nid2"), F.col("n").alias("n2"))
+        return one.join(second, ["h", "token"]).where(extra & _compatible(percent)).select("h", "nid", "nid2").distinct()
+
+    own = prefix(ordered.where(~F.col("linked")), "own")
+    pairs = meet(own, own, F.col("nid") < F.col("nid2")).union(
+        meet(prefix(ordered.where(~F.col("linked") & F.col("mixed")), "across"), prefix(ordered.where("linked"), "across"), F.lit(True)))
     one = near.select("h", "nid", "n", "delta")
     two = near.select("h", F.col("nid").alias("nid2"), F.col("n").alias("n2"), F.col("delta").alias("delta2"))
     apart = F.size("delta") + F.size("delta2") - 2 * F.size(F.array_intersect("delta", "delta2"))
