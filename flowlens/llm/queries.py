@@ -6,6 +6,7 @@ from .chat_format import op7_chat_format
 from .cross_polytope import op4_cross_polytope
 from .license_scan import op3_license_scan
 from .ngram_join import op2_ngram_jaccard_join
+from .oracles import ORACLE_SQL  # noqa: F401  (read by the entry module)
 from .ordinal_quality import op8_ordinal_quality
 from .packing import op9_packing
 from .quality_rules import op6_quality_rules
@@ -25,5 +26,3 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
 }
-
-ORACLE_SQL: dict[str, str] = {}
