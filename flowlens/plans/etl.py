@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import log_date
+from ..functions.filters import on_day
 from ..session import scratch_path
 from ..sinks.writers import write_partitioned, write_raw_dns_logs, write_raw_flow_logs
 from ..sources import fixtures
@@ -63,3 +64,24 @@ def dns_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = scratch_path(spark, "raw-dnslogs")
     write_raw_dns_logs(fixtures.dns(spark, sf_dir), raw)
     return answers_text(ingest_dns_logs(spark, raw, scratch_path(spark, "curated-dnslogs"), layout="hive"))
+
+
+def curated_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fixture flows over two days (odd start seconds one day later),
+    written as the partitioned curated table."""
+    flows = fixtures.flows(spark, sf_dir)
+    late = F.col("start_time") % 2 == 1
+    two = flows.withColumns({
+        "day": F.when(late, "16").otherwise(F.col("day")),
+        "start_time": F.col("start_time") + F.when(late, 86400).otherwise(0),
+    })
+    path = scratch_path(spark, "curated-days")
+    write_partitioned(two, path, FLOW_PARTITIONS, max_records=FLOW_FILE_RECORDS)
+    return read_curated(spark, path)
+
+
+def curated_day_totals(spark: SparkSession, sf_dir: str, day: tuple[str, str, str] = ("2026", "02", "16")) -> DataFrame:
+    """Totals of one day of a partitioned table of two days: the day filter
+    prunes the other day's folders."""
+    return curated_days(spark, sf_dir).where(on_day(*day)).groupBy("account_id", "region", "day").agg(
+        F.count(F.lit(1)).alias("n_flows"), F.sum("bytes").alias("total_bytes"), F.min("start_time").alias("first_start"))

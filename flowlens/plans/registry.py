@@ -117,6 +117,7 @@ def _file_query(fn: Callable[[SparkSession, str], DataFrame]) -> Query:
 
 QUERIES["ingest_flow_logs"] = _file_query(etl.flow_roundtrip)
 QUERIES["ingest_dns_logs"] = _file_query(etl.dns_roundtrip)
+QUERIES["curated_day_totals"] = _file_query(etl.curated_day_totals)
 register("publish_curated")(lambda i: etl.publish_curated(i.flows))
 QUERIES["profile_rows_per_file"] = _file_query(
     lambda spark, sf_dir: daily.profile_rows_per_file(spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet"))

@@ -95,3 +95,14 @@ def test_asn_service_label_variants_conserve_bytes(inputs):
     assert _bytes(packet, "total_bytes") == _bytes(ranged, "total_bytes")
     labels = {r[0] for r in ranged.select("service_label").distinct().collect()}
     assert "NON-AWS" in labels and "S3" in labels and "AMAZON" not in labels   # umbrella label loses ties
+
+
+def test_day_filter_prunes_the_other_day(spark):
+    from flowlens.functions.filters import on_day
+    from flowlens.plans.etl import curated_days
+
+    both = curated_days(spark, "/root/testdata/sf0.001")
+    one = both.where(on_day("2026", "02", "16"))
+    assert 0 < one.count() < both.count()
+    assert "PartitionFilters" in one._jdf.queryExecution().executedPlan().toString()
+    assert len(one.inputFiles()) < len(both.inputFiles()) or all("day=16" in f for f in one.select("_metadata.file_path").distinct().toPandas()["file_path"])
