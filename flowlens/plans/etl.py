@@ -63,7 +63,8 @@ def flow_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dns_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = scratch_path(spark, "raw-dnslogs")
     write_raw_dns_logs(fixtures.dns(spark, sf_dir), raw)
-    return answers_text(ingest_dns_logs(spark, raw, scratch_path(spark, "curated-dnslogs"), layout="hive"))
+    curated = ingest_dns_logs(spark, raw, scratch_path(spark, "curated-dnslogs"), layout="hive")
+    return answers_text(curated).withColumn("src_instance", F.col("srcids")["instance"]).drop("srcids")
 
 
 def curated_days(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -147,8 +147,10 @@ def dns(spark: SparkSession, sf_dir: str) -> DataFrame:
         "vpc_id",
         "srcaddr",
         "srcport",
+        F.when(F.col("instance_id").isNotNull(), F.create_map(F.lit("instance"), F.col("instance_id"))).alias("srcids"),
         F.concat(F.lit("host"), _s(p % 60), F.lit(".example.com")).alias("query_name"),
         F.lit("A").alias("query_type"),
+        F.lit("IN").alias("query_class"),
         F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("query_timestamp"),
         answers.alias("answers"),
         F.when(k % 11 == 0, "NXDOMAIN").otherwise("NOERROR").alias("rcode"),

@@ -64,9 +64,11 @@ RAW_DNS_SCHEMA = T.StructType([
     T.StructField("srcaddr", T.StringType()),
     T.StructField("srcport", T.StringType()),
     T.StructField("transport", T.StringType()),
+    # which source asked: names such as "instance" to ids
+    T.StructField("srcids", T.MapType(T.StringType(), T.StringType())),
 ])
 DNS_CURATED = [
-    "account_id", "region", "vpc_id", "srcaddr", "srcport", "query_name", "query_type",
+    "account_id", "region", "vpc_id", "srcaddr", "srcport", "srcids", "query_name", "query_type", "query_class",
     "query_timestamp", "answers", "rcode", "transport", "version", "year", "month", "day",
 ]
 
@@ -215,18 +217,18 @@ def read_dns_logs(spark: SparkSession, paths, layout: str = "aws") -> DataFrame:
         parts = {n: F.col(n) for n in ["vpc_id", "year", "month", "day"]}
     else:
         parts = _path_parts("aws", DNS_PATH_RE, names)
-    answers = F.transform("answers", lambda a: F.struct(a["Rdata"].alias("Rdata")))
     return raw.select(
         F.col("account_id"), "region", parts["vpc_id"].alias("vpc_id"), "srcaddr",
-        F.col("srcport").try_cast("int").alias("srcport"), "query_name", "query_type", "query_timestamp",
-        answers.alias("answers"), "rcode", "transport", "version",
+        F.col("srcport").try_cast("int").alias("srcport"), "srcids", "query_name", "query_type", "query_class",
+        "query_timestamp", "answers", "rcode", "transport", "version",
         parts["year"].alias("year"), parts["month"].alias("month"), parts["day"].alias("day"),
     )
 
 
 DNS_DDL = (
-    "account_id string, region string, vpc_id string, srcaddr string, srcport int, query_name string, "
-    "query_type string, query_timestamp string, answers array<struct<Rdata:string>>, rcode string, "
+    "account_id string, region string, vpc_id string, srcaddr string, srcport int, "
+    "srcids map<string,string>, query_name string, query_type string, query_class string, query_timestamp string, "
+    "answers array<struct<Rdata:string,Type:string,Class:string>>, rcode string, "
     "transport string, version string, year string, month string, day string"
 )
 

@@ -109,7 +109,7 @@ dns0 AS (
   FROM flows_base
 ),
 dns AS (
-  SELECT account_id, region, vpc_id, srcaddr, srcport,
+  SELECT account_id, region, vpc_id, srcaddr, srcport, instance_id,
     concat('host', _p % 60, '.example.com') AS query_name,
     'A' AS query_type,
     strftime(_ts, '%Y-%m-%dT%H:%M:%SZ') AS query_timestamp,

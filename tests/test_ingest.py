@@ -99,7 +99,7 @@ def test_dns_answers_shapes(spark):
     d = os.path.join(root, "AWSLogs", "111111111111", "vpcdnsquerylogs", "vpc-1", "2026", "02", "15")
     os.makedirs(d)
     lines = [
-        '{"account_id":"111111111111","srcaddr":"10.0.0.1","srcport":"53","query_name":"a.example","rcode":"NOERROR","query_timestamp":"2026-02-15T00:00:01Z","answers":[{"Rdata":"1.1.1.1","Type":"A","Class":"IN"}]}',
+        '{"account_id":"111111111111","srcaddr":"10.0.0.1","srcport":"53","query_name":"a.example","rcode":"NOERROR","query_timestamp":"2026-02-15T00:00:01Z","query_class":"IN","srcids":{"instance":"i-1"},"answers":[{"Rdata":"1.1.1.1","Type":"A","Class":"IN"}]}',
         '{"account_id":"111111111111","srcaddr":"10.0.0.1","query_name":"b.example","rcode":"NOERROR","answers":[{"Rdata":"1.1.1.1"},{"Rdata":"2.2.2.2"}]}',
         '{"account_id":"111111111111","srcaddr":"10.0.0.1","query_name":"c.example","rcode":"NXDOMAIN","answers":[]}',
         '{"account_id":"111111111111","srcaddr":"10.0.0.1","query_name":"d.example","rcode":"NXDOMAIN"}',
@@ -108,6 +108,8 @@ def test_dns_answers_shapes(spark):
         f.write("\n".join(lines) + "\n")
     df = read_dns_logs(spark, f"{root}/AWSLogs/*/vpcdnsquerylogs/*/2026/02/15/")
     rows = {r.query_name: r for r in df.collect()}
+    assert rows["a.example"].srcids == {"instance": "i-1"} and rows["b.example"].srcids is None
+    assert rows["a.example"].query_class == "IN" and rows["a.example"].answers[0].Type == "A" and rows["b.example"].answers[0].Class is None
     assert len(rows["a.example"].answers) == 1 and rows["a.example"].srcport == 53
     assert [a.Rdata for a in rows["b.example"].answers] == ["1.1.1.1", "2.2.2.2"]
     assert rows["c.example"].answers == [] and rows["d.example"].answers is None
