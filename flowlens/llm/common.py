@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -31,8 +32,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return session(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    return df.mapInArrow(fn, schema)
+# caches that an operator leaves in its Python worker for its next task, as modules of these names
+WORKER_CACHES = ("_piece_encoders", "_sentencepiece_codecs")
+
+
+def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema, keep: str | None = None) -> DataFrame:
+    """mapInArrow; first frees what other operators cached in the worker (all
+    but the cache named ``keep``), since workers outlive stages."""
+    def run(batches):
+        for name in WORKER_CACHES:
+            if name != keep:
+                sys.modules.pop(name, None)
+        yield from fn(batches)
+
+    return df.mapInArrow(run, schema)
 
 
 def splitmix(x: np.ndarray) -> np.ndarray:

@@ -62,7 +62,7 @@ from .common import Memo, map_arrow, materialize, splitmix, table, word_hash
 from .components import components
 
 FREQUENT = 1 << 18        # shingles whose estimated frequency is shipped to the tasks
-CHUNK = 4_000_000         # shingles counted together by a task
+CHUNK = 2_000_000         # shingles counted together by a task
 LONGEST = 8               # largest m of the m-prefixes
 NEAR = 25                 # a head's differences are used for sets within so many percent below the threshold
 LEADERS = 8               # members per posting compared with the rest in round two; doubled from round to round

@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import table
+from .common import map_arrow, table
 
 WINDOW = 2048
 END_ID = 1
@@ -228,8 +228,8 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, end_id:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset, sequence_tokens."""
     path = path or vocabulary_path()
-    return docs.selectExpr("cast(doc_id as long) as doc_id", "cast(text as string) as text").mapInArrow(
-        lambda batches: _pack(batches, path, window, end_id, block), SCHEMA)
+    return map_arrow(docs.selectExpr("cast(doc_id as long) as doc_id", "cast(text as string) as text"),
+                     lambda batches: _pack(batches, path, window, end_id, block), SCHEMA, keep="_piece_encoders")
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import Memo, bounded_sample, table
+from .common import Memo, bounded_sample, map_arrow, table
 
 TRAIN_ROWS = 2000         # documents that the training stretches are taken from
 LENGTH = 24               # tokens of a stretch
@@ -321,7 +321,7 @@ def train(docs: DataFrame, n: int = TRAIN_ROWS) -> dict[str, np.ndarray]:
     sample = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select(F.xxhash64("doc_id").alias("h"), "text")   # n ids at most
     schema = "h long, shape array<int>, two array<int>, one array<int>, next array<int>, file int, tags array<int>"
     # stretches of n documents at most meet in one task
-    found = sample.mapInArrow(_stretches, schema).repartition(1).mapInArrow(_fit_task, "model binary").collect()
+    found = map_arrow(map_arrow(sample, _stretches, schema).repartition(1), _fit_task, "model binary").collect()
     return pickle.loads(found[0]["model"]) if found else nothing()
 
 
@@ -345,7 +345,8 @@ def scan_documents(docs: DataFrame, w: dict) -> DataFrame:
                  pa.array([_joined(every) for _, every in rows], pa.string())],
                 ["doc_id", "n_assign", "n_access", "n_hex", "n_crf", "base_sha256", "spans"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
+    return map_arrow(
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")),
         run, "doc_id long, n_assign long, n_access long, n_hex long, n_crf long, base_sha256 string, spans string")
 
 
@@ -372,7 +373,7 @@ def redact_documents(docs: DataFrame, w: dict) -> DataFrame:
             texts = [redact(t, scan(t, reader, model)[1]) for t in b.column("text").to_pylist()]
             yield b.set_column(b.schema.get_field_index("text"), "text", pa.array(texts, pa.string()))
 
-    done = docs.mapInArrow(run, docs.schema)
+    done = map_arrow(docs, run, docs.schema)
     return done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else done
 
 

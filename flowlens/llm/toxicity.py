@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import Memo, bounded_sample, labelled, splitmix, table, word_hash
+from .common import Memo, bounded_sample, labelled, map_arrow, splitmix, table, word_hash
 
 BITS = 20                 # hashed coordinates: 2^20
 TRAIN_ROWS = 10_000       # bound on the labelled documents trained on
@@ -115,9 +115,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, n: int = TRAIN_ROWS) -> Da
 
 
 def train(docs: DataFrame, labels: DataFrame, n: int = TRAIN_ROWS, bits: int = BITS, epochs: int = EPOCHS) -> dict[str, np.ndarray]:
-    features = training_rows(docs, labels, n).mapInArrow(lambda batches: _features(batches, bits), "h long, toxic int, features array<int>")
+    features = map_arrow(training_rows(docs, labels, n), lambda batches: _features(batches, bits), "h long, toxic int, features array<int>")
     # the sample only (at most n rows) meets in one task; the scan stays parallel
-    rows = features.repartition(1).mapInArrow(lambda batches: _fit(batches, bits, epochs), "at int, weight double").toArrow().to_pydict()
+    rows = map_arrow(features.repartition(1), lambda batches: _fit(batches, bits, epochs), "at int, weight double").toArrow().to_pydict()
     at, weight = np.array(rows["at"], np.int64), np.array(rows["weight"])
     if not len(at):      # no partition at all: an empty documents table
         return {"at": at, "weight": weight, "bias": np.zeros(1)}
@@ -139,7 +139,7 @@ def score(docs: DataFrame, model: dict[str, np.ndarray], column: str = "score",
             scores = pa.array(1 / (1 + np.exp(-np.clip(np.array(sums, np.float64), -35, 35))), pa.float64())
             yield pa.RecordBatch.from_arrays([*b.columns, scores], [*b.schema.names, column])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(column, DoubleType())]))
+    return map_arrow(docs, run, StructType([*docs.schema.fields, StructField(column, DoubleType())]))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
