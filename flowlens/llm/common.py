@@ -16,7 +16,7 @@ ARROW_ROWS = 1024
 # and bytes per batch: very long texts or wide blocks come in smaller batches
 ARROW_BYTES = 16 << 20
 # distinct words kept per worker memo before it is emptied (bounds memory, never results)
-MEMO_WORDS = 400_000
+MEMO_WORDS = 250_000
 
 
 def session(spark: SparkSession) -> SparkSession:
