@@ -4,17 +4,16 @@ runs the same comparison at sf0.01)."""
 import pytest
 
 import __spark_entry__ as E
+from flowlens.plans.registry import QUERIES
+from flowlens_oracle import ORACLE_SQL as ORACLE
 from tools.check import digest
 
 from .conftest import SMALL
 
-ORACLE = E.oracle_sql()
-QUERIES = E.queries()
 
-
-def test_every_query_has_an_oracle_or_is_documented():
-    rows_only = {"profile_rows_per_file"}
-    assert set(QUERIES) - set(ORACLE) == rows_only
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
