@@ -75,3 +75,27 @@ def test_documents(spark):
     texts = sorted((str(i), t or "") for i, t in rows if "▁" not in (t or ""))
     assert sorted((str(r.doc_id), r.text) for r in back if r.doc_id not in (19, 20)) == [x for x in texts if x[0] not in ("19", "20")]
     assert S.encode_documents(documents(spark, [])).collect() == []
+
+
+def test_every_text_is_verified(spark):
+    rows = odd_rows([(100 + k, f"text {k} of many") for k in range(100)])
+    got = S.encode_documents(documents(spark, rows)).collect()
+    assert len(got) == len(rows) and all(r.verified for r in got)
+
+
+def test_a_failed_check_gives_the_librarys_ids(spark, tmp_path):
+    """A user-defined piece is always kept whole by the library, but not by the rebuilt tokenizer."""
+    import sentencepiece
+
+    pieces = [("<unk>", 0.0, S.UNKNOWN), ("<s>", 0.0, S.CONTROL), ("</s>", 0.0, S.CONTROL)]
+    pieces += [(p, s, S.NORMAL) for p, s in (("▁", -1.0), ("a", -1.0), ("b", -1.0), ("c", -1.0), ("▁abc", -2.0))] + [("bc", -9.0, S.USER)]
+    data = b"".join(message((1, message((1, p.encode()), (2, s), (3, k)))) for p, s, k in pieces)
+    data += message((2, message((3, S.UNIGRAM), (40, 0), (41, 1), (42, 2))), (3, message((1, b"identity"), (3, 1), (4, 0), (5, 1))))
+    path = tmp_path / "user.model"
+    path.write_bytes(data)
+    library = sentencepiece.SentencePieceProcessor(model_file=str(path))
+    rows = [(1, "abc"), (2, "a b"), (3, "abc abc"), (4, "")]
+    assert np.frombuffer(S.Codec(str(path)).encode(["abc"])[0], "<u4").tolist() != library.encode("abc")
+    got = S.encode_documents(documents(spark, rows), path=str(path), with_ids=True).collect()
+    assert {r.doc_id: r.verified for r in got} == {1: False, 2: True, 3: False, 4: True}
+    assert all(np.frombuffer(r.ids, "<u4").tolist() == library.encode(t) and r.n_tokens == len(library.encode(t)) for r, (_, t) in zip(sorted(got), rows))
