@@ -12,21 +12,24 @@ any choice of neighbouring tags can make up for (a bound from the transition
 weights alone), the best tagging has O there. Such tokens cut the text into short
 independent stretches, and only those are decoded.
 
-Training needs no hand labels: the base patterns label a bounded sample of
-documents (``TRAIN_ROWS``, smallest hash of the id), from which stretches of
-``LENGTH`` tokens around hits and a few others are taken; the log-likelihood is
-maximised by Adam with exact forward-backward gradients, in one task.
+Training needs no hand labels: a parallel pass over all texts finds those with a
+base hit, and two bounded samples of distinct texts are taken (``TRAIN_ROWS`` with
+a hit and as many without, smallest hash of the text), so however rare hits are,
+the field learns from them. The base patterns label stretches of ``LENGTH`` tokens
+around hits and a few others; the log-likelihood is maximised by Adam with exact
+forward-backward gradients, in one task.
 
 The base spans always stay; the field adds spans of kind ``crf``. Texts are
 scanned whole, without a shuffle.
 
 Defined results: a null or empty text has no spans; repeated rows and null ids
-keep their rows; without any hit in the sample the field tags nothing; an empty
+keep their rows; without any hit in the corpus the field tags nothing; an empty
 table gives an empty result; other columns are neither read nor changed."""
 
 from __future__ import annotations
 
 import hashlib
+import heapq
 import pickle
 import re
 import zlib
@@ -35,9 +38,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import Memo, bounded_sample, map_arrow, table
+from .common import Memo, map_arrow, materialize, table
 
-TRAIN_ROWS = 2000         # documents that the training stretches are taken from
+TRAIN_ROWS = 2000         # texts with a base hit, and texts without, that the training stretches are taken from
 LENGTH = 24               # tokens of a stretch
 PER_DOC = 4               # stretches around hits and others taken from one document
 STEPS, RATE, RIDGE = 120, 0.1, 0.002
@@ -50,6 +53,8 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 LONG_HEX = re.compile(r"[0-9a-f]{16}")
 KEY = re.compile(r"password|passwd|secret|token|api_?key", re.IGNORECASE | re.ASCII)
+# Spark's filter before base_spans(): every text with a base hit passes, and few others
+MAYBE = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{12}|AKIA[A-Z0-9]{14}|[0-9a-f]{16}"""
 PUNCT = "\"'`()[]{}<>,;.!?*#$%&|"
 # classes of bytes: lower, upper, digit, sign, other
 _CLASS = bytes(ord("a") if 97 <= b <= 122 else ord("A") if 65 <= b <= 90 else ord("0") if 48 <= b <= 57 else ord("+") if b < 128 else ord("x") for b in range(256))
@@ -203,6 +208,20 @@ def scan(text: str | None, reader: Reader, w: dict) -> tuple[list, list]:
 
 # --- training ---------------------------------------------------------------
 
+def _smallest(batches, n: int):
+    """The ``n`` smallest distinct hashes of this task's texts with a base hit
+    (null texts: the filter found none), and the ``n`` smallest of the others."""
+    kept: dict[bool, set[int]] = {True: set(), False: set()}
+    for b in batches:
+        for h, text in zip(b.column("h").to_pylist(), b.column("text").to_pylist()):
+            kept[text is not None and bool(base_spans(text))].add(h)
+        for hit, own in kept.items():
+            if len(own) > n:
+                kept[hit] = set(heapq.nsmallest(n, own))
+    for hit, own in kept.items():
+        yield pa.RecordBatch.from_arrays([pa.array(sorted(own), pa.int64()), pa.array([hit] * len(own), pa.bool_())], ["h", "hit"])
+
+
 def _stretches(batches):
     """Labelled stretches: shape, three neighbours, file, tag (-1: past the end)."""
     reader = Reader()
@@ -316,12 +335,21 @@ def _fit_task(batches):
     yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(fit(data))], pa.binary())})
 
 
+def training_texts(docs: DataFrame, n: int = TRAIN_ROWS) -> DataFrame:
+    """(h, text): at most ``n`` distinct texts with a base hit and ``n`` without."""
+    texts = docs.select("text").where("text is not null").withColumn("h", F.xxhash64(F.lit("sample"), "text"))
+    maybe = texts.select("h", F.when(F.col("text").rlike(MAYBE), F.col("text")).alias("text"))
+    found = materialize(map_arrow(maybe, lambda batches: _smallest(batches, n), "h long, hit boolean"), "secret-scan-sample")
+    pick = lambda rows: rows.select("h").distinct().orderBy("h").limit(n)
+    sample = pick(found.where("hit")).union(pick(found.where("not hit")))     # 2 n hashes at most
+    # copies of a text meet per task first: one row of each reaches the next step
+    return texts.join(F.broadcast(sample), "h").groupBy("h").agg(F.min("text").alias("text"))
+
+
 def train(docs: DataFrame, n: int = TRAIN_ROWS) -> dict[str, np.ndarray]:
-    ids = bounded_sample(docs.select("doc_id").where("doc_id is not null").distinct(), "doc_id", n)
-    sample = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select(F.xxhash64("doc_id").alias("h"), "text")   # n ids at most
     schema = "h long, shape array<int>, two array<int>, one array<int>, next array<int>, file int, tags array<int>"
-    # stretches of n documents at most meet in one task
-    found = map_arrow(map_arrow(sample, _stretches, schema).repartition(1), _fit_task, "model binary").collect()
+    # stretches of 2 n texts at most meet in one task
+    found = map_arrow(map_arrow(training_texts(docs, n), _stretches, schema).repartition(1), _fit_task, "model binary").collect()
     return pickle.loads(found[0]["model"]) if found else nothing()
 
 

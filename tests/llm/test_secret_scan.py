@@ -95,3 +95,32 @@ def test_field_finds_what_the_patterns_miss():
 def test_no_documents(spark):
     docs = documents(spark, [])
     assert S.scan_documents(docs, S.train(docs)).collect() == []
+
+
+def test_rare_hits_train_the_field(spark):
+    """One text with a hit among more texts than the sample holds, and a hit under a null id only."""
+    plain = [(k, f"plain words of text {k} without any of them") for k in range(400)]
+    for hit in ((1000, TEXTS[0]), (None, TEXTS[0])):
+        w = S.train(documents(spark, [*plain, hit]), n=3)
+        assert w["move"].any(), hit
+    assert not S.train(documents(spark, plain), n=3)["move"].any()
+
+
+def test_sample_is_bounded_by_texts(spark):
+    """At most n distinct texts of each kind, also of a repeated id, and the exact patterns decide the kind."""
+    rows = [(7, f"token = abcdefghijkl{k}") for k in range(50)] + [(7, "some plain copy")] * 50 + [(8, f"plain {k}") for k in range(50)]
+    rows += [(9, "token:secret:abcdefghijklmnop"), (9, None)]      # passes Spark's filter, isn't a base hit
+    got = [r.text for r in S.training_texts(documents(spark, rows), 5).collect()]
+    assert len(got) == len(set(got)) == 10 and sum(bool(brute(t)) for t in got) == 5
+    every = [r.text for r in S.training_texts(documents(spark, rows), 1000).collect()]
+    assert sorted(every) == sorted({t for _, t in rows if t})
+
+
+def test_filter_lets_every_base_hit_pass(spark):
+    import random
+    r = random.Random(5)
+    parts = ["toKen", "API_KEY", "apikey", "secret", "AKIA", "0123456789abcdef", "ABCDEFGHIJKLMN", "abcdefghijkl", "=", ":", " ", "'", '"', "é", "\n", "\t"]
+    texts = TEXTS + ["".join(r.choices(parts, k=r.randrange(9))) for _ in range(3000)]
+    docs = documents(spark, list(enumerate(texts)))
+    passed = {x.doc_id for x in docs.where(docs.text.rlike(S.MAYBE)).collect()}
+    assert {k for k, t in enumerate(texts) if brute(t)} <= passed
