@@ -121,8 +121,127 @@ FROM said GROUP BY conv_id
 """
 
 
+def line_dedup() -> str:
+    space = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    return f"""
+WITH read AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+lines AS (SELECT rid, doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS place FROM read),
+keyed AS (SELECT *, {_lower(f"trim(line, {space})")} AS key FROM lines),
+owners AS (
+  SELECT key, min(doc_id) AS owner FROM keyed WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) > 1
+),
+marked AS (SELECT rid, place, line, owner IS NOT NULL AND owner <> doc_id AS gone FROM keyed LEFT JOIN owners USING (key)),
+kept AS (
+  SELECT rid, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+    coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '') AS text FROM marked GROUP BY rid
+)
+SELECT doc_id, n_lines, n_dropped, sha256(text) AS kept_sha256 FROM read JOIN kept USING (rid)
+"""
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of an ASCII string, bit by bit."""
+    return (f"xor(list_reduce(list_transform(string_split({text}, ''), lambda x: CAST(ascii(x) AS BIGINT)), "
+            "lambda c, b: list_reduce(range(8), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)), xor(c, b)), 4294967295::BIGINT), 4294967295::BIGINT)")
+
+
+def prefix_trie() -> str:
+    return f"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+),
+named AS (SELECT conv_id, turn, md5(length(role) || ':' || role || text) AS id, strlen(text) AS bytes FROM said),
+sizes AS (SELECT DISTINCT id, bytes FROM named),
+own AS (SELECT conv_id, list(id ORDER BY turn NULLS FIRST, id) AS ids, {_crc32("CAST(conv_id AS VARCHAR)")} % 9 AS h FROM named GROUP BY conv_id),
+built AS (
+  SELECT c.conv_id, list_concat(coalesce(list_slice(b.ids, 1, c.h), []), list_slice(c.ids, c.h + 1, len(c.ids))) AS ids
+  FROM own c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 5
+),
+reached AS (SELECT conv_id, len(ids) AS n, ids, unnest(range(len(ids) + 1)) AS depth FROM built),
+placed AS (SELECT conv_id, n, depth, array_to_string(ids[1:depth], '') AS path, ids[depth] AS id FROM reached),
+nodes AS (
+  SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(id) AS id,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = depth), '')) AS ends_sha256
+  FROM placed GROUP BY path, depth
+),
+parents AS (SELECT left(path, 32 * (CAST(depth AS INTEGER) - 1)) AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+valued AS (
+  SELECT nodes.*, coalesce(n_children, 0) AS n_children, (n_convs - 1) * coalesce(bytes, 0) AS saved
+  FROM nodes LEFT JOIN parents USING (path) LEFT JOIN sizes USING (id)
+),
+above AS (SELECT left(path, 32 * CAST(up AS INTEGER)) AS path, n_children, saved FROM (SELECT *, unnest(range(depth + 1)) AS up FROM valued)),
+sums AS (SELECT path, count(*) FILTER (n_children = 0) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens FROM above GROUP BY path)
+SELECT v.conv_id, CAST(v.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children, n_leaves, saved_tokens, v.ends_sha256
+FROM valued v JOIN sums USING (path) LEFT JOIN nodes p ON v.depth > 0 AND p.path = left(v.path, 32 * (CAST(v.depth AS INTEGER) - 1))
+"""
+
+
+def structure_repair() -> str:
+    ink = r"[^\x20\x09-\x0D]"
+    best = lambda *ways: f"list_sort([{', '.join(ways)}])[1]"  # noqa: E731  (least cost, then least audit)
+    way = lambda cost, audit, rows: f"{{'c': {cost}, 'a': {audit}, 'r': {rows}}}"
+
+    def row(state: int) -> str:
+        wanted, initial, to = (("user", "u", 2), ("user", "u", 2), ("assistant", "a", 3), ("user", "u", 2))[state]
+        drop = way(f"s{state}.c + 4", f"'D' || s{state}.a", f"s{state}.r")
+        onward = lambda c, a, r, n: way(f"CASE WHEN {c} IS NULL THEN 1000000 ELSE s{n}.c + {c} END", f"'{a}' || s{n}.a", f"list_concat([{r}], s{n}.r)")
+        ways = [drop, onward(f"CASE WHEN NOT must_go AND initial = '{initial}' THEN more END", "K", "role || ':' || text", to),
+                onward("CASE WHEN NOT must_go THEN more + 3 END", "R", f"'{wanted}:' || text", to)]
+        if state == 0:
+            ways.append(onward("CASE WHEN NOT must_go AND initial = 's' THEN more END", "K", "role || ':' || text", 1))
+        return best(*ways)
+
+    def insertion(source: str, to: str, wanted: str) -> str:
+        return best(source, way(f"{to}.c + 3", f"'I' || {to}.a", f"list_concat(['{wanted}:'], {to}.r)"))
+
+    end = lambda c, a, r: f"{{'c': {c}, 'a': '{a}', 'r': CAST({r} AS VARCHAR[])}}"
+    return f"""
+WITH RECURSIVE given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS kind FROM conversations
+),
+hurt AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy FROM given WHERE kind <> 0
+),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM hurt),
+told AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 AS again, left(role, 1) AS initial FROM placed),
+judged AS (
+  SELECT *, NOT regexp_matches(text, '{ink}') AS blank,
+    regexp_matches(text, '{ink}') AND again AS duplicate,
+    regexp_matches(text, '{ink}') AND NOT again AND NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') AS truncated,
+    lag(initial) OVER (PARTITION BY conv_id ORDER BY pos) || initial AS pair FROM told
+),
+counted AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM judged GROUP BY conv_id
+),
+steps AS (SELECT conv_id, pos, role, text, initial, blank OR duplicate AS must_go, CASE WHEN truncated THEN 3 ELSE 0 END AS more FROM judged),
+solved AS (
+  SELECT conv_id, n AS k, {end(0, '', '[]')} AS s0, {end(6, 'II', "['user:', 'assistant:']")} AS s1,
+    {end(3, 'I', "['assistant:']")} AS s2, {end(0, '', '[]')} AS s3 FROM counted
+  UNION ALL
+  SELECT conv_id, k, {insertion('e0', 'i2', 'user')}, {insertion('e1', 'i2', 'user')}, i2, {insertion('e3', 'e2', 'user')} FROM (
+    SELECT conv_id, k, e0, e1, e2, e3, {insertion('e2', 'e3', 'assistant')} AS i2 FROM (
+      SELECT solved.conv_id, k - 1 AS k, {row(0)} AS e0, {row(1)} AS e1, {row(2)} AS e2, {row(3)} AS e3
+      FROM solved JOIN steps ON solved.conv_id IS NOT DISTINCT FROM steps.conv_id AND solved.k = steps.pos))
+),
+everyone AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT CAST(everyone.conv_id AS BIGINT) AS conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(s0.c, 0) AS BIGINT) AS cost, coalesce(s0.a, '') AS audit,
+  sha256(coalesce(array_to_string(s0.r, chr(10)), '')) AS repaired_sha256
+FROM everyone LEFT JOIN counted ON everyone.conv_id IS NOT DISTINCT FROM counted.conv_id
+LEFT JOIN solved ON everyone.conv_id IS NOT DISTINCT FROM solved.conv_id AND k = 0
+"""
+
+
 ORACLE_SQL = {
     "op2_ngram_jaccard_join": ngram_classes(3, 90),
     "op6_quality_rules": quality_rules(),
     "op7_chat_format": chat_digests(),
+    "op11_line_dedup": line_dedup(),
+    "op12_prefix_trie": prefix_trie(),
+    "op13_structure_repair": structure_repair(),
 }
