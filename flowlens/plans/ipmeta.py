@@ -1,5 +1,9 @@
 """Per-destination metadata (country, ASN, cloud service and region), built
-once over the distinct destination keys and equi-joined back."""
+once over the distinct destination keys and equi-joined back.
+
+The dictionary's three range tables are cut into disjoint intervals once
+(``ip_intervals``) and looked up together in one merge sweep; single look-ups
+(``with_country`` and so on) go through ``range_join``."""
 
 from __future__ import annotations
 
@@ -10,7 +14,8 @@ from pyspark.sql import functions as F
 
 from ..functions.ipmath import ip_to_int
 from ..operators.lookups import unique_lookup
-from ..operators.rangejoin import range_join, range_matches
+from ..operators.intervals import RangeTable, flatten, sweep_lookup
+from ..operators.rangejoin import range_join
 from ..session import materialize
 from ..sources.fixtures import UMBRELLA_SERVICE
 
@@ -51,38 +56,38 @@ def with_cloud(points: DataFrame, dims, ip: str = "dst_ip_int", service: str | N
                       rename={"service": names[0], "region": names[1]})
 
 
+def ip_intervals(dims) -> DataFrame:
+    """The country, ASN and cloud ranges cut into disjoint intervals, written
+    once: ``geo`` (geoname_id), ``asn``, ``cloud`` (service, region of the narrowest range) and
+    ``own_cloud`` (service -> region of its narrowest range)."""
+    cloud = (dims.cloud_ranges, "network_start_int", "network_end_int")
+    return materialize(flatten([
+        RangeTable("geo", dims.geo_blocks, "network_start_integer", "network_end_integer", ["geoname_id"]),
+        RangeTable("asn", dims.geo_asn, "network_start_integer", "network_end_integer", ["autonomous_system_organization"]),
+        RangeTable("cloud", *cloud, ["service", "region"], cloud_order()),
+        RangeTable("own_cloud", *cloud, ["region"], by="service"),
+    ]), "ip-intervals")
+
+
 def ip_metadata(flows: DataFrame, dims, keys: Sequence[str] = ("dstaddr",), service_matched: bool = False,
-                checkpoint_keys: bool = True) -> DataFrame:
+                checkpoint_keys: bool = True, intervals: DataFrame | None = None) -> DataFrame:
     """Distinct ``keys`` of ``flows`` with country_name, asn_org,
     final_service_type, aws_region (and cloud_service). ``service_matched``
     requires the cloud range to carry the flow's pkt_dst_aws_service (keys
-    must include it). The distinct address set is computed once and shared
-    by the three range look-ups: it is checkpointed once, so the facts are
+    must include it). The distinct address set is checkpointed, so the facts are
     scanned once for it (``checkpoint_keys=False`` when ``flows`` is itself
-    already written)."""
+    already written); ``intervals``: the table of ``ip_intervals``, if at hand."""
     keys = list(keys)
     pts = flows.select(*keys).distinct().withColumn("dst_ip_int", ip_to_int(F.col(keys[0])))
     if checkpoint_keys:
         pts = materialize(pts)
-    ips = pts.select("dst_ip_int").where(F.col("dst_ip_int").isNotNull()).distinct()
-    geo = range_matches(ips, dims.geo_blocks, "dst_ip_int", "network_start_integer", "network_end_integer",
-                        ["geoname_id"], rename={"geoname_id": "_geo_id"})
-    loc = _locations(dims)
-    geo = geo.join(loc, "_geo_id", "left").drop("_geo_id")
-    asn = range_matches(ips, dims.geo_asn, "dst_ip_int", "network_start_integer", "network_end_integer",
-                        ["autonomous_system_organization"],
-                        rename={"autonomous_system_organization": "asn_org"})
+    found = sweep_lookup(pts, "dst_ip_int", ip_intervals(dims) if intervals is None else intervals)
+    m = found.join(_locations(dims), F.col("geo.geoname_id") == F.col("_geo_id"), "left").withColumn("asn_org", F.col("asn.autonomous_system_organization"))
     if service_matched:
-        svc = "pkt_dst_aws_service"
-        cloud_keys = pts.select("dst_ip_int", svc).where(
-            F.col("dst_ip_int").isNotNull() & F.col(svc).isNotNull()).distinct()
-        equi, on = [(svc, "service")], ["dst_ip_int", svc]
+        own = F.try_element_at("own_cloud", F.col("pkt_dst_aws_service"))
+        m = m.withColumns({"cloud_service": F.when(own.isNotNull(), F.col("pkt_dst_aws_service")), "cloud_region": own["region"]})
     else:
-        cloud_keys, equi, on = ips, [], ["dst_ip_int"]
-    cloud = range_matches(cloud_keys, dims.cloud_ranges, "dst_ip_int", "network_start_int", "network_end_int",
-                          ["service", "region"], equi=equi, order=cloud_order(),
-                          rename={"service": "cloud_service", "region": "cloud_region"})
-    m = pts.join(geo, "dst_ip_int", "left").join(asn, "dst_ip_int", "left").join(cloud, on, "left")
+        m = m.withColumns({"cloud_service": F.col("cloud.service"), "cloud_region": F.col("cloud.region")})
     return m.select(
         *keys, "dst_ip_int", "country_name", "asn_org",
         F.coalesce("cloud_service", F.lit("NON-AWS")).alias("final_service_type"),
