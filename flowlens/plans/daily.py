@@ -4,6 +4,10 @@ Every aggregate filters first (pushed to the scan), aggregates on its own
 grain with partial (map-side) aggregation, and only then joins look-ups that
 hold one row per key -- so a join never changes the grain and never
 multiplies bytes.
+
+``GRAINS`` names the keys of each aggregate over egress records. Alone, an
+aggregate computes its grain from the flows; the daily job hands it over as ``pre``
+(``_b`` bytes, ``_p`` packets, ``_n`` records), from one lattice for all.
 """
 
 from __future__ import annotations
@@ -16,8 +20,10 @@ from ..functions.dates import hour_bucket, log_date
 from ..functions.filters import public_egress, status_ok
 from ..functions.ipmath import ip_to_int
 from ..operators.dns import dns_daily_summary, primary_domain, with_primary_domain
+from ..operators.lattice import Lattice
 from ..operators.lookups import with_account, with_owner_labels
-from ..operators.topn import top_n_per_group
+from ..operators.globalorder import global_rank
+from ..operators.topn import tie_breakers, top_n_per_group
 from ..session import materialize
 from .ipmeta import ip_metadata, join_metadata, with_asn, with_cloud
 
@@ -25,6 +31,55 @@ DAY = ["year", "month", "day"]
 VPC = ["account_id", "region", "vpc_id"]
 
 
+# keys of the aggregates over egress records, besides the day
+GRAINS = {
+    "total_internet_egress": VPC,
+    "internet_bound_flows": VPC,
+    "unique_destination": [*VPC, "dstaddr"],
+    "vpc_egress_trends": [*VPC, "time_hour", "flow_direction"],
+    "vpc_top_talkers": [*VPC, "instance_id", "dstaddr", "flow_direction"],
+    "vpc_top_ports": [*VPC, "dstport", "instance_id", "dstaddr"],
+    "destination_asn_service": [*VPC, "dstaddr", "pkt_dst_aws_service"],
+    "top_domain_port_geo": [*VPC, "srcaddr", "dstaddr", "dstport", "pkt_dst_aws_service"],
+    "network_intelligence_final": [*VPC, "instance_id", "srcaddr", "dstaddr", "pkt_dst_aws_service", "traffic_path"],
+}
+STATUS_OK_ONLY = ("top_domain_port_geo", "network_intelligence_final")
+
+
+def key_column(name: str) -> F.Column:
+    """The expression of a grain's key over the flows."""
+    if name == "time_hour":
+        return hour_bucket("start_time")
+    return F.coalesce(status_ok(), F.lit(False)) if name == "status_ok" else F.col(name)
+
+
+def measures() -> dict[str, F.Column]:
+    return {"_b": F.sum("bytes"), "_p": F.sum("packets"), "_n": F.count(F.lit(1))}
+
+
+def egress_grain(flows: DataFrame, aggregate: str, mode: str = "literal") -> DataFrame:
+    """The grain of ``aggregate`` computed from the flows."""
+    rows = egress(flows, mode)
+    if aggregate in STATUS_OK_ONLY:
+        rows = rows.where(status_ok())
+    return rows.groupBy(*[key_column(k).alias(k) for k in GRAINS[aggregate]], *DAY).agg(*[e.alias(n) for n, e in measures().items()])
+
+
+def egress_lattice(flows: DataFrame, mode: str = "literal") -> Lattice:
+    """One scan of the egress records for all of ``GRAINS``: the finest grain,
+    the one without hours, and the one without sources."""
+    connections = [*VPC, "instance_id", "srcaddr", "dstaddr", "dstport", "pkt_dst_aws_service", "traffic_path", "flow_direction", "status_ok", *DAY]
+    finest = [*connections, "time_hour"]
+    lattice = Lattice(egress(flows, mode), {k: key_column(k) for k in finest}, measures())
+    lattice.keep(connections)
+    lattice.keep([*VPC, "instance_id", "dstaddr", "dstport", "pkt_dst_aws_service", "flow_direction", *DAY])
+    return lattice
+
+
+def lattice_grain(lattice: Lattice, aggregate: str) -> DataFrame:
+    return lattice.grain([*GRAINS[aggregate], *DAY], "status_ok" if aggregate in STATUS_OK_ONLY else None)
+
+
 def _ld() -> F.Column:
     return log_date().alias("log_date")
 
@@ -34,24 +89,23 @@ def egress(flows: DataFrame, mode: str = "literal") -> DataFrame:
     return flows.where(public_egress(mode))
 
 
-def total_internet_egress(flows: DataFrame, ec2: DataFrame, mode: str = "literal") -> DataFrame:
-    agg = egress(flows, mode).groupBy(*VPC, *DAY).agg(F.sum("bytes").alias("_b"))
+def total_internet_egress(flows: DataFrame, ec2: DataFrame, mode: str = "literal", pre: DataFrame | None = None) -> DataFrame:
+    agg = egress_grain(flows, "total_internet_egress", mode) if pre is None else pre
     return with_account(agg, ec2).select(
         "account_name", *VPC, L.gb("_b", 6).alias("total_gb"), *DAY, _ld()
     )
 
 
-def internet_bound_flows(flows: DataFrame, ec2: DataFrame, mode: str = "literal") -> DataFrame:
-    agg = egress(flows, mode).groupBy(*VPC, *DAY).agg(F.count(F.lit(1)).alias("total_connections"))
-    return with_account(agg, ec2).select("account_name", *VPC, "total_connections", *DAY, _ld())
+def internet_bound_flows(flows: DataFrame, ec2: DataFrame, mode: str = "literal", pre: DataFrame | None = None) -> DataFrame:
+    agg = egress_grain(flows, "internet_bound_flows", mode) if pre is None else pre
+    return with_account(agg, ec2).select("account_name", *VPC, F.col("_n").alias("total_connections"), *DAY, _ld())
 
 
-def unique_destination(flows: DataFrame, ec2: DataFrame, mode: str = "literal") -> DataFrame:
-    agg = egress(flows, mode).groupBy(*VPC, F.col("dstaddr").alias("destination_ip"), *DAY).agg(
-        F.sum("bytes").alias("total_bytes"), F.count(F.lit(1)).alias("connection_count")
-    )
+def unique_destination(flows: DataFrame, ec2: DataFrame, mode: str = "literal", pre: DataFrame | None = None) -> DataFrame:
+    agg = egress_grain(flows, "unique_destination", mode) if pre is None else pre
     return with_account(agg, ec2).select(
-        "account_name", *VPC, "destination_ip", "total_bytes", "connection_count", *DAY, _ld()
+        "account_name", *VPC, F.col("dstaddr").alias("destination_ip"), F.col("_b").alias("total_bytes"),
+        F.col("_n").alias("connection_count"), *DAY, _ld()
     )
 
 
@@ -67,34 +121,28 @@ def vpc_action_agg(flows: DataFrame, ec2: DataFrame) -> DataFrame:
     )
 
 
-def vpc_egress_trends(flows: DataFrame, ec2: DataFrame, mode: str = "literal") -> DataFrame:
-    agg = egress(flows, mode).groupBy(
-        *VPC, hour_bucket("start_time").alias("time_hour"), "flow_direction", *DAY
-    ).agg(F.sum("bytes").alias("_b"))
+def vpc_egress_trends(flows: DataFrame, ec2: DataFrame, mode: str = "literal", pre: DataFrame | None = None) -> DataFrame:
+    agg = egress_grain(flows, "vpc_egress_trends", mode) if pre is None else pre
     return with_account(agg, ec2).select(
         "account_name", *VPC, "time_hour", "flow_direction", L.mb("_b", 2).alias("traffic_mb"), *DAY, _ld()
     )
 
 
-def vpc_top_talkers(flows: DataFrame, ec2: DataFrame, mode: str = "literal", fallback_by=("account_id", "region")) -> DataFrame:
+def vpc_top_talkers(flows: DataFrame, ec2: DataFrame, mode: str = "literal", fallback_by=("account_id", "region"),
+                    pre: DataFrame | None = None) -> DataFrame:
     """Per instance x destination, labelled by instance, else account(+region).
     GB is rounded once from summed bytes (the reference sums rounded values)."""
-    agg = egress(flows, mode).groupBy(*VPC, "instance_id", "dstaddr", "flow_direction", *DAY).agg(
-        F.sum("bytes").alias("_b"), F.sum("packets").alias("total_packets"),
-        F.count(F.lit(1)).alias("record_count"),
-    )
+    agg = egress_grain(flows, "vpc_top_talkers", mode) if pre is None else pre
     return with_owner_labels(agg, ec2, fallback_by).select(
         "account_name", "biz_unit", "application_id", *VPC, "instance_id", "dstaddr", "flow_direction",
-        L.gb("_b", 4).alias("total_data_out_gb"), "total_packets", "record_count", *DAY, _ld(),
+        L.gb("_b", 4).alias("total_data_out_gb"), F.col("_p").alias("total_packets"), F.col("_n").alias("record_count"), *DAY, _ld(),
     )
 
 
-def vpc_top_ports(flows: DataFrame, ec2: DataFrame, mode: str = "literal") -> DataFrame:
+def vpc_top_ports(flows: DataFrame, ec2: DataFrame, mode: str = "literal", pre: DataFrame | None = None) -> DataFrame:
     """Top instance+destination per (vpc, port, day) by bytes; ties by
     instance_id, dstaddr ascending."""
-    agg = egress(flows, mode).groupBy(*VPC, "dstport", "instance_id", "dstaddr", *DAY).agg(
-        F.sum("bytes").alias("total_bytes")
-    )
+    agg = (egress_grain(flows, "vpc_top_ports", mode) if pre is None else pre).withColumnRenamed("_b", "total_bytes")
     top = top_n_per_group(
         agg, [*VPC, "dstport", *DAY],
         [F.col("total_bytes").desc_nulls_last(), F.col("instance_id").asc_nulls_last(),
@@ -108,7 +156,7 @@ def vpc_top_ports(flows: DataFrame, ec2: DataFrame, mode: str = "literal") -> Da
 
 
 def destination_asn_service(flows: DataFrame, dims, mode: str = "literal", service_from: str = "packet",
-                            meta: DataFrame | None = None) -> DataFrame:
+                            meta: DataFrame | None = None, pre: DataFrame | None = None) -> DataFrame:
     """Bytes per destination ASN x service label.
 
     ``service_from='packet'`` (default): the flow's packet-level service, empty
@@ -116,9 +164,7 @@ def destination_asn_service(flows: DataFrame, dims, mode: str = "literal", servi
     without using them, multiplying bytes; that join contributes no column and
     is left out. ``service_from='range'``: the service of the narrowest cloud
     range holding the address (the other variant of the reference)."""
-    pre = egress(flows, mode).groupBy(*VPC, "dstaddr", "pkt_dst_aws_service", *DAY).agg(
-        F.sum("bytes").alias("_b"), F.count(F.lit(1)).alias("_n")
-    )
+    pre = egress_grain(flows, "destination_asn_service", mode) if pre is None else pre
     if meta is not None and service_from == "packet":
         # the job's written address dictionary already holds the organisation
         asn = meta.groupBy("dstaddr").agg(F.max("asn_org").alias("asn_org"))
@@ -143,25 +189,19 @@ def destination_asn_service(flows: DataFrame, dims, mode: str = "literal", servi
     )
 
 
-def flow_daily_summary(flows: DataFrame, mode: str = "literal") -> DataFrame:
+def flow_daily_summary(flows: DataFrame, mode: str = "literal", pre: DataFrame | None = None) -> DataFrame:
     """Egress, public, log_status OK, per instance x src x dst x service x path."""
-    return (
-        egress(flows, mode).where(status_ok())
-        .groupBy(*VPC, "instance_id", "srcaddr", "dstaddr", "pkt_dst_aws_service", "traffic_path", *DAY)
-        .agg(F.sum("bytes").alias("total_bytes"), F.sum("packets").alias("total_packets"))
-    )
+    agg = egress_grain(flows, "network_intelligence_final", mode) if pre is None else pre
+    return agg.select(*GRAINS["network_intelligence_final"], *DAY, F.col("_b").alias("total_bytes"), F.col("_p").alias("total_packets"))
 
 
 def top_domain_port_geo(flows: DataFrame, dns: DataFrame, dims, mode: str = "literal",
-                        domains: DataFrame | None = None, meta: DataFrame | None = None) -> DataFrame:
+                        domains: DataFrame | None = None, meta: DataFrame | None = None,
+                        pre: DataFrame | None = None) -> DataFrame:
     """``domains`` / ``meta`` may be passed precomputed (shared by several
     aggregates in the daily job); ``meta`` must be keyed by
     (dstaddr, pkt_dst_aws_service) and cover the egress destinations."""
-    base = (
-        egress(flows, mode).where(status_ok())
-        .groupBy(*VPC, "srcaddr", "dstaddr", "dstport", "pkt_dst_aws_service", *DAY)
-        .agg(F.sum("bytes").alias("_b"), F.sum("packets").alias("_p"), F.count(F.lit(1)).alias("_n"))
-    )
+    base = egress_grain(flows, "top_domain_port_geo", mode) if pre is None else pre
     domains = primary_domain(dns_daily_summary(dns)) if domains is None else domains
     if meta is None:
         meta = ip_metadata(base, dims, keys=("dstaddr", "pkt_dst_aws_service"), service_matched=True)
@@ -179,11 +219,12 @@ def top_domain_port_geo(flows: DataFrame, dns: DataFrame, dims, mode: str = "lit
 
 
 def network_intelligence_final(flows: DataFrame, dns: DataFrame, dims, mode: str = "literal",
-                               domains: DataFrame | None = None, meta: DataFrame | None = None) -> DataFrame:
+                               domains: DataFrame | None = None, meta: DataFrame | None = None,
+                               pre: DataFrame | None = None) -> DataFrame:
     """Widest enriched fact. Every join is to a unique key that is a subset of
     the summary grain, so the grain of ``flow_daily_summary`` is kept and no
     second aggregation (and shuffle) is needed."""
-    vpc_sum = flow_daily_summary(flows, mode)
+    vpc_sum = flow_daily_summary(flows, mode, pre)
     domains = primary_domain(dns_daily_summary(dns)) if domains is None else domains
     if meta is None:
         meta = ip_metadata(vpc_sum, dims, keys=("dstaddr", "pkt_dst_aws_service"), service_matched=True)
@@ -235,3 +276,10 @@ def profile_rows_per_file(scan: DataFrame) -> DataFrame:
     return scan.groupBy(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_name").alias("file_name")).agg(
         F.count(F.lit(1)).alias("rows_per_file")
     )
+
+
+def by_volume(final: DataFrame, name: str = "volume_rank") -> DataFrame:
+    """``network_intelligence_final`` in the order of its volume: each row with
+    its place in the whole table (largest first, ties by the row's keys)."""
+    keys = [*VPC, "instance_id", "client_ip", "destination_ip", "pkt_dst_aws_service", "traffic_path", *DAY]
+    return global_rank(final, [F.col("data_out_gb").desc_nulls_last(), *tie_breakers(keys)], name)

@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import daily
+from . import daily, job
 from ..session import materialize
 from .inputs import Inputs, load
 
@@ -37,6 +37,8 @@ register("vpc_top_ports")(lambda i: daily.vpc_top_ports(i.flows, i.dims.ec2))
 register("destination_asn_service")(lambda i: daily.destination_asn_service(i.flows, i.dims))
 register("top_domain_port_geo")(lambda i: daily.top_domain_port_geo(i.flows, i.dns, i.dims))
 register("network_intelligence_final")(lambda i: daily.network_intelligence_final(i.flows, i.dns, i.dims))
+register("network_intelligence_ranked")(lambda i: daily.by_volume(daily.network_intelligence_final(i.flows, i.dns, i.dims)))
+register("daily_job_summary")(lambda i: job.daily_job_summary(i.spark, i))
 register("flow_daily_summary")(lambda i: daily.flow_daily_summary(i.flows))
 register("flow_bi_rollup")(lambda i: daily.flow_bi_rollup(i.flows))
 register("profile_counts")(lambda i: daily.profile_counts(i.flows))
