@@ -3,19 +3,23 @@
 The batch job re-reads a whole day; this job picks up only files that arrived
 since the last trigger (the file source keeps the list of processed files in
 its checkpoint), normalises them with the same reader as the batch job and
-appends them to the day's partitions. ``trigger(availableNow)`` turns it into a
-restartable batch that resumes from the checkpoint. The append is at least once:
-if the driver stops between a batch's write and its commit, that batch is written
-again on restart.
+appends them to the curated table, each trigger as a batch of its own
+(``sinks.appends``). ``trigger(availableNow)`` turns it into a restartable batch that
+resumes from the checkpoint. Every file counts once: if the driver stops between a
+batch's write and the stream's checkpoint, the batch is written again on restart under the same name
+(the checkpoint's digest and the batch number) and replaces itself.
+Readers take ``read_committed``.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sinks.writers import spread_for_write
+from ..sinks.appends import append_batch
 from ..sources.fixtures import FLOW_PARTITIONS
 from ..sources.rawlogs import RAW_HIVE_FLOW_KEYS, normalize_lines
 
@@ -30,14 +34,13 @@ def start_flow_ingest(spark: SparkSession, raw_root: str, out_path: str, checkpo
         .option("recursiveFileLookup", "true" if layout == "aws" else "false")
         .load(raw_root)
     )
+    stream = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
     path_cols = [RAW_HIVE_FLOW_KEYS[c] for c in FLOW_PARTITIONS] if layout == "hive" else []
     staged = lines.select(F.col("_metadata.file_path").alias("_file"), "value", *path_cols)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         curated = normalize_lines(batch, layout, n_files=max_files_per_trigger)
-        out = spread_for_write(curated, FLOW_PARTITIONS)
-        (out.sortWithinPartitions(*FLOW_PARTITIONS).write.mode("append")
-            .partitionBy(*FLOW_PARTITIONS).parquet(out_path))
+        append_batch(curated, out_path, FLOW_PARTITIONS, f"{stream}-{batch_id:09d}")
 
     writer = staged.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
