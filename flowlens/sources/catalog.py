@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.names import quoted
+from ..sinks.tables import identifier, literal
 from .fixtures import FLOW_COLUMNS, FLOW_PARTITIONS
 
 
 def _ddl(columns: Sequence[tuple[str, str]]) -> str:
-    return ", ".join(f"`{n}` {t}" for n, t in columns)
+    return ", ".join(f"{quoted(n)} {t}" for n, t in columns)
 
 
 def create_external_table(spark: SparkSession, name: str, location: str,
@@ -23,8 +25,8 @@ def create_external_table(spark: SparkSession, name: str, location: str,
     discover the partitions already present under ``location``."""
     cols = list(columns) + [(p, "string") for p in partitions if p not in dict(columns)]
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({_ddl(cols)}) USING parquet "
-        f"PARTITIONED BY ({', '.join(partitions)}) LOCATION '{location}' "
+        f"CREATE TABLE IF NOT EXISTS {identifier(name)} ({_ddl(cols)}) USING parquet "
+        f"PARTITIONED BY ({', '.join(quoted(p) for p in partitions)}) LOCATION {literal(location)} "
         f"TBLPROPERTIES ('parquet.compression'='SNAPPY')"
     )
     recover_partitions(spark, name)
@@ -32,7 +34,12 @@ def create_external_table(spark: SparkSession, name: str, location: str,
 
 def recover_partitions(spark: SparkSession, name: str) -> None:
     """Register partitions written by other jobs (MSCK REPAIR TABLE)."""
-    spark.catalog.recoverPartitions(name)
+    spark.sql(f"ALTER TABLE {identifier(name)} RECOVER PARTITIONS")
+
+
+def partition_statistics(spark: SparkSession, name: str, partitions: Sequence[str] = tuple(FLOW_PARTITIONS)) -> None:
+    """Row count and size of every partition, kept in the catalog for the planner."""
+    spark.sql(f"ANALYZE TABLE {identifier(name)} PARTITION ({', '.join(quoted(p) for p in partitions)}) COMPUTE STATISTICS")
 
 
 def create_empty_table(spark: SparkSession, name: str, schema: T.StructType, partitions: Sequence[str],

@@ -6,7 +6,9 @@ lines are read as text and every value is looked up by name in *its own
 file's* header (header table broadcast; it has one row per input file, a
 bound known from the file listing). No column can be silently swapped.
 
-DNS logs: JSON lines read with an explicit schema (no inference pass).
+DNS logs: JSON lines read with an explicit schema (no inference pass). What a
+record holds beside the schema -- new fields, answers with further fields, lines that aren't
+JSON -- is kept in the VARIANT column ``residue``.
 
 Path layouts: ``aws`` (``.../AWSLogs/<account>/vpcflowlogs/<region>/<yyyy>/<mm>/<dd>/file``
 and ``.../AWSLogs/<account>/vpcdnsquerylogs/<vpc>/<yyyy>/<mm>/<dd>/file``) or
@@ -69,7 +71,7 @@ RAW_DNS_SCHEMA = T.StructType([
 ])
 DNS_CURATED = [
     "account_id", "region", "vpc_id", "srcaddr", "srcport", "srcids", "query_name", "query_type", "query_class",
-    "query_timestamp", "answers", "rcode", "transport", "version", "year", "month", "day",
+    "query_timestamp", "answers", "rcode", "transport", "version", "residue", "year", "month", "day",
 ]
 
 
@@ -204,24 +206,41 @@ def normalize_lines(staged: DataFrame, layout: str, n_files: int | None, default
     return data.select(*cols, *[parts[p].alias(p) for p in FLOW_PARTITIONS])
 
 
+def _residue(line: Column, fields: Column) -> Column:
+    """What a record holds beside ``RAW_DNS_SCHEMA``, as one VARIANT object (NULL: nothing):
+    unknown fields, ``answers`` whole if an answer has unknown fields, and under
+    ``malformed`` a line that is no JSON object."""
+    known = [f.name for f in RAW_DNS_SCHEMA]
+    answer = [f.name for f in RAW_DNS_SCHEMA["answers"].dataType.elementType]
+    every = F.from_json(line, "map<string,variant>")
+    of_answers = F.from_json(F.get_json_object(line, "$.answers"), "array<map<string,variant>>")
+    odd_answer = F.exists(of_answers, lambda a: F.size(F.array_except(F.map_keys(a), F.array(*map(F.lit, answer)))) > 0)
+    other = F.map_filter(every, lambda k, v: ~k.isin(known) | ((k == "answers") & F.coalesce(odd_answer, F.lit(False))))
+    broken = F.create_map(F.lit("malformed"), line.cast("variant"))
+    return F.when(every.isNull() & (F.trim(line) != ""), F.to_variant_object(broken)).when(F.size(other) > 0, F.to_variant_object(other))
+
+
 def read_dns_logs(spark: SparkSession, paths, layout: str = "aws") -> DataFrame:
     """Raw resolver JSON lines -> curated DNS columns. ``account_id`` comes
-    from the record (aws layout); vpc_id, year, month, day from the path."""
+    from the record (aws layout); vpc_id, year, month, day from the path; nothing
+    of a line is lost (``residue``)."""
     found, missing = existing_paths(spark, paths)
     _report(missing)
     if not found:
         return _empty(spark, DNS_DDL)
-    raw = spark.read.schema(RAW_DNS_SCHEMA).json(found)
-    names = ["path_account_id", "vpc_id", "year", "month", "day"]
+    names = ["account_id", "vpc_id", "year", "month", "day"]
+    lines = spark.read.text(found).where("value <> ''")
     if layout == "hive":
-        parts = {n: F.col(n) for n in ["vpc_id", "year", "month", "day"]}
+        parts = {n: F.col(n) for n in names}
     else:
         parts = _path_parts("aws", DNS_PATH_RE, names)
+    fields = F.from_json("value", RAW_DNS_SCHEMA)
+    raw = lines.select(fields.alias("f"), _residue(F.col("value"), fields).alias("residue"), *[c.alias(n) for n, c in parts.items()])
     return raw.select(
-        F.col("account_id"), "region", parts["vpc_id"].alias("vpc_id"), "srcaddr",
-        F.col("srcport").try_cast("int").alias("srcport"), "srcids", "query_name", "query_type", "query_class",
-        "query_timestamp", "answers", "rcode", "transport", "version",
-        parts["year"].alias("year"), parts["month"].alias("month"), parts["day"].alias("day"),
+        "account_id" if layout == "hive" else "f.account_id", "f.region", "vpc_id", "f.srcaddr",
+        F.col("f.srcport").try_cast("int").alias("srcport"), "f.srcids", "f.query_name", "f.query_type", "f.query_class",
+        "f.query_timestamp", "f.answers", "f.rcode", "f.transport", "f.version", "residue",
+        "year", "month", "day",
     )
 
 
@@ -229,7 +248,7 @@ DNS_DDL = (
     "account_id string, region string, vpc_id string, srcaddr string, srcport int, "
     "srcids map<string,string>, query_name string, query_type string, query_class string, query_timestamp string, "
     "answers array<struct<Rdata:string,Type:string,Class:string>>, rcode string, "
-    "transport string, version string, year string, month string, day string"
+    "transport string, version string, residue variant, year string, month string, day string"
 )
 
 
