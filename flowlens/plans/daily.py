@@ -19,6 +19,7 @@ from ..functions import labels as L
 from ..functions.dates import hour_bucket, log_date
 from ..functions.filters import public_egress, status_ok
 from ..functions.ipmath import ip_to_int
+from ..functions.names import quoted
 from ..operators.dns import dns_daily_summary, primary_domain, with_primary_domain
 from ..operators.lattice import Lattice
 from ..operators.lookups import with_account, with_owner_labels
@@ -271,6 +272,15 @@ def profile_counts(flows: DataFrame) -> DataFrame:
     )
 
 
+def profile_columns(df: DataFrame) -> DataFrame:
+    """One row per column: position, name, type, rows, and rows that aren't NULL.
+    One wide aggregate, turned long; the table is read once."""
+    counts = df.agg(F.count(F.lit(1)).alias("n_rows"), *[F.count(F.col(quoted(c))).alias(f"n{k}") for k, c in enumerate(df.columns)])
+    rows = F.array(*[F.struct(F.lit(k + 1).alias("position"), F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"),
+                              F.col(f"n{k}").alias("n_non_null")) for k, f in enumerate(df.schema.fields)])
+    return counts.select("n_rows", F.explode(rows).alias("c")).select("c.position", "c.column_name", "c.data_type", "n_rows", "c.n_non_null")
+
+
 def profile_rows_per_file(scan: DataFrame) -> DataFrame:
     """Rows per source file of a file-based scan (uses the _metadata column)."""
     return scan.groupBy(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_name").alias("file_name")).agg(

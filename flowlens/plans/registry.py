@@ -42,6 +42,7 @@ register("daily_job_summary")(lambda i: job.daily_job_summary(i.spark, i))
 register("flow_daily_summary")(lambda i: daily.flow_daily_summary(i.flows))
 register("flow_bi_rollup")(lambda i: daily.flow_bi_rollup(i.flows))
 register("profile_counts")(lambda i: daily.profile_counts(i.flows))
+register("profile_columns")(lambda i: daily.profile_columns(i.flows))
 
 # ---- DNS / unified ---------------------------------------------------------
 from ..operators.dns import dns_daily_summary as _dns_sum, primary_domain as _primary  # noqa: E402
@@ -120,6 +121,10 @@ def _file_query(fn: Callable[[SparkSession, str], DataFrame]) -> Query:
 QUERIES["ingest_flow_logs"] = _file_query(etl.flow_roundtrip)
 QUERIES["ingest_dns_logs"] = _file_query(etl.dns_roundtrip)
 QUERIES["curated_day_totals"] = _file_query(etl.curated_day_totals)
+QUERIES["catalog_day_totals"] = _file_query(etl.catalog_day_totals)
+QUERIES["allowed_account_totals"] = _file_query(etl.allowed_account_totals)
+QUERIES["appended_batches"] = _file_query(etl.appended_batches)
+QUERIES["replaced_table"] = _file_query(etl.replaced_table)
 register("publish_curated")(lambda i: etl.publish_curated(i.flows))
 QUERIES["profile_rows_per_file"] = _file_query(
     lambda spark, sf_dir: daily.profile_rows_per_file(spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet"))
