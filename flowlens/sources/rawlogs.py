@@ -4,7 +4,8 @@ Flow logs: space-separated text with a header line per file, ``-`` for
 missing values, usually gzip. Each file may order its columns differently, so
 lines are read as text and every value is looked up by name in *its own
 file's* header (header table broadcast; it has one row per input file, a
-bound known from the file listing). No column can be silently swapped.
+bound known from the file listing). No column can be silently swapped. The headers come from a
+probe that reads the beginning of each file and stops, so the data are scanned once.
 
 DNS logs: JSON lines read with an explicit schema (no inference pass). What a
 record holds beside the schema -- new fields, answers with further fields, lines that aren't
@@ -23,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
 from .fixtures import FLOW_COLUMNS, FLOW_PARTITIONS
 
 log = logging.getLogger(__name__)
@@ -173,12 +175,45 @@ def read_flow_logs(spark: SparkSession, paths, layout: str = "aws", default_fiel
         return _empty(spark, flow_schema_ddl())
     path_cols = [RAW_HIVE_FLOW_KEYS[c] for c in FLOW_PARTITIONS if layout == "hive"]
     staged = lines.select(F.col("_metadata.file_path").alias("_file"), "value", *path_cols)
-    return normalize_lines(staged, layout, n_files, default_fields)
-
-
-def normalize_lines(staged: DataFrame, layout: str, n_files: int | None, default_fields: list[str] | None = None) -> DataFrame:
+    return normalize_lines(staged, layout, n_files, default_fields, first_lines(spark, found))
+
+
+# one task per file, which hands over a few rows at a time
+PROBE_CONF = {"spark.sql.files.openCostInBytes": str(1 << 40), "spark.sql.execution.arrow.maxRecordsPerBatch": "16"}
+
+
+def _first_line(batches):
+    """The first line that isn't blank, if the split begins its file; the rest is
+    left unread, which ends the task."""
+    for b in batches:
+        for k, (start, value) in enumerate(zip(b.column("start").to_pylist(), b.column("value").to_pylist())):
+            if start:
+                return
+            if value.strip():
+                yield b.slice(k, 1)
+                return
+
+
+def first_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(_file, value): the first line of every file, written once. Each file
+    is opened and read up to its first rows."""
+    before = {k: spark.conf.get(k, None) for k in PROBE_CONF}
+    try:
+        for k, v in PROBE_CONF.items():
+            spark.conf.set(k, v)
+        lines = spark.read.text(paths).select(
+            F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("start"), "value")
+        return materialize(lines.mapInArrow(_first_line, "_file string, start long, value string"), "headers").select("_file", "value")
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def normalize_lines(staged: DataFrame, layout: str, n_files: int | None, default_fields: list[str] | None = None,
+                    first: DataFrame | None = None) -> DataFrame:
     """Lines (``_file``, ``value`` and, for the hive layout, the directory
-    columns) -> curated flow columns. ``n_files`` bounds the per-file header
+    columns) -> curated flow columns. ``first``: the first line of each file (else
+    headers are looked for in all lines). ``n_files`` bounds the per-file header
     table (one row per file); it is broadcast when the bound is small."""
     tok = staged.select(
         "_file", F.split(F.col("value"), " ").alias("_tok"),
@@ -188,7 +223,8 @@ def normalize_lines(staged: DataFrame, layout: str, n_files: int | None, default
     # one row per file: the 0-based position of every curated column in that
     # file's header (-1 when the file does not carry it)
     names = [c for c, _ in FLOW_COLUMNS]
-    headers = tok.where(is_header).groupBy("_file").agg(F.min("_tok").alias("_hdr")).select(
+    heads = tok if first is None else first.select("_file", F.split(F.col("value"), " ").alias("_tok"))
+    headers = heads.where(is_header).groupBy("_file").agg(F.min("_tok").alias("_hdr")).select(
         "_file",
         F.struct(*[(F.array_position("_hdr", raw_name(c)).cast("int") - 1).alias(c) for c in names]).alias("_pos"),
     )

@@ -131,3 +131,31 @@ def test_path_lists_and_dates(spark):
     paths = flow_log_paths(root, parse_process_date("2026-02-15"), accounts=["111111111111", "333333333333"])
     df = read_flow_logs(spark, paths)
     assert sorted(r.account_id for r in df.collect()) == ["111111111111", "333333333333"]
+
+
+def test_headers_come_from_a_probe(spark, tmp_path):
+    """The plan scans the raw text once; files in two column orders, without a
+    header, with blank first lines and of many lines (split) read alike."""
+    root = str(tmp_path)
+    _write(root, "111111111111", "us-east-1", "15", RAW_FLOW_FIELDS, [_record(bytes=str(k)) for k in range(300)], name="a.log.gz")
+    _write(root, "111111111111", "us-east-1", "15", list(reversed(RAW_FLOW_FIELDS)), [_record(bytes="700")], name="b.log.gz")
+    folder = os.path.join(root, "AWSLogs/222222222222/vpcflowlogs/us-east-1/2026/02/15")
+    os.makedirs(folder)
+    order = RAW_FLOW_FIELDS[::2] + RAW_FLOW_FIELDS[1::2]
+    rows = [" ".join(_record(bytes=str(1000 + k))[f] for f in order) for k in range(5000)]
+    with open(os.path.join(folder, "split.log"), "w") as f:
+        f.write("\n  \n" + "\n".join([" ".join(order), *rows]) + "\n")
+    with open(os.path.join(folder, "bare.log"), "w") as f:
+        f.write(" ".join(_record(bytes="900")[x] for x in RAW_FLOW_FIELDS) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        df = read_flow_logs(spark, f"{root}/AWSLogs/*/vpcflowlogs/*/2026/02/15/")
+        assert df.rdd.getNumPartitions() > 4                 # the large file comes in splits
+        assert sorted(r.bytes for r in df.collect()) == [*range(300), 700, 900, *range(1000, 6000)]
+        assert {r.dstaddr for r in df.select("dstaddr").distinct().collect()} == {_record()["dstaddr"]}
+        plan = df.select("*")._jdf.queryExecution().executedPlan().toString()       # as planned, not run
+        assert plan.count("FileScan text") == 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == "4194304"
