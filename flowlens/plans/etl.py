@@ -12,11 +12,12 @@ from ..functions.filters import on_day
 from ..session import scratch_path
 from ..sinks.appends import append_batch, read_committed, stage_batch
 from ..sinks.tables import create_or_replace_table
-from ..sinks.writers import write_partitioned, write_raw_dns_logs, write_raw_flow_logs
+from ..sinks.writers import to_path_layout, write_partitioned, write_raw_dns_logs, write_raw_flow_logs
 from ..sources import fixtures
 from ..sources.catalog import create_external_table, partition_statistics
 from ..sources.fixtures import DNS_PARTITIONS, FLOW_COLUMNS, FLOW_PARTITIONS
-from ..sources.rawlogs import DNS_CURATED, flow_schema_ddl, read_curated, read_dns_logs, read_flow_logs
+from ..sources.rawlogs import (DNS_CURATED, RAW_HIVE_FLOW_KEYS, dns_log_paths, flow_log_paths, flow_schema_ddl, read_curated, read_dns_logs,
+                              read_flow_logs)
 
 # The column order of the curated database copy.
 PUBLISH_COLUMNS = [
@@ -65,6 +66,29 @@ def flow_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest_flow_logs(spark, raw, scratch_path(spark, "curated-flowlogs"), layout="hive")
 
 
+def listed_accounts(spark: SparkSession, sf_dir: str, accounts: tuple[str, ...] = ("000000000002", "000000000004", "999999999999")) -> DataFrame:
+    """Raw text in the log delivery's own folders, of which the listed accounts'
+    are read (one of them has none); account, region and day come from the path."""
+    hive, raw = scratch_path(spark, "raw-flowlogs"), scratch_path(spark, "delivered-flowlogs")
+    write_raw_flow_logs(fixtures.flows(spark, sf_dir), hive)
+    to_path_layout(spark, hive, raw, [RAW_HIVE_FLOW_KEYS[p] for p in FLOW_PARTITIONS],
+                   "AWSLogs/{account_id}/vpcflowlogs/{path_region}/{year}/{month}/{day}")
+    read = read_flow_logs(spark, flow_log_paths(raw, fixtures.FIXTURE_DAY, accounts))
+    return read.groupBy("account_id", "region", "year", "month", "day", "log_account_id").agg(
+        F.count(F.lit(1)).alias("n_flows"), F.sum("bytes").alias("total_bytes"), F.count("instance_id").alias("n_instances"))
+
+
+def delivered_dns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw DNS records in the delivery's folders, every account and VPC by wildcard; VPC and day come from the path."""
+    hive, raw = scratch_path(spark, "raw-dnslogs"), scratch_path(spark, "delivered-dnslogs")
+    write_raw_dns_logs(fixtures.dns(spark, sf_dir), hive)
+    to_path_layout(spark, hive, raw, DNS_PARTITIONS, "AWSLogs/{account_id}/vpcdnsquerylogs/{vpc_id}/{year}/{month}/{day}")
+    y, m, d = fixtures.FIXTURE_DAY
+    days = [(y, m, f"{int(d) + k:02d}") for k in (-1, 0, 1)]
+    return read_dns_logs(spark, dns_log_paths(raw, days)).groupBy("vpc_id", "year", "month", "day", "rcode").agg(
+        F.count(F.lit(1)).alias("n_queries"), F.countDistinct("query_name").alias("n_names"), F.count("answers").alias("n_answered"))
+
+
 def dns_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records with a field that the curated schema doesn't know, too: it comes
     back from the residue."""

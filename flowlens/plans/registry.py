@@ -120,6 +120,8 @@ def _file_query(fn: Callable[[SparkSession, str], DataFrame]) -> Query:
 
 QUERIES["ingest_flow_logs"] = _file_query(etl.flow_roundtrip)
 QUERIES["ingest_dns_logs"] = _file_query(etl.dns_roundtrip)
+QUERIES["ingest_listed_accounts"] = _file_query(etl.listed_accounts)
+QUERIES["ingest_delivered_dns"] = _file_query(etl.delivered_dns)
 QUERIES["curated_day_totals"] = _file_query(etl.curated_day_totals)
 QUERIES["catalog_day_totals"] = _file_query(etl.catalog_day_totals)
 QUERIES["allowed_account_totals"] = _file_query(etl.allowed_account_totals)

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.rawlogs import MISSING, RAW_HIVE_FLOW_KEYS, raw_name
@@ -50,6 +50,25 @@ def write_raw_flow_logs(flows: DataFrame, path: str, compression: str = "gzip")
         .option("quote", "\u0000").csv(path))
 
 
+def to_path_layout(spark: SparkSession, hive_root: str, root: str, keys: Sequence[str], template: str) -> int:
+    """Moves the folders of a ``key=value`` layout to ``root``/``template`` (with
+    ``{key}`` places), as log delivery lays them out. Renames only; returns the
+    number of folders (one per combination of the keys)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(hive_root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    folders = [s.getPath() for s in fs.globStatus(path(hive_root.rstrip("/") + "".join(f"/{k}=*" for k in keys)))]
+    for folder in folders:
+        values, at = {}, folder
+        for key in reversed(keys):
+            values[key], at = at.getName().split("=", 1)[1], at.getParent()
+        target = path(f"{root.rstrip('/')}/{template.format(**values)}")
+        fs.mkdirs(target.getParent())
+        if not fs.rename(folder, target):
+            raise OSError(f"cannot move {folder} to {target}")
+    return len(folders)
+
+
 def write_raw_dns_logs(dns: DataFrame, path: str, compression: str = "gzip") -> None:
     """Curated DNS rows as JSON lines in the ``hive`` layout
     (account_id/vpc_id/year/month/day directories)."""

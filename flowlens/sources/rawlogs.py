@@ -5,7 +5,8 @@ missing values, usually gzip. Each file may order its columns differently, so
 lines are read as text and every value is looked up by name in *its own
 file's* header (header table broadcast; it has one row per input file, a
 bound known from the file listing). No column can be silently swapped. The headers come from a
-probe that reads the beginning of each file and stops, so the data are scanned once.
+probe that reads the beginning of each file and stops, so the data are scanned once;
+files too small to be worth a task each are searched in a scan of their own.
 
 DNS logs: JSON lines read with an explicit schema (no inference pass). What a
 record holds beside the schema -- new fields, answers with further fields, lines that aren't
@@ -159,12 +160,14 @@ def _report(missing: list[str]) -> None:
         log.warning("no input at %d of the listed paths: %s", len(missing), ", ".join(missing))
 
 
-def read_flow_logs(spark: SparkSession, paths, layout: str = "aws", default_fields: list[str] | None = None) -> DataFrame:
+def read_flow_logs(spark: SparkSession, paths, layout: str = "aws", default_fields: list[str] | None = None,
+                   probe_from: int = 1 << 20) -> DataFrame:
     """Raw flow-log text -> curated columns (typed, '-' -> NULL, raw account
     and region kept as log_account_id/log_region, partitions from the path).
     Listed paths without input are reported and left out; if none has any, the
     result is an empty frame with the curated schema. Files without a header line
-    are read in the order of ``default_fields`` (default: ``RAW_FLOW_FIELDS``)."""
+    are read in the order of ``default_fields`` (default: ``RAW_FLOW_FIELDS``).
+    Headers are probed file by file if the files have ``probe_from`` bytes on average."""
     found, missing = existing_paths(spark, paths)
     _report(missing)
     if not found:
@@ -175,7 +178,8 @@ def read_flow_logs(spark: SparkSession, paths, layout: str = "aws", default_fiel
         return _empty(spark, flow_schema_ddl())
     path_cols = [RAW_HIVE_FLOW_KEYS[c] for c in FLOW_PARTITIONS if layout == "hive"]
     staged = lines.select(F.col("_metadata.file_path").alias("_file"), "value", *path_cols)
-    return normalize_lines(staged, layout, n_files, default_fields, first_lines(spark, found))
+    size = int(str(lines._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))      # of the files listed
+    return normalize_lines(staged, layout, n_files, default_fields, first_lines(spark, found) if size >= probe_from * n_files else None)
 
 
 # one task per file, which hands over a few rows at a time
