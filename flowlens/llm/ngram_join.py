@@ -42,7 +42,10 @@ The estimated frequencies only order the shingles, so an error there costs time
 and never a link. They are counted per chunk of rows (shingles seen at least
 twice in a chunk, so every shingle of more documents than there are chunks is
 found), summed over the corpus, and the ``FREQUENT`` highest are shipped to the
-tasks (16 bytes each: the bound of that broadcast).
+tasks (16 bytes each: the bound of that broadcast). Posting entries of those shingles go on as they
+are; the others are shuffled once, by shingle, and an entry stays if a neighbour in
+the sorted order has the same shingle. So nothing of the size of the corpus is broadcast, and the shingles
+that share a task by their hash are rare ones.
 
 Defined results: documents without words (or null) have n_shingles 0 and are
 linked with nothing: their component_id is their own id; repeated rows are
@@ -56,8 +59,9 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from ..functions.names import unused
 from .common import Memo, map_arrow, materialize, splitmix, table, word_hash
 from .components import components
 
@@ -67,7 +71,6 @@ LONGEST = 8               # largest m of the m-prefixes
 NEAR = 25                 # a head's differences are used for sets within so many percent below the threshold
 LEADERS = 8               # members per posting compared with the rest in round two; doubled from round to round
 FINISH = 4                # all remaining pairs are tried once they are this few per posting entry
-TOKEN_SLOTS = 1 << 20     # slots of the broadcast that picks the posting entries of shared shingles
 SLOTS = 1 << 20           # slots of the broadcast that picks the documents whose whole sets are needed
 
 
@@ -182,20 +185,21 @@ def lists(arrays: list[np.ndarray], kind=np.int64) -> pa.ListArray:
 
 def _prefixes(batches, frequent, size: int, percent: int):
     """Per row: digest of its set, size, m, rank (small: shares most with
-    others), sketch and the m-prefix."""
+    others), sketch, the m-prefix, and how many shingles of it (the first ones)
+    aren't among the frequent ones."""
     token, count = frequent.value["token"], frequent.value["c"]
     maybe = np.zeros(1 << 22, bool)              # spares most look-ups
     low = np.uint64(len(maybe) - 1)
     maybe[token & low] = True
     memo = Memo(word_hash)
     for b in batches:
-        digests, sizes, ms, ranks, sketches, prefixes = [], [], [], [], [], []
+        digests, sizes, ms, ranks, sketches, prefixes, rares = [], [], [], [], [], [], []
         for t in b.column(1).to_pylist():
             s = shingle_set(t, size, memo)
             n = len(s)
             sizes.append(n)
             if not n:
-                digests.append(None), ms.append(0), ranks.append(0), sketches.append(None), prefixes.append(s)
+                digests.append(None), ms.append(0), ranks.append(0), sketches.append(None), prefixes.append(s), rares.append(0)
                 continue
             hit = np.flatnonzero(maybe[s & low])
             at = np.minimum(np.searchsorted(token, s[hit]), max(len(token) - 1, 0))
@@ -207,13 +211,13 @@ def _prefixes(batches, frequent, size: int, percent: int):
             m = choose_prefix(n - len(hit), f[order], n, percent)
             p = min(n, n - least_overlap(n, percent) + m)
             first = s[rare][:p]
-            digests.append(digest(s)), ms.append(m), sketches.append(sketch(s))
+            digests.append(digest(s)), ms.append(m), sketches.append(sketch(s)), rares.append(len(first))
             ranks.append(int(1_000_000 * (n - len(hit)) / n))
             prefixes.append(first if len(first) == p else np.concatenate([first, s[hit[order][:p - len(first)]]]))
         yield pa.RecordBatch.from_arrays(
             [b.column(0), b.column(2), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), pa.array(ms, pa.int32()),
-             pa.array(ranks, pa.int32()), pa.array(sketches, pa.binary()), lists(prefixes)],
-            ["doc_id", "text_hash", "digest", "n", "m", "rank", "sketch", "prefix"])
+             pa.array(ranks, pa.int32()), pa.array(sketches, pa.binary()), lists(prefixes), pa.array(rares, pa.int32())],
+            ["doc_id", "text_hash", "digest", "n", "m", "rank", "sketch", "prefix", "n_rare"])
 
 
 def _sets(batches, size: int):
@@ -298,6 +302,7 @@ def _linked_by_differences(near: DataFrame, percent: int) -> DataFrame:
     a = near.select("nid", "h", "n", "linked", (F.size("delta") - c * F.col("n")).alias("a"))
     lowest = a.groupBy("h").agg(F.min(F.when(F.col("linked"), F.col("a"))).alias("low_linked"),
                                 F.min(F.when(~F.col("linked"), F.col("a"))).alias("low_other")).where("low_other is not null")
+    lowest = materialize(lowest, "ngram-lowest")         # its real size decides the joins: a large head's members stay spread
     least = lambda low: F.greatest(F.lit(1), F.ceil((F.col("a") + low) / 2 - 1e-6))
     a = a.join(lowest, "h").select(
         "h", "nid", "n", "linked", F.when(~F.col("linked"), least(F.col("low_other"))).alias("own"),
@@ -339,21 +344,21 @@ def jaccard_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     frequent = spark.sparkContext.broadcast(frequencies(src, size))
     rows = materialize(map_arrow(
         src.select("doc_id", "text", F.xxhash64("text").alias("text_hash")), lambda b: _prefixes(b, frequent, size, percent),
-        "doc_id long, text_hash long, digest binary, n long, m int, rank int, sketch binary, prefix array<long>"), "ngram-rows")
+        "doc_id long, text_hash long, digest binary, n long, m int, rank int, sketch binary, prefix array<long>, n_rare int"), "ngram-rows")
     own = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")     # null ids last
     nodes = materialize(
         rows.where("digest is not null").groupBy("digest").agg(
             F.min(own).alias("best"), F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("m").alias("m"), F.first("rank").alias("rank"),
-            F.first("sketch").alias("sketch"), F.first("prefix").alias("prefix")).withColumn("nid", F.monotonically_increasing_id()), "ngram-nodes")
-
-    # posting entries of the shingles that stand in two or more prefixes
-    entries = nodes.select("nid", F.explode("prefix").alias("token"))
-    shared = materialize(entries.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token"), "ngram-shared")
-    # most entries stand alone: a bounded broadcast of token slots drops nearly all of them before the exact join
-    slot = F.pmod("token", F.lit(TOKEN_SLOTS)).cast("int")
-    taken = F.broadcast(shared.select(slot.alias("slot")).distinct())
-    active = materialize(entries.withColumn("slot", slot).join(taken, "slot", "left_semi").drop("slot").join(shared, "token")
-                         .join(nodes.select("nid", "n", "rank"), "nid"), "ngram-postings")
+            F.first("sketch").alias("sketch"), F.first("prefix").alias("prefix"), F.first("n_rare").alias("n_rare"))
+        .withColumn("nid", F.monotonically_increasing_id()), "ngram-nodes")
+
+    # posting entries of the shingles that stand in two or more prefixes: the frequent ones as they are, the
+    # others (nearly all of which stand alone) sorted by shingle, where an equal neighbour tells
+    often = nodes.select("nid", F.explode(F.expr("slice(prefix, n_rare + 1, size(prefix))")).alias("token"))
+    rare = nodes.select("nid", F.explode(F.expr("slice(prefix, 1, n_rare)")).alias("token"))
+    posting = Window.partitionBy("token").orderBy("nid")
+    rare = rare.select("*", F.coalesce(F.lag("nid").over(posting), F.lead("nid").over(posting)).alias("other")).where("other is not null").drop("other")
+    active = materialize(often.unionByName(rare).join(nodes.select("nid", "n", "rank"), "nid"), "ngram-postings")
     # round one: each posting's most central member against the others, and the others among themselves
     # through their differences from it
     heads = materialize(active.groupBy("token").agg(F.min(F.struct("rank", "nid", "n")).alias("head"))
@@ -413,8 +418,6 @@ def jaccard_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
 def _smallest(entries: DataFrame, by, k: int) -> DataFrame:
     """The k smallest entries of each token (a group limit before the shuffle)."""
-    from pyspark.sql import Window
-
     ordered = entries.withColumn("at", F.row_number().over(Window.partitionBy("token").orderBy(by)))
     return ordered.where(F.col("at") <= k).select("token", "nid2", "n2", "root2", "home2")
 
@@ -426,12 +429,13 @@ def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     classes = materialize(jaccard_classes(docs, size, percent), "ngram-classes")
     stands = classes.where("n_shingles = 0 or (doc_id <=> component_id and text_hash = leader_hash)")
     mark = materialize(stands.groupBy("doc_id", "text_hash").agg(
-        F.count(F.lit(1)).alias("__rows"), F.max("n_shingles").alias("__n")), "ngram-kept")
-    key = lambda: [F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), F.xxhash64(F.col("text").cast("string")) == F.col("__hash")]
-    mark = mark.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "__rows", "__n")
+        F.count(F.lit(1)).alias("rows"), F.max("n_shingles").alias("n")), "ngram-kept")
+    of_id, of_hash = unused(docs.columns, "mark_id", "mark_hash")
+    key = lambda: [F.col("doc_id").cast("long").eqNullSafe(F.col(of_id)), F.xxhash64(F.col("text").cast("string")) == F.col(of_hash)]
+    named = lambda rows: rows.select(F.col("doc_id").alias(of_id), F.col("text_hash").alias(of_hash))
     # a row that comes once (or has no words) needs no look at its equals
-    once = docs.join(mark.where("__rows = 1 or __n = 0"), key(), "left_semi")
-    again = mark.where("__rows > 1 and __n > 0")
+    once = docs.join(named(mark.where("rows = 1 or n = 0")), key(), "left_semi")
+    again = named(mark.where("rows > 1 and n > 0"))
     if again.isEmpty():
         return once
     return once.unionByName(docs.join(again, key(), "left_semi").dropDuplicates(["doc_id", "text"]))
