@@ -12,24 +12,30 @@ def frame(spark, rows):
 
 
 def brute(rows, k, modulo):
-    best = {}
+    """Every different (id, vector) is a query; candidates are all rows but one copy of it."""
+    every = []
     for i, v in rows:
         if i is not None and v is not None and len(v) and all(x is not None and np.isfinite(x) for x in v) and any(v):
-            v = [float(np.float32(x)) for x in v]
-            best[i] = min(best.get(i, v), v)
+            every.append((i, tuple(float(np.float32(x)) for x in v)))
     out = {}
-    for q in best:
-        if q % modulo == 0:
-            scores = [(-sum(a * b for a, b in zip(best[q], v)), i) for i, v in best.items() if i != q]
-            out[q] = [(i, -s) for s, i in sorted(scores)[:k]]
-    return out
+    for q in set(every):
+        if q[0] % modulo == 0:
+            others = list(every)
+            others.remove(q)
+            scores = [(-sum(a * b for a, b in zip(q[1], v)), i) for i, v in others]
+            out.setdefault(q[0], []).append([(i, -s) for s, i in sorted(scores)[:k]])
+    return {q: sorted(x for near in lists for x in near) if len(lists) > 1 else lists[0] for q, lists in out.items()}
 
 
 def run(spark, rows, k=20, modulo=20, **how):
     out = {}
     for r in sorted(C.nearest(frame(spark, rows), F.col("vec_id") % modulo == 0, k, **how).collect(), key=lambda r: (r.query_id, r.rank)):
-        out.setdefault(r.query_id, []).append((r.vec_id, r.score))
-        assert r.rank == len(out[r.query_id])
+        out.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    for q, near in out.items():
+        ranks = [n for n, *_ in near]
+        several = ranks.count(1)
+        assert ranks == sorted(list(range(1, len(ranks) // several + 1)) * several)
+        out[q] = [x[1:] for x in near] if several == 1 else sorted(x[1:] for x in near)
     return out
 
 
@@ -64,6 +70,41 @@ def test_odd_vectors_ties_and_copies(spark):
     assert run(spark, rows, 20, 20) == brute([r for r in rows if r[0] != 306], 20, 20)
 
 
+def test_many_ties_keep_the_smallest_ids(spark):
+    """Hundreds of different vectors at the same score, in one block and over several."""
+    r = np.random.default_rng(5)
+    rows = []
+    for k in range(700):
+        v = r.choice([-1.0, 1.0], 16)
+        rows.append((k + 1, [1.0, *v]))
+    rows += [(20 * k + 10_000, [1.0] + [0.0] * 16) for k in range(3)]
+    rows = [(i, v) for i, v in rows if i % 20 or i >= 10_000]
+    assert run(spark, rows, 20, 20) == brute(rows, 20, 20)
+    q, qv = np.array([5]), np.ones((1, 4))
+    c, cv = np.arange(300)[::-1].copy(), np.ones((300, 4))
+    assert C.best_of_block(q, qv, c, cv, 20)[1].tolist() == list(range(20))
+
+
+def test_concatenated_hashes(spark):
+    """Small buckets ask for two hashes per table; recall holds with the probes that go with them."""
+    r = np.random.default_rng(6)
+    centres = r.normal(size=(8, 32))
+    rows = [(k, v / np.linalg.norm(v)) for k, v in enumerate(centres[r.integers(0, 8, 1500)] + r.normal(size=(1500, 32)))]
+    assert C.hashes_for(1500, 32, 16) == 2 and C.hashes_for(1500, 32) == 1
+    got, want = run(spark, rows, bucket=16), brute(rows, 20, 20)
+    assert np.mean([len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 20 for q in want]) >= 0.9
+
+
+def test_buckets_of_two_hashes():
+    x = np.random.default_rng(0).normal(size=(5, 8))
+    h = C.buckets(x, 1, 3, 2)
+    one, two = (np.concatenate([C.rotate(x, s), -C.rotate(x, s)], axis=1) for s in (C.SEED * 1000, C.SEED * 1000 + 100_000))
+    for k in range(5):
+        a, b = np.argsort(-one[k])[:3], np.argsort(-two[k])[:3]
+        loss = {int(i) * 16 + int(j): (one[k].max() - one[k][i]) ** 2 + (two[k].max() - two[k][j]) ** 2 for i in a for j in b}
+        assert h[k, 0].tolist() == sorted(loss, key=loss.get)[:3]
+
+
 def test_few_and_no_vectors(spark):
     rows = [(k, [1.0, k]) for k in range(5)]
     assert run(spark, rows, 20, 2) == brute(rows, 20, 2)
