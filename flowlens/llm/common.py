@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.names import unused
 from ..session import materialize, prepare  # noqa: F401  (re-exported to the operators)
 
 # rows per Arrow batch handed to Python: a batch of texts stays at a few MB
@@ -48,6 +49,14 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return df.mapInArrow(run, schema)
 
 
+def plain_names(columns: list[str]) -> list[str]:
+    """``columns`` with other names for those that mapInArrow can't address
+    (with dots or backquotes): rename by toDF before, and back after."""
+    odd = [c for c in columns if "." in c or "`" in c]
+    other = dict(zip(odd, unused(columns, *[f"plain_{k}" for k in range(len(odd))])))
+    return [other.get(c, c) for c in columns]
+
+
 def splitmix(x: np.ndarray) -> np.ndarray:
     """Finaliser of splitmix64: every input bit moves every output bit."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -86,6 +95,16 @@ def labelled(labels: DataFrame, column: str) -> DataFrame:
             .groupBy("doc_id").agg(F.max(column).alias(column)))
 
 
+def sampled_texts(docs: DataFrame, sample: DataFrame) -> DataFrame:
+    """(doc_id, text, further columns of ``sample``): one row per doc_id of the
+    sample, at most as many rows as it has. Of rows that repeat an id the text with
+    the smallest hash counts; they are reduced per task before the shuffle."""
+    more = [c for c in sample.columns if c != "doc_id"]
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id")
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("one")
+    return rows.groupBy("doc_id", *more).agg(one).select("doc_id", F.col("one.text").alias("text"), *more)
+
+
 def bounded_sample(rows: DataFrame, key: str, n: int) -> DataFrame:
     """At most ``n`` rows, those with the smallest hash of ``key``: the same
     rows at every run, whatever the partitioning."""

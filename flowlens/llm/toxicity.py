@@ -9,15 +9,17 @@ and a coordinate whose ``|z|`` stays within the L1 strength has weight zero. The
 therefore the short list of non-zero weights, which is broadcast.
 
 Training is bounded: at most ``TRAIN_ROWS`` labelled documents (those with the
-smallest hash of their id, the same at every run), out of the rows whose
-crc32(doc_id as text) mod 5 is not 0, in one task. Scoring covers every row and
-the whole text, is a map without a shuffle, and never reads lang, source or
-labels.
+smallest hash of their id, the same at every run; one text per id, the one of
+smallest hash), out of the ids whose crc32(doc_id as text) mod 5 is not 0, in one
+task. Scoring covers every row and the whole text, is a map without a shuffle, and
+never reads lang, source or labels.
 
 Defined results: a null text counts as empty and gets the score of the bias
-alone; without any usable label (or with one class only) every score is the
-smoothed share of toxic labels; repeated documents keep their rows; a null
-doc_id is scored, with held_out null; an empty table gives an empty result."""
+alone; without any usable label every score is a quarter, with labels of one class only
+the share of toxic ones, smoothed by half a toxic and one and a half clean texts -- in
+both cases nothing is known of the texts, so ``keep_clean`` keeps them all;
+repeated documents keep their rows; a null doc_id is scored, with held_out null; an
+empty table gives an empty result. Columns of any name pass ``keep_clean`` unchanged."""
 
 from __future__ import annotations
 
@@ -26,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import Memo, bounded_sample, labelled, map_arrow, splitmix, table, word_hash
+from ..functions.names import quoted, unused
+from .common import Memo, bounded_sample, labelled, map_arrow, plain_names, sampled_texts, splitmix, table, word_hash
 
 BITS = 20                 # hashed coordinates: 2^20
 TRAIN_ROWS = 10_000       # bound on the labelled documents trained on
@@ -90,7 +93,7 @@ def _fit(batches, bits: int, epochs: int):
     rows.sort(key=lambda r: (r[0], r[1].tobytes()))
     data = [(f, t) for _, f, t in rows]
     toxic = sum(t for _, t in data)
-    prior = float(np.log((toxic + 0.5) / (len(data) - toxic + 0.5)))
+    prior = float(np.log((toxic + 0.5) / (len(data) - toxic + 1.5)))
     model = Ftrl(1 << bits, L1_ROOT * len(data) ** 0.5)
     if 0 < toxic < len(data):
         for epoch in range(epochs):
@@ -110,17 +113,19 @@ def training_rows(docs: DataFrame, labels: DataFrame, n: int = TRAIN_ROWS) -> Da
     """(doc_id, text, toxic, h) of the bounded sample of labelled documents."""
     usable = labelled(labels, "toxic").where(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) != 0)
     sample = bounded_sample(usable.select("doc_id", F.greatest(F.lit(0), F.least(F.lit(1), "toxic")).alias("toxic")), "doc_id", n)
-    # at most n small rows: the bound of the broadcast
-    return docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").withColumn("h", F.xxhash64("doc_id"))
+    # at most n small rows: the bound of the broadcast, and of what is trained on
+    return sampled_texts(docs, sample).withColumn("h", F.xxhash64("doc_id"))
 
 
 def train(docs: DataFrame, labels: DataFrame, n: int = TRAIN_ROWS, bits: int = BITS, epochs: int = EPOCHS) -> dict[str, np.ndarray]:
+    """at, weight (the non-zero ones), bias; nothing in ``at`` if the labels don't
+    hold both classes."""
     features = map_arrow(training_rows(docs, labels, n), lambda batches: _features(batches, bits), "h long, toxic int, features array<int>")
     # the sample only (at most n rows) meets in one task; the scan stays parallel
     rows = map_arrow(features.repartition(1), lambda batches: _fit(batches, bits, epochs), "at int, weight double").toArrow().to_pydict()
     at, weight = np.array(rows["at"], np.int64), np.array(rows["weight"])
-    if not len(at):      # no partition at all: an empty documents table
-        return {"at": at, "weight": weight, "bias": np.zeros(1)}
+    if not len(at):      # no partition at all: no labelled document
+        return {"at": at, "weight": weight, "bias": np.log(np.array([0.5 / 1.5]))}
     return {"at": at[at >= 0], "weight": weight[at >= 0].astype(np.float32), "bias": weight[at < 0][:1]}
 
 
@@ -139,7 +144,8 @@ def score(docs: DataFrame, model: dict[str, np.ndarray], column: str = "score",
             scores = pa.array(1 / (1 + np.exp(-np.clip(np.array(sums, np.float64), -35, 35))), pa.float64())
             yield pa.RecordBatch.from_arrays([*b.columns, scores], [*b.schema.names, column])
 
-    return map_arrow(docs, run, StructType([*docs.schema.fields, StructField(column, DoubleType())]))
+    flat = docs.toDF(*plain_names(docs.columns))
+    return map_arrow(flat, run, StructType([*flat.schema.fields, StructField(column, DoubleType())])).toDF(*docs.columns, column)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -151,9 +157,13 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that aren't predicted toxic, unchanged."""
-    verdict = "__toxicity"
-    return score(docs, train(docs, labels), verdict).where(F.col(verdict) < 0.5).drop(verdict)
+    """The rows of ``docs`` that aren't predicted toxic, unchanged; all of them
+    if the labels teach nothing (see above)."""
+    model = train(docs, labels)
+    if not len(model["at"]):
+        return docs
+    verdict, = unused(docs.columns, "toxicity")
+    return score(docs, model, verdict).where(F.col(verdict) < 0.5).select(*map(quoted, docs.columns))
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -120,3 +120,16 @@ def test_memo_only_caches():
     memo["ccc"]
     memo.trim()
     assert not memo
+
+
+def test_labels_without_verdict_keep_the_corpus(spark, tmp_path):
+    """Documents without any label: the classifier and the certified rules reject nothing."""
+    words = [f"w{k}" for k in range(400)]
+    rows = [(k, " ".join(words[(k * 7 + j * (k % 11 + 1)) % 400] + str(k) for j in range(30)), "en", "s", 1) for k in range(50)]
+    spark.createDataFrame(rows, COLUMNS).write.parquet(f"{tmp_path}/documents.parquet")
+    labels(spark, []).write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in P.STAGES[:-1]:
+        docs = materialize(stage(spark, docs, str(tmp_path)))
+        assert docs.count() == 50, name
+    assert {r.doc_id for r in P.run(spark, str(tmp_path)).collect()} == set(range(50))

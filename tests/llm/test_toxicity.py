@@ -82,3 +82,33 @@ def test_odd_rows(spark):
         assert len({r.score for r in got if r.doc_id in (1, 2, 3)}) == 1
     empty = documents(spark, [])
     assert T.toxicity(empty, labels(spark, [])).collect() == []
+
+
+def test_labels_that_teach_nothing_reject_nothing(spark):
+    """No labels, or one class only: no verdict, so the corpus stays."""
+    docs = documents(spark, corpus(60)[0])
+    for marks in ([], [(k, 1, 1) for k in range(60)], [(k, 1, 0) for k in range(60)], [(k, None, None) for k in range(60)]):
+        marked = labels(spark, marks)
+        assert T.keep_clean(docs, marked).count() == 60
+        scores = {r.score for r in T.toxicity(docs, marked).collect()}
+        assert len(scores) == 1 and (scores.pop() < 0.5 or marks[0][2] == 1)
+
+
+def test_sample_is_bounded_by_rows(spark):
+    """One id repeated over a third of the rows is one training text; always the same one."""
+    rows, marks = corpus(200)
+    hot = [(7, f"other text {k} of the repeated id") for k in range(3000)]
+    docs = documents(spark, rows + hot)
+    for n in (10, 1000):
+        sample = T.training_rows(docs, labels(spark, marks), n).collect()
+        assert len(sample) <= n and len({r.doc_id for r in sample}) == len(sample)
+    assert zlib.crc32(b"7") % 5 and 7 in {r.doc_id for r in sample}
+    again = T.training_rows(docs.repartition(13), labels(spark, marks), 1000).collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, sample))
+
+
+def test_columns_of_any_name_stay(spark):
+    rows, marks = corpus(300)
+    docs = documents(spark, rows).selectExpr("*", "1 as toxicity", "2 as __toxicity", "3 as `a.b`")
+    kept = T.keep_clean(docs, labels(spark, marks))
+    assert kept.columns == docs.columns and 0 < kept.count() < 300
