@@ -61,17 +61,22 @@ named AS (SELECT rid, i, array_to_string(w[i:i + 4], ' ') AS g FROM windows),
 again AS (SELECT rid, i FROM named QUALIFY count(*) OVER (PARTITION BY rid, g) > 1),
 covered AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest(range(i, i + 5)) AS p FROM again) GROUP BY rid),
 stats AS (
-  SELECT rid, doc_id, lang, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+  SELECT rid, doc_id, lang, t, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
     CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, len(lines) AS n_lines,
     CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words
   FROM parts LEFT JOIN covered USING (rid)
 ),
 verdict AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM stats),
-scored AS (SELECT rid, doc_id, lang, base_failed, unnest([{rules}], recursive := true) FROM verdict),
+scored AS (SELECT rid, lang, unnest([{rules}], recursive := true) FROM verdict),
 good AS (SELECT doc_id, max(quality) AS quality FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
+by_id AS (
+  SELECT rid, doc_id, quality, md5(t) AS digest FROM verdict JOIN good USING (doc_id) WHERE NOT base_failed
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY md5(t), lang NULLS FIRST) = 1
+),
+trials AS (SELECT rid, quality FROM by_id QUALIFY row_number() OVER (PARTITION BY digest ORDER BY doc_id) = 1),
 counts AS (
   SELECT lang, rule, bin, count(*) FILTER (quality <> 0) AS good, count(*) FILTER (quality = 0) AS bad
-  FROM scored JOIN good USING (doc_id) WHERE NOT base_failed GROUP BY ALL
+  FROM scored JOIN trials USING (rid) GROUP BY ALL
 ),
 refused AS (
   SELECT lang, rule, bin, sum(good) OVER stricter AS k, sum(bad) OVER stricter AS caught,

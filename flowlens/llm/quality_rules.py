@@ -3,8 +3,9 @@
 Per document, word and line statistics are computed inside the row. Each rule
 maps one statistic to a *badness* of 0..1000 and rejects from a cutoff on. The
 cutoffs are not set by hand: for every stratum (``lang``) and rule, the good
-documents of the labelled holdout are counted by badness, and a cutoff may be
-used only if the exact binomial test rejects "the rule refuses more than
+documents of the labelled holdout are counted by badness -- one trial per distinct text,
+however many copies or rows of one id there are, since copies aren't independent --
+and a cutoff may be used only if the exact binomial test rejects "the rule refuses more than
 ``alpha`` of the stratum's good documents" at level
 ``delta / (number of strata * number of rules)``. That test is the exact
 (Clopper-Pearson) upper bound, read the other way round: the bound is at most
@@ -21,14 +22,16 @@ gets no cutoff.
 Defined results: a null text has no words, lines or symbols and fails the base
 rule; a null ``lang`` is a stratum of its own; a stratum without labels gets no
 cutoffs (only the base rule rejects there); repeated documents keep their rows;
-repeated labels of a document count as the largest; an empty table gives an
-empty result. Other columns of the inputs are not read.
+repeated labels of a document count as the largest; equal texts count as their
+smallest labelled id; an empty table gives an empty result. Other columns of the
+inputs are not read; ``keep_good`` passes columns of any name.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from ..functions.names import quoted
 from .common import labelled, materialize, table
 
 ALPHA = 0.02          # false rejection allowed per rule and stratum
@@ -39,19 +42,20 @@ SPACE = r"[\x20\x09-\x0D]+"
 
 def word_statistics(docs: DataFrame, carry: bool = False) -> DataFrame:
     """docs(doc_id, text, ...) -> doc_id, lang, n_words, word_chars, n_symbols,
-    n_lines, n_dup_lines, n_repeat_words; with ``carry`` also the whole row of
-    docs as the struct ``__row``. One pass, no shuffle.
+    n_lines, n_dup_lines, n_repeat_words, text_md5; with ``carry`` also the whole
+    row of docs as the struct ``whole_row``. One pass, no shuffle.
 
     Repeated 5-word windows are found on 64-bit hashes of the windows: equal
     windows always meet, different ones collide with a chance below n^2 / 2^64
     within a text."""
     text = F.coalesce("text", F.lit(""))
     lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
-    kept = ["__row"] if carry else []
-    d = docs.select(*[F.struct(*docs.columns).alias(c) for c in kept], F.col("doc_id").cast("long").alias("doc_id"),
+    kept = ["whole_row"] if carry else []
+    d = docs.select(*[F.struct(*map(quoted, docs.columns)).alias(c) for c in kept], F.col("doc_id").cast("long").alias("doc_id"),
                     lang.cast("string").alias("lang"), text.alias("text"))
+    kept = [*kept, "text_md5"]
     d = d.select(
-        *kept, "doc_id", "lang",
+        *kept[:-1], F.md5("text").alias("text_md5"), "doc_id", "lang",
         F.array_remove(F.split("text", SPACE), "").alias("words"),
         F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
         (F.length("text") - F.length(F.regexp_replace("text", r"[#*$%&|<>]+", ""))).alias("n_symbols"))
@@ -128,9 +132,13 @@ def select_cutoffs(statistics: DataFrame, quality: DataFrame, alpha: float = ALP
     """(lang, rule, cutoff): refuse from ``cutoff`` on. ``quality`` holds
     (doc_id, quality 1 good / 0 bad). At most strata * rules rows."""
     held = statistics.where(~base_failed()).join(quality, "doc_id")
+    bins = F.struct("lang", *[b().alias(r) for r, b in RULES.items()])
+    # independent trials: of an id one text (smallest digest), of a text one id (the smallest)
+    by_id = held.groupBy("doc_id", "quality").agg(F.min(F.struct("text_md5", bins.alias("bins"))).alias("own"))
+    trials = by_id.groupBy("own.text_md5").agg(F.min(F.struct("doc_id", "quality", "own.bins")).alias("first")).select("first.quality", "first.bins.*")
     bad = F.col("quality") == 0
-    long = held.select("lang", bad.alias("bad"), F.explode(F.map_from_arrays(
-        F.array(*[F.lit(r) for r in RULES]), F.array(*[b() for b in RULES.values()]))).alias("rule", "bin"))
+    long = trials.select("lang", bad.alias("bad"), F.explode(F.map_from_arrays(
+        F.array(*[F.lit(r) for r in RULES]), F.array(*RULES))).alias("rule", "bin"))
     counts = materialize(long.groupBy("lang", "rule", "bin").agg(
         F.count_if(~F.col("bad")).alias("good"), F.count_if("bad").alias("bad")), "quality-counts")
     # one row per stratum, rule and occurring badness (1001 at most): small windows
@@ -177,7 +185,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: f
     is shuffled."""
     statistics = materialize(word_statistics(docs), "quality-statistics")
     cutoffs = select_cutoffs(statistics, labelled(labels, "quality"), alpha, delta)
-    return apply_cutoffs(word_statistics(docs, carry=True), cutoffs).where("kept").select("__row.*")
+    return apply_cutoffs(word_statistics(docs, carry=True), cutoffs).where("kept").select("whole_row.*")
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -99,3 +99,24 @@ def test_odd_rows(spark):
 def test_plan_has_no_python(spark):
     plan = Q.quality_rules(documents(spark, odd_rows()[:3]), labels(spark, [(1, 1, 0)]))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
+
+
+def test_copies_are_one_trial(spark):
+    """One labelled id or one text, however often repeated, certifies nothing."""
+    bad = [(1000 + k, "###".join("abcdefgh") + " " + " ".join(f"bad{k}x{j}###" for j in range(20))) for k in range(30)]
+    marks = [(1000 + k, 0, 0) for k in range(30)] + [(5, 1, 0)] + [(2000 + k, 1, 0) for k in range(400)]
+    fine = " ".join(f"word{j}" for j in range(40))
+    same_id = [(5, fine + f" {k}") for k in range(400)]
+    same_text = [(2000 + k, fine) for k in range(400)]
+    quality = labelled(labels(spark, marks), "quality")
+    for good in (same_id, same_text, same_id + same_text):
+        stats = Q.word_statistics(documents(spark, good + bad))
+        assert Q.select_cutoffs(stats, quality).collect() == []
+    different = [(2000 + k, " ".join(f"word{j}and{k}" for j in range(40))) for k in range(400)]
+    assert Q.select_cutoffs(Q.word_statistics(documents(spark, different + bad)), quality).collect() != []
+
+
+def test_columns_of_any_name_stay(spark):
+    docs = documents(spark, odd_rows()).selectExpr("*", "1 as `a.b`", "2 as whole_row", "3 as text_md5", "4 as n_words")
+    kept = Q.keep_good(docs, labels(spark, []))
+    assert kept.columns == docs.columns and [r.doc_id for r in kept.collect()] == [5]
