@@ -327,8 +327,9 @@ def dedup(index: LineIndex, docs: DataFrame, postings: DataFrame | None = None)
     postings = postings_of(docs) if postings is None else postings
     asked = postings.select("k1", "k2").distinct()
     shared = materialize(_probe(asked, index, 2).join(index.refs.where("owner < last"), ["k1", "k2"]).select("k1", "k2", "owner"), "lines-shared")
-    gone = postings.join(shared, ["k1", "k2"]).where("doc <> owner").select("doc", "row", "k1", "k2").distinct()
-    lists = gone.groupBy("doc", "row").agg(F.collect_list(F.struct("k1", "k2")).alias("gone"))      # keys of one text
+    gone = postings.join(shared, ["k1", "k2"]).where("doc <> owner").select("doc", "row", F.struct("k1", "k2").alias("key"))
+    # keys of one text, once each; grouped by other keys than the join's, so its hot keys may be split
+    lists = gone.groupBy("doc", "row").agg(F.collect_set("key").alias("gone"))
     named = _named(docs).withColumn("doc_id", F.col("doc"))
     met = named.join(lists, ["doc", "row"], "left").select(F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"), "text", "gone")
     return map_arrow(met, _rewrite, "doc_id long, n_lines long, n_dropped long, text string")
