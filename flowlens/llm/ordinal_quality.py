@@ -10,7 +10,7 @@ Features: the distinct words of a text, the shapes of its words (kinds of
 characters, runs collapsed) by their share, and shares of repeated lines and
 repeated words, all hashed to ``BITS`` bits. Training is bounded: at most
 ``TRAIN_ROWS`` rated documents (smallest hash of the id, out of the ids whose
-crc32 mod 5 is not 0), by Adagrad in one task; thresholds stay ordered because
+crc32 mod 5 is not 0; one text per id), by Adagrad in one task; thresholds stay ordered because
 their gaps are learned as logarithms. Scoring is a map over all rows and whole
 texts.
 
@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import Memo, bounded_sample, labelled, table, word_hash
+from .common import Memo, bounded_sample, labelled, sampled_texts, table, word_hash
 
 BITS = 18
 GRADES = 3
@@ -141,7 +141,7 @@ def _fit_task(batches):
 def train(docs: DataFrame, grades: DataFrame, n: int = TRAIN_ROWS) -> dict[str, np.ndarray]:
     usable = grades.where(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) != 0)
     sample = bounded_sample(usable, "doc_id", n)                      # n small rows at most: the bound of the broadcast
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").withColumn("h", F.xxhash64("doc_id"))
+    rows = sampled_texts(docs, sample).withColumn("h", F.xxhash64("doc_id"))
     features = rows.mapInArrow(_features_task, "h long, grade int, at array<int>, value array<float>")
     # the bounded sample meets in one task; the scan stays parallel
     model = features.repartition(1).mapInArrow(_fit_task, "at int, weight double").toArrow().to_pydict()
