@@ -17,7 +17,10 @@ base hit, and two bounded samples of distinct texts are taken (``TRAIN_ROWS`` wi
 a hit and as many without, smallest hash of the text), so however rare hits are,
 the field learns from them. The base patterns label stretches of ``LENGTH`` tokens
 around hits and a few others; the log-likelihood is maximised by Adam with exact
-forward-backward gradients, in one task.
+forward-backward gradients over ``EPOCHS`` passes (more if the sample is small) in batches of ``BATCH`` stretches, in one
+task. In a share of the stretches (``BLIND``, drawn anew each time) every token gets the neighbouring words and the
+file features of some other, ordinary token, so that shapes learn to tell a secret on their own and the field finds values that
+follow none of the patterns' key words.
 
 The base spans always stay; the field adds spans of kind ``crf``. Texts are
 scanned whole, without a shuffle.
@@ -38,12 +41,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import Memo, map_arrow, materialize, table
+from .common import Memo, map_arrow, materialize, plain_names, table
 
 TRAIN_ROWS = 2000         # texts with a base hit, and texts without, that the training stretches are taken from
 LENGTH = 24               # tokens of a stretch
 PER_DOC = 4               # stretches around hits and others taken from one document
-STEPS, RATE, RIDGE = 120, 0.1, 0.002
+EPOCHS, STEPS = 12, 300   # passes over the stretches, and steps, at least
+BATCH, RATE, RIDGE = 512, 0.05, 0.002
+BLIND = 0.4               # share of the stretches that are learned in the surroundings of ordinary tokens
 WORDS, SHAPES, FILES = 4096, 2048, 64
 KINDS = ("assign", "access", "hex", "crf")
 
@@ -94,7 +99,7 @@ def _describe(token: str) -> tuple[int, int, int]:
 class Reader:
     """text -> token arrays, describing each distinct token once."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 250_000):
         self.memo = Memo(self._add, limit)
         self._reset()
 
@@ -296,26 +301,39 @@ def likelihood_gradient(e: np.ndarray, valid: np.ndarray, tags: np.ndarray, move
     return value.mean(), g_e / n, g_move / n, g_first
 
 
-def fit(data: dict[str, np.ndarray], steps: int = STEPS) -> dict[str, np.ndarray]:
+def fit(data: dict[str, np.ndarray], epochs: int = EPOCHS) -> dict[str, np.ndarray]:
+    """Weights; every stretch is used in every pass, in a fixed random order."""
     sizes = {"shape": SHAPES, "two": WORDS, "one": WORDS, "next": WORDS, "file": FILES}
     w = {k: np.zeros((n, 3)) for k, n in sizes.items()} | {"move": np.zeros((3, 3)), "first": np.zeros(3)}
-    valid = data["tags"] >= 0
-    at = {k: data[k] for k in ("shape", "two", "one", "next")} | {"file": np.repeat(data["file"][:, None], LENGTH, 1)}
+    every = {k: data[k] for k in ("shape", "two", "one", "next")} | {"file": np.repeat(data["file"][:, None], LENGTH, 1)}
     m, v = {k: np.zeros_like(x) for k, x in w.items()}, {k: np.zeros_like(x) for k, x in w.items()}
-    for step in range(1, steps + 1):
-        e = sum(w[k][at[k]] for k in sizes)
-        _, g_e, g_move, g_first = likelihood_gradient(e, valid, data["tags"], w["move"], w["first"])
-        grads = {"move": g_move, "first": g_first}
-        for k, size in sizes.items():
-            flat = at[k].ravel()
-            grads[k] = np.stack([np.bincount(flat, g_e[..., y].ravel(), size) for y in range(3)], axis=1)
-        for k, x in w.items():
-            g = grads[k] * LENGTH - RIDGE * x
-            m[k] = 0.9 * m[k] + 0.1 * g
-            v[k] = 0.99 * v[k] + 0.01 * g * g
-            x += RATE * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(v[k] / (1 - 0.99 ** step)) + 1e-6)
-        w["move"] = np.clip(w["move"], -3, 3)     # keeps the bound of decode() narrow
-        w["first"] = np.clip(w["first"], -3, 3)
+    step, n = 0, len(data["tags"])
+    batches = max(1, -(-n // BATCH))
+    for epoch in range(max(epochs, -(-STEPS // batches))):
+        random = np.random.default_rng(epoch)
+        order = random.permutation(n)
+        for some in np.array_split(order, batches):
+            step += 1
+            at, tags = {k: x[some] for k, x in every.items()}, data["tags"][some]
+            blind = np.flatnonzero(random.random(len(some)) < BLIND)
+            row, col = np.nonzero(tags == 0)
+            if len(blind) and len(row):               # surroundings of tokens drawn from ordinary text
+                drawn = random.integers(0, len(row), (len(blind), LENGTH))
+                for k in ("two", "one", "next", "file"):
+                    at[k][blind] = every[k][some][row[drawn], col[drawn]]
+            e = sum(w[k][at[k]] for k in sizes)
+            _, g_e, g_move, g_first = likelihood_gradient(e, tags >= 0, tags, w["move"], w["first"])
+            grads = {"move": g_move, "first": g_first}
+            for k, size in sizes.items():
+                flat = at[k].ravel()
+                grads[k] = np.stack([np.bincount(flat, g_e[..., y].ravel(), size) for y in range(3)], axis=1)
+            for k, x in w.items():
+                g = grads[k] * LENGTH - RIDGE * x
+                m[k] = 0.9 * m[k] + 0.1 * g
+                v[k] = 0.99 * v[k] + 0.01 * g * g
+                x += RATE * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(v[k] / (1 - 0.99 ** step)) + 1e-6)
+            w["move"] = np.clip(w["move"], -3, 3)     # keeps the bound of decode() narrow
+            w["first"] = np.clip(w["first"], -3, 3)
     return {k: x.astype(np.float32) for k, x in w.items()}
 
 
@@ -401,7 +419,8 @@ def redact_documents(docs: DataFrame, w: dict) -> DataFrame:
             texts = [redact(t, scan(t, reader, model)[1]) for t in b.column("text").to_pylist()]
             yield b.set_column(b.schema.get_field_index("text"), "text", pa.array(texts, pa.string()))
 
-    done = map_arrow(docs, run, docs.schema)
+    flat = docs.toDF(*plain_names(docs.columns))
+    done = map_arrow(flat, run, flat.schema).toDF(*docs.columns)
     return done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else done
 
 
