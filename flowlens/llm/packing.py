@@ -11,9 +11,12 @@ bit yields how many pieces of each length are taken.
 
 Each task packs its own rows in blocks of ``BLOCK`` remainders (all lengths of
 a block meet in one dynamic programme; nothing crosses tasks, so there is no
-shuffle and a lost task is simply run again). A window still badly filled when a
-block ends goes back into the next one; only the last windows of a task may stay
-short. ``sequence_id`` is the task number and a counter.
+shuffle and a lost task is simply run again). A window that no choice of remainders
+fills up to ``window // SLACK`` is completed by cutting the longest remainder left (a run of
+equal long documents has no two that fit together); what is left of it is packed
+on. If none is left the window goes back into the next block, so only the
+last window of a task may stay short. ``sequence_id`` is the task number and a
+counter.
 
 Words are tokenized once per worker: the byte-level pre-tokenizer always starts a
 new piece at a space that follows a character other than white space and
@@ -28,6 +31,8 @@ from __future__ import annotations
 
 import sys
 import zlib
+from bisect import bisect_left, bisect_right, insort
+from itertools import islice
 from types import ModuleType
 
 import numpy as np
@@ -39,7 +44,8 @@ from .common import map_arrow, table
 WINDOW = 2048
 END_ID = 1
 BLOCK = 4096              # remainders packed together
-MEMO_PIECES = 1_000_000   # distinct pieces kept by a worker
+SLACK = 64                # a window may stay short by this part of its length without a cut
+MEMO_PIECES = 1_000_000   # distinct pieces kept by a worker (about 200 bytes each)
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long, sequence_tokens long")
 
@@ -53,9 +59,11 @@ def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
 class PieceEncoder:
     """text -> little-endian uint32 ids, equal to encoding the whole text."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memo: int = MEMO_PIECES):
         from tokenizers import Tokenizer
 
+        self.limit = memo
+
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True    # their strings are ordinary text
         self.tab = self.tokenizer.encode("\t", add_special_tokens=False).ids[0]
@@ -69,46 +77,46 @@ class PieceEncoder:
         """Encodes many pieces in a few calls: a tab between two pieces is a
         token of its own there (the next one begins with a space)."""
         memo = self.after_space
-        odd = {p for p in pieces if p.strip() != p or "\t" in p}
+        words = set(filter(str.isalnum, pieces))       # neither white space nor signs: nothing to look at
+        others = pieces - words
+        odd = {p for p in others if p.strip() != p or "\t" in p}
         self.spaced.update(p for p in odd if p[:1].isspace())
         # full stops and commas after a letter or digit are tokens of their own
-        cores = {p: c for p in pieces - odd if (c := p.rstrip(".,")) != p and c[-1:].isalnum()}
-        plain = list((pieces - odd - cores.keys()).union(cores.values()).difference(memo))
+        cores = {p: c for p in others - odd if (c := p.rstrip(".,")) != p and c[-1:].isalnum()}
+        words.update(set(cores.values()).difference(memo), others.difference(odd, cores))
+        plain, failed = list(words), list(odd)
         for i in range(0, len(plain), 2000):
             some = plain[i:i + 2000]
             raw = self._encode([" " + "\t ".join(some)])[0]
-            ids = np.frombuffer(raw, "<u4")
-            ends = (np.flatnonzero(ids == self.tab) * 4).tolist()
+            ends = (np.flatnonzero(np.frombuffer(raw, "<u4") == self.tab) * 4).tolist()
             if len(ends) == len(some) - 1:
-                for p, x, y in zip(some, [-4, *ends], [*ends, len(raw)]):
-                    memo[p] = raw[x + 4:y]
-        tails = {p: p[len(c):] for p, c in cores.items() if c in memo}
+                memo.update(zip(some, [raw[x:y] for x, y in zip([0, *[e + 4 for e in ends]], [*ends, len(raw)])]))
+            else:
+                failed += some
+        memo.update(zip(failed, self._encode([" " + p for p in failed])))
+        tails = {p: p[len(c):] for p, c in cores.items()}
         ends_with = dict(zip(set(tails.values()), self._encode(list(set(tails.values())))))
-        for p, tail in tails.items():
-            memo[p] = memo[cores[p]] + ends_with[tail]
-        rest = [p for p in pieces if p not in memo]
-        memo.update(zip(rest, self._encode([" " + p for p in rest])))
+        memo.update((p, memo[cores[p]] + ends_with[tail]) for p, tail in tails.items())
 
     def batch(self, texts: list[str]) -> list[bytes]:
         memo = self.after_space
-        if len(memo) > MEMO_PIECES:
+        if len(memo) > self.limit:
             memo.clear()
             self.spaced.clear()
         cut = [None if "  " in t or t[:1] == " " or t[-1:] == " " else t.split(" ") for t in texts]
         first = iter(self._encode([p[0] for p in cut if p]))
-        # one look-up per piece; those not known yet are learned together and filled in
-        found = [list(map(memo.get, p[1:])) if p else None for p in cut]
-        gaps = {k: [i for i, x in enumerate(f) if x is None] for k, f in enumerate(found) if f and None in f}
-        self._learn({cut[k][i + 1] for k, own in gaps.items() for i in own})
-        for k, own in gaps.items():
-            f, p = found[k], cut[k]
-            for i in own:
-                f[i] = memo[p[i + 1]]
-        done, whole = [], []
+        # the batch's distinct pieces that aren't known yet are learned together
+        distinct: set[str] = set()
+        for p in cut:
+            if p:
+                distinct.update(islice(p, 1, None))
+        self._learn(distinct.difference(memo))
+        odd = self.spaced & distinct
+        done, whole, get = [], [], memo.__getitem__
         for k, p in enumerate(cut):
             head = next(first) if p else b""
-            if p and (not self.spaced or self.spaced.isdisjoint(p)):
-                done.append(head + b"".join(found[k]))
+            if p and (not odd or odd.isdisjoint(p)):
+                done.append(head + b"".join(map(get, islice(p, 1, None))))
             else:
                 done.append(b"")
                 whole.append(k)
@@ -117,23 +125,25 @@ class PieceEncoder:
         return done
 
 
-def worker_encoder(path: str) -> PieceEncoder:
+def worker_encoder(path: str, memo: int = MEMO_PIECES) -> PieceEncoder:
     """The encoder of this Python worker: tasks that follow each other in one
     worker share its memo (a cache only; any task can start without it)."""
     shared = sys.modules.setdefault("_piece_encoders", ModuleType("_piece_encoders"))
     if path not in shared.__dict__:
         shared.__dict__[path] = PieceEncoder(path)
+    shared.__dict__[path].limit = memo
     return shared.__dict__[path]
 
 
-def best_fill(counts: dict[int, int], capacity: int) -> dict[int, int]:
+def best_fill(counts: dict[int, int], capacity: int, order: list[int] | None = None) -> dict[int, int]:
     """The multiset of lengths (at most ``counts`` of each) whose sum is as
-    near to ``capacity`` as possible from below: length -> how many."""
+    near to ``capacity`` as possible from below: length -> how many. ``order``:
+    the lengths, ascending, if known."""
     full = (1 << (capacity + 1)) - 1
     reach, steps = 1, []          # steps: (bitset before, length, copies added by this step)
-    for length in sorted(counts, reverse=True):
-        if length > capacity:
-            continue
+    order = sorted(counts) if order is None else order
+    for at in range(bisect_right(order, capacity) - 1, -1, -1):
+        length = order[at]
         left, copies = min(counts[length], capacity // length), 1
         while left and not reach >> capacity & 1:
             take = min(copies, left)
@@ -153,52 +163,65 @@ def best_fill(counts: dict[int, int], capacity: int) -> dict[int, int]:
     return chosen
 
 
-def pack_block(lengths: list[int], window: int, final: bool) -> tuple[list[list[int]], list[int]]:
-    """Indexes of ``lengths`` (each 1..window) grouped into windows, and the
-    indexes left for the next block (none if ``final``)."""
-    stacks: dict[int, list[int]] = {}
+def pack_block(lengths: list[int], window: int, final: bool) -> tuple[list[list[tuple[int, int, int]]], list[tuple[int, int, int]]]:
+    """Pieces (index of ``lengths``, start in it, length) grouped into windows,
+    and the pieces left for the next block (none if ``final``)."""
+    stacks: dict[int, list[tuple[int, int]]] = {}
     for k, n in enumerate(lengths):
-        stacks.setdefault(n, []).append(k)
+        stacks.setdefault(n, []).append((k, 0))
     counts = {n: len(s) for n, s in stacks.items()}
+    order = sorted(counts)
 
-    def pop(n: int) -> int:
+    def push(n: int, k: int, start: int) -> None:
+        if n not in counts:
+            counts[n] = 0
+            insort(order, n)
+        stacks.setdefault(n, []).append((k, start))
+        counts[n] += 1
+
+    def pop(n: int) -> tuple[int, int, int]:
         counts[n] -= 1
         if not counts[n]:
-            del counts[n]
-        return stacks[n].pop()
+            del counts[n], order[bisect_left(order, n)]
+        return (*stacks[n].pop(), n)
 
     windows, back = [], []
     while counts:
-        largest = max(counts)
+        largest = order[-1]
         own = [pop(largest)]
-        for n, times in best_fill(counts, window - largest).items():
+        for n, times in best_fill(counts, window - largest, order).items():
             own += [pop(n) for _ in range(times)]
-        slack = window - sum(lengths[k] for k in own)
-        if slack > window // 64 and not final and not counts:
-            back += own           # the rest of the block: wait for more lengths
-        else:
-            windows.append(own)
+        slack = window - sum(n for *_, n in own)
+        if slack > window // SLACK and counts:        # whatever is left is longer than the slack
+            k, start, n = pop(order[-1])
+            own.append((k, start, slack))
+            push(n - slack, k, start + slack)
+        elif slack > window // SLACK and not final:   # the rest of the block: wait for more lengths
+            back += own
+            continue
+        windows.append(own)
     return windows, back
 
 
-def _pack(batches, path: str, window: int, end_id: int, block: int):
+def _pack(batches, path: str, window: int, end_id: int, block: int, memo: int = MEMO_PIECES):
     from pyspark import TaskContext
 
-    encoder, tail = worker_encoder(path), np.array([end_id], "<u4").tobytes()
+    encoder, tail = worker_encoder(path, memo), np.array([end_id], "<u4").tobytes()
     sequence = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 36
-    waiting: list[tuple] = []     # (doc_id, start, length, crc, doc_tokens)
+    waiting: list[tuple] = []     # (doc_id, start, ids, doc_tokens)
     out: list[tuple] = []
 
     def close(final: bool):
         nonlocal sequence, waiting
-        windows, back = pack_block([w[2] for w in waiting], window, final)
+        windows, back = pack_block([len(w[2]) // 4 for w in waiting], window, final)
         for own in windows:
-            offset, total = 0, sum(waiting[k][2] for k in own)
-            for k in own:
-                out.append((*waiting[k], sequence, offset, total))
-                offset += waiting[k][2]
+            offset, total = 0, sum(n for *_, n in own)
+            for k, at, n in own:
+                doc, start, ids, tokens = waiting[k]
+                out.append((doc, start + at, n, zlib.crc32(ids[4 * at:4 * (at + n)]), tokens, sequence, offset, total))
+                offset += n
             sequence += 1
-        waiting = [waiting[k] for k in back]
+        waiting = [(waiting[k][0], waiting[k][1] + at, waiting[k][2][4 * at:4 * (at + n)], waiting[k][3]) for k, at, n in back]
 
     def flush():
         rows, out[:] = list(out), []
@@ -216,7 +239,7 @@ def _pack(batches, path: str, window: int, end_id: int, block: int):
                 out.append((doc, i * window, window, zlib.crc32(part), total, sequence, 0, window))
                 sequence += 1
             if total % window:
-                waiting.append((doc, whole * window, total % window, zlib.crc32(ids[4 * whole * window:]), total))
+                waiting.append((doc, whole * window, ids[4 * whole * window:], total))
             if len(waiting) >= block:
                 close(False)
         yield flush()
@@ -224,12 +247,13 @@ def _pack(batches, path: str, window: int, end_id: int, block: int):
     yield flush()
 
 
-def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, end_id: int = END_ID, block: int = BLOCK) -> DataFrame:
+def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, end_id: int = END_ID, block: int = BLOCK,
+         memo: int = MEMO_PIECES) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens,
-    sequence_id, offset, sequence_tokens."""
+    sequence_id, offset, sequence_tokens. ``memo``: pieces a worker remembers."""
     path = path or vocabulary_path()
     return map_arrow(docs.selectExpr("cast(doc_id as long) as doc_id", "cast(text as string) as text"),
-                     lambda batches: _pack(batches, path, window, end_id, block), SCHEMA, keep="_piece_encoders")
+                     lambda batches: _pack(batches, path, window, end_id, block, memo), SCHEMA, keep="_piece_encoders")
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,11 +32,32 @@ def test_best_fill_against_all_subsets():
 def test_block_holds_each_piece_once():
     r = random.Random(2)
     lengths = [r.randrange(1, 2048) for _ in range(500)]
-    windows, back = P.pack_block(lengths, 2048, False)
-    assert sorted(k for w in windows for k in w) + sorted(back) == sorted(range(500)) or sorted([k for w in windows for k in w] + back) == list(range(500))
-    assert all(sum(lengths[k] for k in w) <= 2048 for w in windows)
-    windows, back = P.pack_block(lengths, 2048, True)
-    assert not back and sum(lengths) / (2048 * len(windows)) > 0.95
+    for final in (False, True):
+        windows, back = P.pack_block(lengths, 2048, final)
+        own = {}
+        for k, start, n in [p for w in windows for p in w] + back:
+            own.setdefault(k, []).append((start, n))
+        assert sorted(own) == list(range(500))
+        for k, parts in own.items():
+            assert [s for s, _ in sorted(parts)] == [sum(n for _, n in sorted(parts)[:i]) for i in range(len(parts))] and sum(n for _, n in parts) == lengths[k]
+        assert all(sum(n for *_, n in w) <= 2048 for w in windows)
+        assert not (back and final) and sum(n for *_, n in back) < 2048
+    assert sum(lengths) / (2048 * len(windows)) > 0.97
+
+
+@pytest.mark.parametrize("lengths", [[1200] * 3000, [1100 + k % 201 for k in range(3000)], [1025] * 500, [2047, 2] * 300, [2048 - 33] * 100, [7] * 5])
+def test_runs_of_similar_lengths_leave_little_padding(lengths):
+    """Over several blocks, as a task packs them."""
+    waiting, full, sizes = [], 0, []
+    for at in range(0, len(lengths), 256):
+        block = waiting + lengths[at:at + 256]
+        windows, back = P.pack_block(block, 2048, at + 256 >= len(lengths))
+        sizes += [sum(n for *_, n in w) for w in windows]
+        waiting = [n for *_, n in back]
+        assert sum(waiting) < 2048
+    assert sum(sizes) == sum(lengths) and all(s <= 2048 for s in sizes)
+    assert sum(s < 2048 - 2048 // P.SLACK for s in sizes) <= 1                  # the very last window
+    assert len(sizes) == 1 or sum(sizes) / (2048 * len(sizes)) > 0.95
 
 
 def test_pieces_equal_whole_texts(tokenizer):
