@@ -161,3 +161,35 @@ def test_headers_come_from_a_probe(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert spark.conf.get("spark.sql.files.openCostInBytes") == cost
+
+
+def test_large_raw_files_are_written_without_a_shuffle(spark, tmp_path, monkeypatch):
+    """Small raw files are brought together by partition; files that are large already
+    stay apart, with the same rows."""
+    from flowlens.plans import etl
+    from flowlens.sinks import writers
+    from flowlens.sources import rawlogs
+
+    for account in ("111111111111", "222222222222"):
+        _write(str(tmp_path), account, "us-east-1", "15", RAW_FLOW_FIELDS, [_record(bytes=str(k)) for k in range(40)])
+    paths = f"{tmp_path}/AWSLogs/*/vpcflowlogs/*/2026/02/15/"
+    spread, shuffles = writers.spread_for_write, []
+    monkeypatch.setattr(writers, "spread_for_write", lambda df, keys: shuffles.append(keys) or spread(df, keys))
+    small = sorted(map(tuple, etl.ingest_flow_logs(spark, paths, str(tmp_path / "small")).collect()), key=str)
+    assert len(shuffles) == 1 and rawlogs.small_inputs(spark, paths)
+    monkeypatch.setattr(etl, "small_inputs", lambda spark, found: rawlogs.small_inputs(spark, found, large=1))
+    assert sorted(map(tuple, etl.ingest_flow_logs(spark, paths, str(tmp_path / "large")).collect()), key=str) == small
+    assert len(shuffles) == 1 and len(small) == 80
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", "0") == "0"
+
+
+def test_generated_code_stays_within_what_the_jvm_compiles(spark):
+    from flowlens.session import RUNTIME_CONF
+
+    assert int(RUNTIME_CONF["spark.sql.codegen.hugeMethodLimit"]) <= 8000
+
+
+def test_lines_are_split_once(spark, tmp_path):
+    _write(str(tmp_path), "111111111111", "us-east-1", "15", RAW_FLOW_FIELDS, [_record()])
+    plan = read_flow_logs(spark, f"{tmp_path}/AWSLogs/*/vpcflowlogs/*/2026/02/15/", probe_from=0)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(value") == 2        # the data's and the headers'
