@@ -135,7 +135,7 @@ def dns(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, p, n = F.col("_k"), F.col("_p"), F.col("_n")
     answer = F.when(n <= 3, F.col("dstaddr")).otherwise(F.concat(F.lit("198.51.100."), _s(p % 100)))
     dns_time = F.col("start_time") - k % 900
-    ts = epoch_to_ntz(dns_time)
+    stamp = F.date_format(epoch_to_ntz(dns_time), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     answers = (
         F.when(k % 22 == 0, F.lit(None).cast(ANSWER_TYPE))
         .when(k % 11 == 0, F.array().cast(ANSWER_TYPE))
@@ -151,14 +151,14 @@ def dns(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("host"), _s(p % 60), F.lit(".example.com")).alias("query_name"),
         F.lit("A").alias("query_type"),
         F.lit("IN").alias("query_class"),
-        F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("query_timestamp"),
+        stamp.alias("query_timestamp"),
         answers.alias("answers"),
         F.when(k % 11 == 0, "NXDOMAIN").otherwise("NOERROR").alias("rcode"),
         F.lit("UDP").alias("transport"),
         F.lit("1.100000").alias("version"),
-        F.date_format(ts, "yyyy").alias("year"),
-        F.date_format(ts, "MM").alias("month"),
-        F.date_format(ts, "dd").alias("day"),
+        F.substring(stamp, 1, 4).alias("year"),
+        F.substring(stamp, 6, 2).alias("month"),
+        F.substring(stamp, 9, 2).alias("day"),
     )
 
 

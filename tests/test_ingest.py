@@ -193,3 +193,27 @@ def test_lines_are_split_once(spark, tmp_path):
     _write(str(tmp_path), "111111111111", "us-east-1", "15", RAW_FLOW_FIELDS, [_record()])
     plan = read_flow_logs(spark, f"{tmp_path}/AWSLogs/*/vpcflowlogs/*/2026/02/15/", probe_from=0)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("split(value") == 2        # the data's and the headers'
+
+
+def test_plain_records_are_told_without_parsing(spark):
+    """What the pattern takes has no residue, by the parsed form as well."""
+    import re
+    from pyspark.sql import functions as F
+    from flowlens.sources import rawlogs
+
+    head = '{"account_id":"1","query_name":"a.example"'
+    plain = [head + "}", "{}", head + ',"srcport":53,"answers":[{"Rdata":"1.1.1.1","Type":"A","Class":"IN"},{"Rdata":"x"}],"srcids":{"instance":"i-1"}}',
+             head + ',"answers":[]}', head + ',"srcids":{}}', head + ',"query_name":"twice"}', '{"query_name":"é日"}',
+             '{"answers":[' + ",".join(['{"Rdata":"1.1.1.1"}'] * 5000) + "]}"]
+    other = [head + ',"edns":7}', head + ',"answers":[{"Rdata":"1.1.1.1","Ttl":30}]}', head + ',"srcids":{"a":"1","a":"2"}}', head + ',"srcids":{"a":"1","b":"2"}}',
+             head + ",}", head, "no json {", '{"query_name":"tab\t"}', '{"query_name":"q\\u0041"}', '{"srcport":053}', '{"answers":[{"Rdata":"1"},]}', "[1]", " {}", head + "} x", '{"firewall":{"a":[1]},"answers":null}']
+    assert [bool(re.search(rawlogs.PLAIN_RECORD.replace(r"\z", r"\Z"), x)) for x in plain + other] == [True] * len(plain) + [False] * len(other)
+    df = spark.createDataFrame([(x,) for x in plain + other], "value string")
+    value = F.col("value")
+    fast = df.select(value, F.to_json(rawlogs._residue(value, None)).alias("r")).collect()
+    pattern, rawlogs.PLAIN_RECORD = rawlogs.PLAIN_RECORD, "(?!)"
+    try:
+        assert df.select(value, F.to_json(rawlogs._residue(value, None)).alias("r")).collect() == fast
+    finally:
+        rawlogs.PLAIN_RECORD = pattern
+    assert [r.r for r in fast[:len(plain)]] == [None] * len(plain) and sum(r.r is not None for r in fast) >= 8
