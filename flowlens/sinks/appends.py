@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .writers import spread_for_write
+from .writers import write_partitioned
 
 BATCH = "ingest_batch"
 COMMITS = "_commits"      # Spark's listings leave names with an underscore out
@@ -37,13 +37,13 @@ def _marker(path: str, batch: str) -> str:
     return f"{path.rstrip('/')}/{COMMITS}/{_named(batch)}"
 
 
-def stage_batch(df: DataFrame, path: str, keys: Sequence[str], batch: str) -> None:
-    """Writes the batch's folder; it isn't read before ``commit_batch``."""
+def stage_batch(df: DataFrame, path: str, keys: Sequence[str], batch: str, spread: bool = True) -> None:
+    """Writes the batch's folder; it isn't read before ``commit_batch``. ``spread``:
+    as in ``write_partitioned``."""
     marker, fs = _file_system(df.sparkSession, _marker(path, batch))
     if fs.exists(marker):
         fs.delete(marker, False)
-    out = spread_for_write(df, keys).sortWithinPartitions(*keys)
-    out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*keys).parquet(_folder(path, batch))
+    write_partitioned(df, _folder(path, batch), keys, spread=spread, overwrite="static")
 
 
 def commit_batch(spark: SparkSession, path: str, batch: str) -> None:
@@ -51,8 +51,8 @@ def commit_batch(spark: SparkSession, path: str, batch: str) -> None:
     fs.create(marker, True).close()
 
 
-def append_batch(df: DataFrame, path: str, keys: Sequence[str], batch: str) -> None:
-    stage_batch(df, path, keys, batch)
+def append_batch(df: DataFrame, path: str, keys: Sequence[str], batch: str, spread: bool = True) -> None:
+    stage_batch(df, path, keys, batch, spread)
     commit_batch(df.sparkSession, path, batch)
 
 

@@ -142,3 +142,19 @@ def test_unknown_fields_are_kept(spark, tmp_path):
     assert [json.loads(r[1]) for r in rows if r[3] == 30] == [{"answers": [{"Rdata": "1.1.1.1", "Ttl": 30}]}]
     assert [json.loads(r[1]) for r in rows if r[0] is None] == [{"malformed": "no json {"}]
     assert read_dns_logs(spark, str(tmp_path / "missing")).schema == read_dns_logs(spark, str(folder)).schema
+
+
+def test_batches_of_large_pieces_are_written_without_a_shuffle(spark, tmp_path, monkeypatch):
+    from flowlens.sinks import writers
+
+    rows = spark.range(0, 4000, 1, 2).select(F.col("id"), (F.col("id") % 3).cast("string").alias("k"), F.when(F.col("id") % 5 > 0, "d").alias("d"))
+    assert writers.large_files(rows, ["k", "d"], 300) and not writers.large_files(rows, ["k", "d"], 400)      # 12 files
+    assert not writers.large_files(rows.limit(0), ["k", "d"], 1)
+    seen, spread = [], writers.spread_for_write
+    monkeypatch.setattr(writers, "spread_for_write", lambda df, keys: seen.append(keys) or spread(df, keys))
+    for k, flag in enumerate((True, False)):
+        for _ in range(2):       # the repeated batch replaces itself
+            append_batch(rows, str(tmp_path / str(k)), ["k", "d"], "b-1", spread=flag)
+    assert len(seen) == 2
+    read = [sorted(map(tuple, read_committed(spark, str(tmp_path / str(k)), "id long, k string, d string").collect()), key=str) for k in (0, 1)]
+    assert read[0] == read[1] and len(read[0]) == 4000
