@@ -45,6 +45,7 @@ WINDOW = 2048
 END_ID = 1
 BLOCK = 4096              # remainders packed together
 SLACK = 64                # a window may stay short by this part of its length without a cut
+TEXTS = 1000              # texts cut into pieces at a time
 MEMO_PIECES = 1_000_000   # distinct pieces kept by a worker (about 200 bytes each)
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long, sequence_tokens long")
@@ -66,7 +67,9 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True    # their strings are ordinary text
-        self.tab = self.tokenizer.encode("\t", add_special_tokens=False).ids[0]
+        vocabulary = self.tokenizer.get_vocab()
+        self.opens = np.zeros(max(vocabulary.values()) + 1, bool)      # tokens that begin with a space
+        self.opens[[i for word, i in vocabulary.items() if word.startswith("\u0120")]] = True
         self.after_space: dict[str, bytes] = {}        # piece -> ids of " " + piece
         self.spaced: set[str] = set()                  # pieces that begin with white space: their texts are encoded whole
 
@@ -74,8 +77,8 @@ class PieceEncoder:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
 
     def _learn(self, pieces: set[str]) -> None:
-        """Encodes many pieces in a few calls: a tab between two pieces is a
-        token of its own there (the next one begins with a space)."""
+        """Encodes many pieces in a few calls: they hold no space themselves, so
+        the tokens that begin with one are the pieces' first."""
         memo = self.after_space
         words = set(filter(str.isalnum, pieces))       # neither white space nor signs: nothing to look at
         others = pieces - words
@@ -87,10 +90,10 @@ class PieceEncoder:
         plain, failed = list(words), list(odd)
         for i in range(0, len(plain), 2000):
             some = plain[i:i + 2000]
-            raw = self._encode([" " + "\t ".join(some)])[0]
-            ends = (np.flatnonzero(np.frombuffer(raw, "<u4") == self.tab) * 4).tolist()
-            if len(ends) == len(some) - 1:
-                memo.update(zip(some, [raw[x:y] for x, y in zip([0, *[e + 4 for e in ends]], [*ends, len(raw)])]))
+            raw = self._encode([" " + " ".join(some)])[0]
+            starts = (np.flatnonzero(self.opens[np.frombuffer(raw, "<u4")]) * 4).tolist()
+            if len(starts) == len(some):
+                memo.update(zip(some, [raw[x:y] for x, y in zip(starts, [*starts[1:], len(raw)])]))
             else:
                 failed += some
         memo.update(zip(failed, self._encode([" " + p for p in failed])))
@@ -228,7 +231,7 @@ def _pack(batches, path: str, window: int, end_id: int, block: int, memo: int =
         columns = list(zip(*rows)) or [()] * 8
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], [c.split()[0] for c in SCHEMA.split(", ")])
 
-    for b in batches:
+    for b in (b.slice(at, TEXTS) for b in batches for at in range(0, b.num_rows, TEXTS)):
         texts = [t or "" for t in b.column(1).to_pylist()]
         for doc, ids in zip(b.column(0).to_pylist(), encoder.batch(texts)):
             ids += tail

@@ -102,3 +102,18 @@ def test_documents(spark, tokenizer):
         assert at <= 2048
     assert sum(x for own in pieces.values() for _, x in own) / (2048 * len(sequences)) > 0.9
     assert P.pack(documents(spark, [])).collect() == []
+
+
+def test_many_pieces_in_one_call(tokenizer):
+    """Pieces are learned together without signs between them: each keeps its own ids."""
+    r = random.Random(5)
+    pieces = {"".join(r.choices("abcéß日AZ019.,;'\n_-#", k=r.randrange(1, 12))) for _ in range(4000)} | {"\u0120", "\u0120a", "a\u00a0b", "a\u2003b", "x\ny"}
+    encoder, calls = P.PieceEncoder(P.vocabulary_path()), []
+    encode = encoder._encode
+    encoder._encode = lambda texts: calls.append(texts) or encode(texts)
+    encoder._learn(pieces)
+    assert not any("\t" in t for texts in calls for t in texts)
+    assert max(t.count(" ") for texts in calls for t in texts) > 1000
+    tokenizer.encode_special_tokens = True
+    for p in pieces:
+        assert np.frombuffer(encoder.after_space[p], "<u4").tolist() == tokenizer.encode(" " + p, add_special_tokens=False).ids
