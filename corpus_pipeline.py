@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from flowlens.llm import ngram_join, packing, quality_rules, secret_scan, toxicity
 from flowlens.llm.common import materialize, session, table
 
+# pieces a packing worker remembers: fewer than op9's, since the executor's JVM keeps the heap of the stages before
+PACKING_MEMO = 300_000
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents predicted toxic go."""
@@ -32,7 +35,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The texts as pieces of token windows."""
-    return packing.pack(docs)
+    return packing.pack(docs, memo=PACKING_MEMO)
 
 
 STAGES = [

@@ -20,8 +20,10 @@ counter.
 
 Words are tokenized once per worker: the byte-level pre-tokenizer always starts a
 new piece at a space that follows a character other than white space and
-precedes one, so texts are cut there and each distinct piece is encoded once
-(bounded memo). Texts with longer runs of white space are encoded whole.
+precedes one, so texts are cut there and each distinct piece of a batch is encoded
+once. A bounded memo keeps them; once it is half full only those that came up in two
+batches, since most come up in one only. Texts with longer runs of white space are
+encoded whole.
 
 Defined results: a null or empty text is one piece holding the end id; repeated
 rows are packed each; a null doc_id stays null; an empty table gives an empty
@@ -47,6 +49,7 @@ BLOCK = 4096              # remainders packed together
 SLACK = 64                # a window may stay short by this part of its length without a cut
 TEXTS = 1000              # texts cut into pieces at a time
 MEMO_PIECES = 1_000_000   # distinct pieces kept by a worker (about 200 bytes each)
+SEEN_SLOTS = 1 << 23      # hashed marks (a byte each) of the pieces that came up before
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long, sequence_tokens long")
 
@@ -71,6 +74,7 @@ class PieceEncoder:
         self.opens = np.zeros(max(vocabulary.values()) + 1, bool)      # tokens that begin with a space
         self.opens[[i for word, i in vocabulary.items() if word.startswith("\u0120")]] = True
         self.after_space: dict[str, bytes] = {}        # piece -> ids of " " + piece
+        self.seen, self.marks = np.zeros(SEEN_SLOTS, bool), 0
         self.spaced: set[str] = set()                  # pieces that begin with white space: their texts are encoded whole
 
     def _encode(self, texts: list[str]) -> list[bytes]:
@@ -101,11 +105,19 @@ class PieceEncoder:
         ends_with = dict(zip(set(tails.values()), self._encode(list(set(tails.values())))))
         memo.update((p, memo[cores[p]] + ends_with[tail]) for p, tail in tails.items())
 
+    def _passing(self, pieces: set[str]) -> list[str]:
+        """Those of ``pieces`` that came up for the first time (by their marks:
+        a clash of hashes keeps a piece, no more than that)."""
+        if self.marks > SEEN_SLOTS // 4:
+            self.seen[:], self.marks = False, 0
+        some = list(pieces)
+        at = np.fromiter(map(hash, some), np.int64, len(some)) & (SEEN_SLOTS - 1)
+        fresh = np.flatnonzero(~self.seen[at])
+        self.seen[at] = True
+        self.marks += len(fresh)
+        return [some[k] for k in fresh.tolist()]
+
     def batch(self, texts: list[str]) -> list[bytes]:
-        memo = self.after_space
-        if len(memo) > self.limit:
-            memo.clear()
-            self.spaced.clear()
         cut = [None if "  " in t or t[:1] == " " or t[-1:] == " " else t.split(" ") for t in texts]
         first = iter(self._encode([p[0] for p in cut if p]))
         # the batch's distinct pieces that aren't known yet are learned together
@@ -113,7 +125,12 @@ class PieceEncoder:
         for p in cut:
             if p:
                 distinct.update(islice(p, 1, None))
-        self._learn(distinct.difference(memo))
+        if len(self.after_space) > self.limit:       # what this batch needs stays
+            self.after_space = {p: self.after_space[p] for p in distinct.intersection(self.after_space)}
+            self.spaced &= distinct
+        memo = self.after_space
+        unknown = distinct.difference(memo)
+        self._learn(unknown)
         odd = self.spaced & distinct
         done, whole, get = [], [], memo.__getitem__
         for k, p in enumerate(cut):
@@ -125,6 +142,11 @@ class PieceEncoder:
                 whole.append(k)
         for k, ids in zip(whole, self._encode([texts[k] for k in whole])):
             done[k] = ids
+        passing = self._passing(unknown)
+        if len(memo) > self.limit // 2:
+            for p in passing:
+                del memo[p]
+            self.spaced.difference_update(passing)
         return done
 
 

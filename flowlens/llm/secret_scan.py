@@ -104,12 +104,14 @@ class Reader:
         self._reset()
 
     def _reset(self):
-        self.rows: list[tuple[int, int, int]] = []
-        self.table = np.zeros((0, 3), np.int32)
+        self.known, self.table = 0, np.zeros((4096, 3), np.int32)
 
     def _add(self, token: str) -> int:
-        self.rows.append(_describe(token))
-        return len(self.rows) - 1
+        if self.known == len(self.table):
+            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+        self.table[self.known] = _describe(token)
+        self.known += 1
+        return self.known - 1
 
     def read(self, text: str) -> np.ndarray:
         """[tokens, 3]: shape, word, flags."""
@@ -118,9 +120,7 @@ class Reader:
             self._reset()
         tokens = TOKEN.findall(text)
         at = np.fromiter(map(self.memo.__getitem__, tokens), np.int64, len(tokens))
-        if len(self.rows) > len(self.table):
-            self.table = np.concatenate([self.table, np.array(self.rows[len(self.table):], np.int32)])
-        return self.table[at] if len(at) else np.zeros((0, 3), np.int32)
+        return self.table[at]
 
 
 def _file(flags: np.ndarray) -> int:
@@ -345,11 +345,17 @@ def nothing() -> dict[str, np.ndarray]:
 
 
 def _fit_task(batches):
-    rows = [r for b in batches for r in b.to_pylist()]
-    rows.sort(key=lambda r: (r["h"], r["shape"], r["two"], r["one"], r["tags"]))
-    if not any(t > 0 for r in rows for t in r["tags"]):
+    some = [b for b in batches if b.num_rows]
+    if not some:
         return
-    data = {k: np.array([r[k] for r in rows], np.int64) for k in ("shape", "two", "one", "next", "tags", "file")}
+    rows = pa.Table.from_batches(some).combine_chunks()
+    flat = lambda k: np.concatenate([c.flatten().to_numpy() for c in rows.column(k).chunks]).reshape(-1, LENGTH)
+    data = {k: flat(k) for k in ("shape", "two", "one", "next", "tags")} | {"file": rows.column("file").to_numpy()}
+    if not (data["tags"] > 0).any():
+        return
+    # by h, shape, two, one, tags: the last key is the first to count
+    order = np.lexsort([*[c for k in ("tags", "one", "two", "shape") for c in data[k].T[::-1]], rows.column("h").to_numpy()])
+    data = {k: x[order] for k, x in data.items()}
     yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(fit(data))], pa.binary())})
 
 

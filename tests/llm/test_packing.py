@@ -117,3 +117,26 @@ def test_many_pieces_in_one_call(tokenizer):
     tokenizer.encode_special_tokens = True
     for p in pieces:
         assert np.frombuffer(encoder.after_space[p], "<u4").tolist() == tokenizer.encode(" " + p, add_special_tokens=False).ids
+
+
+def test_pieces_of_one_batch_only_leave_the_memo(tokenizer):
+    """The memo holds what comes again, not every piece that ever came up."""
+    encoder = P.PieceEncoder(P.vocabulary_path(), memo=50)
+    tokenizer.encode_special_tokens = True
+    for k in range(12):
+        texts = [" ".join(["first", *(f"x{k}y{n}" for n in range(200)), "\todd", *(f"common{n}" for n in range(20))])]
+        assert [np.frombuffer(x, "<u4").tolist() for x in encoder.batch(texts)] == [tokenizer.encode(texts[0], add_special_tokens=False).ids]
+        assert len(encoder.after_space) <= 21 + 2 * k          # and a few by clashes of hashes
+    assert {f"common{n}" for n in range(20)} <= encoder.after_space.keys()
+
+
+def test_full_memo_keeps_what_its_batch_needs():
+    encoder = P.PieceEncoder(P.vocabulary_path(), memo=100)
+    old, now = [f"old{n}" for n in range(300)], [f"now{n}" for n in range(60)]
+    for _ in range(2):
+        encoder.batch([" ".join(["first", *old, *now])])
+    assert len(encoder.after_space) == 360
+    learned, learn = [], encoder._learn
+    encoder._learn = lambda pieces: learned.extend(pieces) or learn(pieces)
+    encoder.batch([" ".join(["first", *now, "new"])])
+    assert encoder.after_space.keys() == set(now) and learned == ["new"]

@@ -2,6 +2,7 @@ import hashlib
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from flowlens.llm import secret_scan as S
@@ -162,3 +163,33 @@ def test_filter_lets_every_base_hit_pass(spark):
     docs = documents(spark, list(enumerate(texts)))
     passed = {x.doc_id for x in docs.where(docs.text.rlike(S.MAYBE)).collect()}
     assert {k for k, t in enumerate(texts) if brute(t)} <= passed
+
+
+def test_rows_meet_the_fit_in_one_order():
+    """Stretches come in any order and in several batches; the fit sees them sorted, as arrays."""
+    r = np.random.default_rng(9)
+    rows = [{"h": int(r.integers(3)), "file": 1} | {k: r.integers(-1 if k == "tags" else 0, 2, S.LENGTH).tolist() for k in ("shape", "two", "one", "next", "tags")} for _ in range(60)]
+    rows += [rows[0] | {"one": [1, *rows[0]["one"][1:]]}, rows[0] | {"one": [0, *rows[0]["one"][1:]]}]
+    kinds = pa.schema([("h", pa.int64()), ("file", pa.int32())] + [(k, pa.list_(pa.int32())) for k in ("shape", "two", "one", "next", "tags")])
+    seen, fit = [], S.fit
+    S.fit = lambda data: seen.append(data) or {}
+    try:
+        for order in (rows, rows[::-1]):
+            assert len(list(S._fit_task(iter([pa.RecordBatch.from_pylist(order[a:a + 25], kinds) for a in range(0, 75, 25)])))) == 1
+        clean = [x | {"tags": [0] * S.LENGTH} for x in rows]
+        assert not list(S._fit_task(iter([pa.RecordBatch.from_pylist(clean, kinds)]))) and not list(S._fit_task(iter([])))
+    finally:
+        S.fit = fit
+    wanted = sorted(rows, key=lambda x: (x["h"], x["shape"], x["two"], x["one"], x["tags"]))
+    for data in seen:
+        for k in ("shape", "two", "one", "next", "tags", "file"):
+            assert data[k].tolist() == [x[k] for x in wanted]
+
+
+def test_reader_keeps_numbers_only():
+    reader = S.Reader(limit=5000)
+    texts = [" ".join(f"t{k}x{n}=" for n in range(1500)) for k in range(6)] + [""]
+    for text in texts:
+        assert reader.read(text).tolist() == [list(S._describe(t)) for t in S.TOKEN.findall(text)]
+        assert reader.table.dtype == np.int32 and reader.known == len(reader.memo) <= len(reader.table)
+    assert not hasattr(reader, "rows")
